@@ -1,6 +1,7 @@
 """Bind the driver tables to the roles the operators take (key, segment, features, score).
 
-B1 general   lineitem          key (l_orderkey, l_linenumber), segment l_returnflag,
+B1 general   lineitem          key (l_orderkey, l_linenumber, l_partkey, l_suppkey),
+                               segment l_returnflag,
                                features l_extendedprice, l_discount, l_tax, unit_price,
                                score floor(l_quantity / 5) in 0..10
 B2 skewed    events            key event_id, segment event_type, feature value
@@ -30,7 +31,7 @@ class Roles:
     score: str
 
 
-B1 = Roles(("l_orderkey", "l_linenumber"), "l_returnflag",
+B1 = Roles(("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), "l_returnflag",
            ("l_extendedprice", "l_discount", "l_tax", "unit_price"), "score")
 B2 = Roles(("event_id",), "event_type", ("value",), "score")
 B3 = Roles(("doc_id",), "lang", ("n_chars", "n_words", "n_lines"), "quality")
@@ -40,13 +41,13 @@ B5 = Roles(("o_orderkey",), "o_orderpriority",
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return li.select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice",
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_extendedprice",
                      "l_discount", "l_tax",
                      (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
                      F.floor(F.col("l_quantity") / 5).cast("int").alias("score"))
 
 
-M_SQL = """m AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice, l_discount, l_tax,
+M_SQL = """m AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_extendedprice, l_discount, l_tax,
        l_extendedprice / l_quantity AS unit_price,
        CAST(FLOOR(l_quantity / 5) AS INTEGER) AS score FROM lineitem)"""
 

@@ -55,8 +55,8 @@ def f3_winsorize_describe(spark, sf):
 _REMOVE = UL + """,
 b AS (SELECT segment, feature, QUANTILE_CONT(value, 0.25) AS q1, QUANTILE_CONT(value, 0.75) AS q3 FROM ul
   GROUP BY segment, feature),
-rows AS (SELECT l_orderkey, l_linenumber, l_returnflag AS segment, l_extendedprice, l_discount, l_tax, unit_price FROM m
-  UNION ALL SELECT l_orderkey, l_linenumber, 'all', l_extendedprice, l_discount, l_tax, unit_price FROM m),
+rows AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag AS segment, l_extendedprice, l_discount, l_tax, unit_price FROM m
+  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'all', l_extendedprice, l_discount, l_tax, unit_price FROM m),
 ok AS (SELECT r.segment FROM rows r
   JOIN b b1 ON b1.segment = r.segment AND b1.feature = 'l_extendedprice'
   JOIN b b2 ON b2.segment = r.segment AND b2.feature = 'l_discount'
@@ -92,7 +92,7 @@ def f2_iqr_remove(spark, sf):
 
 
 _DERIVED_SQL = """total_acidity AS (SELECT *, l_discount + l_tax AS ta FROM m),
-d AS (SELECT l_orderkey, l_linenumber, l_returnflag, score, l_extendedprice, l_discount, l_tax, unit_price,
+d AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, score, l_extendedprice, l_discount, l_tax, unit_price,
   ta AS total_acidity, ta / (l_tax + 1) AS acidity_to_sugar, l_discount / (l_tax + 1) AS free_to_total_so2_ratio,
   unit_price / (ta + 1) AS alcohol_to_acidity, l_tax / (unit_price + 1) AS sugar_to_alcohol,
   unit_price / NULLIF(ta * LN(1 + l_tax), 0) AS balance_score, unit_price * (1 - (l_discount - 0.9)) AS body_score
@@ -104,7 +104,7 @@ def derived(spark, sf):
 
 
 @query("p2_derived_ratios", f"""WITH {M_SQL}, {_DERIVED_SQL}
-SELECT l_orderkey, l_linenumber, {', '.join(f'ROUND({c}, 6) AS {c}' for c in DERIVED)} FROM d""")
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {', '.join(f'ROUND({c}, 6) AS {c}' for c in DERIVED)} FROM d""")
 def p2_derived_ratios(spark, sf):
     return rounded(derived(spark, sf).select(*KEYS, *DERIVED))
 
@@ -152,7 +152,7 @@ def _scaled_sql(kind):
             e = (f"CASE WHEN MAX({c}) OVER w - MIN({c}) OVER w = 0 THEN 0 ELSE "
                  f"({c} - MIN({c}) OVER w) / (MAX({c}) OVER w - MIN({c}) OVER w) END")
         parts.append(f"ROUND({e}, 6) AS {c}")
-    return (f"WITH {M_SQL} SELECT l_orderkey, l_linenumber, l_returnflag, {', '.join(parts)} "
+    return (f"WITH {M_SQL} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, {', '.join(parts)} "
             f"FROM m WINDOW w AS (PARTITION BY l_returnflag)")
 
 

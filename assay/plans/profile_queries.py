@@ -22,7 +22,7 @@ def _m(spark, sf):
     return measurements(spark, sf)
 
 
-@query("a1_counts", f"WITH {M_SQL} SELECT COUNT(*) AS n_rows, 8 AS n_cols FROM m")
+@query("a1_counts", f"WITH {M_SQL} SELECT COUNT(*) AS n_rows, 10 AS n_cols FROM m")
 def a1_counts(spark, sf):
     return P.counts(_m(spark, sf))
 
