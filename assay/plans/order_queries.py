@@ -262,7 +262,7 @@ def s1_read_delimited(spark, sf):
     path = scratch_path(spark, "s1-delimited")
     _m(spark, sf).write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
     back = IO.read_delimited(spark, path, _SCHEMA, sep=";", mode="FAILFAST")
-    return back.select("l_orderkey", "l_linenumber", "l_returnflag", "score")
+    return back.select(*KEYS, "l_returnflag", "score")
 
 
 @query("s3_write_partitioned", f"""WITH {M_SQL}
