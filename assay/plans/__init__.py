@@ -5,6 +5,7 @@ from assay.plans import profile_queries  # noqa: F401
 from assay.plans import feature_queries  # noqa: F401
 from assay.plans import scalar_queries  # noqa: F401
 from assay.plans import order_queries  # noqa: F401
+from assay.plans import eval_queries  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLE = catalog.ORACLE

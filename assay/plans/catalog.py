@@ -39,11 +39,15 @@ def sig_round(c):
         .when(e >= 0, up).otherwise(down)
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    """Round every floating column (both sides of a T check round the same way)."""
+def rounded(df: DataFrame, absolute: dict | None = None) -> DataFrame:
+    """Round every floating column (both sides of a T check round the same way).
+    ``absolute`` maps columns that are differences near zero to a count of decimals."""
+    absolute = absolute or {}
     out = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if f.name in absolute:
+            out.append(F.round(F.col(f.name).cast("double"), absolute[f.name]).alias(f.name))
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             out.append(sig_round(F.col(f.name)).alias(f.name))
         else:
             out.append(F.col(f.name))
