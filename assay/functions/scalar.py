@@ -12,6 +12,10 @@ def tag(df: DataFrame, column: str, value) -> DataFrame:
     return df.withColumn(column, F.lit(value))
 
 
+DERIVED_NAMES = ["total_acidity", "acidity_to_sugar", "free_to_total_so2_ratio", "alcohol_to_acidity",
+                 "sugar_to_alcohol", "balance_score", "body_score"]
+
+
 def derived_ratios(a: str, b: str, s: str, f: str, t: str, h: str, d: str) -> dict[str, Column]:
     """The seven derived features from role columns.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 
-from assay.functions.scalar import derived_ratios
+from assay.functions.scalar import DERIVED_NAMES
 from assay.operators import stages as ST
 
 
@@ -15,7 +15,7 @@ def feature_pipeline(features, segment: str | None, roles: dict, score: str = "s
     columns at fit time and the scaler is told to scale every numeric feature it sees,
     so the fitted pipeline is the stored output schema."""
     features = list(features)
-    derived = list(derived_ratios(**roles).keys())
+    derived = list(DERIVED_NAMES)
     stages = [
         ST.OutlierHandler(inputCols=features, method="clip", segmentCol=segment),
         ST.DerivedRatios(roles=roles),

@@ -294,6 +294,20 @@ class SegmentRecode(Transformer, _Base, DefaultParamsReadable, DefaultParamsWrit
                              recode(F.col(self.seg()), json.loads(self.getOrDefault(self.mapping))))
 
 
+class FillNulls(Transformer, _Base, DefaultParamsReadable, DefaultParamsWritable):
+    """Null features score as ``value`` (the zero-denominator ratios), as in training."""
+    value = Param(Params._dummy(), "value", "", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, inputCols=None, value=0.0):
+        super().__init__()
+        self._setDefault(value=0.0)
+        self._kw(self._input_kwargs)
+
+    def _transform(self, df):
+        return df.fillna(self.getOrDefault(self.value), subset=self.cols())
+
+
 # --------------------------------------------------------------------------- F8, F9 scores
 
 def f_regression_scores(df: DataFrame, features, target: str) -> DataFrame:

@@ -7,6 +7,7 @@ from assay.plans import scalar_queries  # noqa: F401
 from assay.plans import order_queries  # noqa: F401
 from assay.plans import eval_queries  # noqa: F401
 from assay.plans import knn_queries  # noqa: F401
+from assay.plans import model_queries  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLE = catalog.ORACLE

@@ -16,7 +16,7 @@ FEATS = list(B1.features)
 SEG = B1.segment
 KEYS = list(B1.key)
 ROLES = dict(a="l_discount", b="l_tax", s="l_tax", f="l_discount", t="l_tax", h="unit_price", d="l_discount")
-DERIVED = list(S.derived_ratios(**ROLES).keys())
+DERIVED = list(S.DERIVED_NAMES)
 
 UL = (f"WITH {M_SQL},\nlf AS ({sql_long('m', FEATS, ids=[SEG])}),\n"
       "ul AS (SELECT CAST(l_returnflag AS VARCHAR) AS segment, feature, value FROM lf "

@@ -25,6 +25,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.ui.enabled": "false",
+    # Local mode runs executors inside the driver JVM; on a cluster this is set by the platform.
+    "spark.driver.memory": "16g",
     "spark.ui.showConsoleProgress": "false",
 }
 
