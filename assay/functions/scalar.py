@@ -164,12 +164,14 @@ def recommendation(effect: Column) -> Column:
     return out
 
 
-def verdict(nearest: Column, domain: Column, tolerance_pct: float = 15.0) -> tuple[Column, Column]:
-    """P20: percent difference of the nearest detected threshold from the domain value;
-    'match' below ``tolerance_pct``, 'differs' otherwise, 'none detected' / 'no reference'."""
+def verdict(nearest: Column, domain: Column, has_candidates: Column,
+            tolerance_pct: float = 15.0) -> tuple[Column, Column]:
+    """P20: percent difference of the nearest detected threshold from the domain value and
+    the verdict: 'match' below ``tolerance_pct``, else 'differs'; 'none detected' when the
+    model found nothing; 'no reference' / 'nothing detected' without a domain value."""
     pct = F.abs(F.try_divide(F.abs(nearest - domain), domain) * 100)
-    v = (F.when(domain.isNull(), F.when(nearest.isNull(), "none detected").otherwise("no reference"))
-         .when(nearest.isNull(), "none detected")
+    v = (F.when(domain.isNull(), F.when(has_candidates, "no reference").otherwise("nothing detected"))
+         .when(~has_candidates, "none detected")
          .when(pct < tolerance_pct, "match").otherwise("differs"))
     return pct, v
 
