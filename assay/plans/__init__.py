@@ -9,6 +9,7 @@ from assay.plans import eval_queries  # noqa: F401
 from assay.plans import knn_queries  # noqa: F401
 from assay.plans import model_queries  # noqa: F401
 from assay.plans import curve_queries  # noqa: F401
+from assay.plans import explain_queries  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLE = catalog.ORACLE
