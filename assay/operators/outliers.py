@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assay.operators._small import attach
-from assay.operators.profile import ALL, long_form, percentile_expr
+from assay.operators.profile import ALL, long_form, quantile_frame
 from assay.operators.stages import clip
 
 
@@ -24,7 +24,7 @@ def labelled_long(df: DataFrame, features, segment: str | None, ids=()) -> DataF
 def fitted_bounds(ul: DataFrame, method: str = "clip", factor: float = 1.5,
                   quantile_method: str = "exact") -> DataFrame:
     probs = [0.05, 0.95] if method == "winsorize" else [0.25, 0.75]
-    q = ul.groupBy("segment", "feature").agg(percentile_expr(F.col("value"), probs, quantile_method).alias("_q"))
+    q = quantile_frame(ul, ["segment", "feature"], probs, quantile_method)
     a, b = F.col("_q")[0], F.col("_q")[1]
     if method == "winsorize":
         return q.select("segment", "feature", a.alias("lo"), b.alias("hi"))
@@ -48,7 +48,7 @@ def describe_long(lf: DataFrame, keys=("segment", "feature"), method: str = "exa
     v = F.col("value")
     out = lf.groupBy(*keys).agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), percentile_expr(v, [0.25, 0.5, 0.75], method).alias("_q"),
-        F.max(v).alias("max"))
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    out = out.join(quantile_frame(lf, keys, [0.25, 0.5, 0.75], method), list(keys), "left")
     return out.select(*keys, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"),
                       F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max")

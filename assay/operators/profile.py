@@ -56,17 +56,38 @@ def _seg_ids(segment):
     return [segment] if segment else []
 
 
-def percentile_expr(c: Column, p, method: str = "exact", accuracy: int = 10000) -> Column:
-    """Linear-interpolation quantile (pandas/DuckDB ``quantile_cont``).
-
-    ``exact`` keeps each group's distinct values in the final aggregation buffer;
-    ``approx`` (Greenwald-Khanna sketch) bounds memory per group for huge groups.
-    """
+def percentile_expr(c: Column, p, method: str = "percentile", accuracy: int = 10000) -> Column:
+    """In-aggregate quantile: ``percentile`` (Spark's exact buffer of a group's distinct
+    values) or ``approx`` (Greenwald-Khanna sketch).  The default ``exact`` method of
+    the operators below is ``quantile_frame``, a bounded-memory selection."""
     if method == "approx":
         return F.percentile_approx(c, p, accuracy)
     return F.percentile(c, p)
 
 
+def quantile_frame(lf: DataFrame, keys, probs, method: str = "exact", value: str = "value") -> DataFrame:
+    """(keys..., _q array<double>): linear-interpolation quantiles per group.
+    ``exact``: distributed selection (operators/quantiles.py), exact and bounded;
+    ``percentile`` / ``approx``: one aggregate with Spark's functions."""
+    keys = list(keys)
+    if method == "exact":
+        from assay.operators.quantiles import exact_quantiles
+        return exact_quantiles(lf, keys, value, list(probs))
+    return lf.groupBy(*keys).agg(percentile_expr(F.col(value), list(probs), method).alias("_q"))
+
+
+def seg_quantiles(df: DataFrame, features, segment: str | None, probs, method: str = "exact") -> DataFrame:
+    """Quantiles per (segment, feature) and for 'all' (or per feature without a segment)."""
+    if segment is None:
+        return quantile_frame(long_form(df, features), ["feature"], probs, method)
+    return quantile_frame(_union_long(df, features, segment), ["segment", "feature"], probs, method)
+
+
+def _with_q(out: DataFrame, q: DataFrame, keys) -> DataFrame:
+    """Attach the (small) quantile frame to the (small) per-group aggregate."""
+    return out.join(q, list(keys), "left")
+
+
 # --------------------------------------------------------------------------- A1-A4
 
 def counts(df: DataFrame) -> DataFrame:
@@ -114,10 +135,11 @@ def describe(df: DataFrame, features, segment: str | None = None,
     """A5: count, mean, sample std, min, quartiles, max per feature (and segment)."""
     lf = long_form(df, features, ids=_seg_ids(segment))
     v = F.col("value")
-    q = percentile_expr(v, [0.25, 0.5, 0.75], method)
     out = grouped_agg(lf, segment, ["feature"], [
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), q.alias("_q"), F.max(v).alias("max")])
+        F.min(v).alias("min"), F.max(v).alias("max")])
+    keys = ["segment", "feature"] if segment else ["feature"]
+    out = _with_q(out, seg_quantiles(df, features, segment, [0.25, 0.5, 0.75], method), keys)
     return (out.withColumn("q25", F.col("_q")[0]).withColumn("q50", F.col("_q")[1])
             .withColumn("q75", F.col("_q")[2]).drop("_q"))
 
@@ -125,9 +147,7 @@ def describe(df: DataFrame, features, segment: str | None = None,
 def quantiles(df: DataFrame, features, probs=(0.05, 0.25, 0.75, 0.95),
               segment: str | None = None, method: str = "exact") -> DataFrame:
     """Quantiles by linear interpolation, one row per (segment, feature)."""
-    lf = long_form(df, features, ids=_seg_ids(segment))
-    out = grouped_agg(lf, segment, ["feature"],
-                      [percentile_expr(F.col("value"), list(probs), method).alias("_q")])
+    out = seg_quantiles(df, features, segment, list(probs), method)
     return out.select(*[c for c in out.columns if c != "_q"],
                       *[F.col("_q")[i].alias(_qname(p)) for i, p in enumerate(probs)])
 
@@ -172,8 +192,9 @@ def feature_stats(df: DataFrame, features, segment: str | None = None,
     v = F.col("value")
     out = grouped_agg(lf, segment, ["feature"], [
         F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.stddev_samp(v).alias("std"),
-        percentile_expr(v, [0.25, 0.75], method).alias("_q")])
+        F.stddev_samp(v).alias("std")])
+    keys = ["segment", "feature"] if segment else ["feature"]
+    out = _with_q(out, seg_quantiles(df, features, segment, [0.25, 0.75], method), keys)
     return (out.withColumn("q25", F.col("_q")[0]).withColumn("q75", F.col("_q")[1]).drop("_q"))
 
 
@@ -272,8 +293,7 @@ def box_stats(df: DataFrame, features, by, method: str = "exact") -> DataFrame:
     rows joined to the (size-checked) quartile table."""
     by = [by] if isinstance(by, str) else list(by)
     lf = long_form(df, features, ids=by).where(F.col("value").isNotNull())
-    q = (lf.groupBy(*by, "feature")
-         .agg(percentile_expr(F.col("value"), [0.25, 0.5, 0.75], method).alias("_q"))
+    q = (quantile_frame(lf, [*by, "feature"], [0.25, 0.5, 0.75], method)
          .select(*by, "feature", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3")))
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \

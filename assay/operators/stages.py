@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.operators._small import collect_bounded
-from assay.operators.profile import clean, long_form, percentile_expr, skew_expr
+from assay.operators.profile import clean, long_form, quantile_frame, skew_expr
 
 MAX_SEGMENTS = 10_000
 
@@ -106,19 +106,26 @@ class OutlierHandler(Estimator, _Base, DefaultParamsReadable, DefaultParamsWrita
                     out[s][c] = [lo, hi]
             return out
 
-        def agg(v):
-            return [percentile_expr(v, probs, qm)]
+        def quant(frame, cols):
+            lf = long_form(frame, cols, ids=[seg] if seg else [])
+            keys = ([seg] if seg else []) + ["feature"]
+            rows = collect_bounded(quantile_frame(lf, keys, probs, qm), MAX_SEGMENTS * max(1, len(cols)))
+            res: dict = {}
+            for r in rows:
+                s = r[seg] if seg else None
+                res.setdefault("" if s is None else str(s), {})[r["feature"]] = [r["_q"]]
+            return res
         if method == "remove" and self.getOrDefault(self.mode) == "sequential":
             state: dict = {}
             cur = df
             for c in self.cols():
-                st = bounds(_stats_by_segment(cur, [c], seg, agg))
+                st = bounds(quant(cur, [c]))
                 for s, d in st.items():
                     state.setdefault(s, {}).update(d)
                 part = OutlierModel(inputCols=[c], method=method, segmentCol=seg, state=json.dumps(st))
                 cur = part.transform(cur)
         else:
-            state = bounds(_stats_by_segment(df, self.cols(), seg, agg))
+            state = bounds(quant(df, self.cols()))
         return OutlierModel(inputCols=self.cols(), method=method, segmentCol=seg, state=json.dumps(state))
 
 
@@ -325,9 +332,8 @@ def mutual_info_scores(df: DataFrame, features, target: str, bins: int = 10) ->
     """F9 (re-aimed): MI between equal-frequency bins of each feature and the target class,
     in nats, from joint counts.  The bin edges are fitted quantiles (exact by default)."""
     probs = [i / bins for i in range(1, bins)]
-    edges = collect_bounded(long_form(df, features).groupBy("feature")
-                            .agg(F.percentile(F.col("value"), probs).alias("e")), 10_000)
-    edge_map = {r["feature"]: r["e"] for r in edges}
+    edges = collect_bounded(quantile_frame(long_form(df, features), ["feature"], probs), 10_000)
+    edge_map = {r["feature"]: r["_q"] for r in edges}
     lf = long_form(df, features, ids=[target]).where(F.col("value").isNotNull() & F.col(target).isNotNull())
     bin_expr = F.lit(0)
     for f in features:

@@ -96,8 +96,9 @@ pr AS (SELECT sp.*, CASE WHEN l_extendedprice < q.t1 THEN 0 WHEN l_extendedprice
 
 def _tertile_predictions(spark, sf):
     d = _split_frame(spark, sf)
-    t1, t2 = d.where(F.col("split") == "train").agg(
-        F.percentile("l_extendedprice", [1.0 / 3, 2.0 / 3]).alias("t")).first()["t"]
+    from assay.operators.profile import quantile_frame
+    tr = d.where(F.col("split") == "train").select(F.lit(1).alias("_k"), F.col("l_extendedprice").alias("value"))
+    t1, t2 = quantile_frame(tr, ["_k"], [1.0 / 3, 2.0 / 3]).first()["_q"]
     p = F.col("l_extendedprice")
     return d.where(F.col("split") == "test").withColumn(
         "prediction", F.when(p < t1, 0).when(p < t2, 1).otherwise(2))

@@ -84,3 +84,16 @@ def test_pca_variance_ratio(spark):
     ev = list(pm.stages[-1].explainedVariance)
     assert all(ev[i] >= ev[i + 1] for i in range(len(ev) - 1)) and sum(ev) == pytest.approx(1.0)
     assert k == 2 and cum >= 0.95
+
+
+def test_exact_quantiles_selection_matches_pandas_with_refinement(spark, monkeypatch):
+    import numpy as np
+    from assay.operators import quantiles as Q
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 6000).astype(str),
+                        "v": np.concatenate([rng.exponential(size=5500), np.full(500, 2.5)])})
+    df = spark.createDataFrame(pdf)
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    out = {r["g"]: r["_q"] for r in Q.exact_quantiles(df, ["g"], "v", probs, buckets=16, collect_limit=40).collect()}
+    for g, sub in pdf.groupby("g"):
+        assert out[g] == pytest.approx(sub["v"].quantile(probs).tolist(), abs=1e-12)
