@@ -139,3 +139,19 @@ def s7_report_text(spark, sf):
     path = scratch_path(spark, "s7-report")
     rep.select(F.concat(F.lit("| "), line, F.lit(" |")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
     return spark.read.text(path)
+
+
+@query("w5_nearest_threshold", f"SELECT segment, feature, nearest FROM ({REPORT_SQL})")
+def w5_nearest_threshold(spark, sf):
+    """The detected threshold nearest to the domain value (first in list order on ties)."""
+    return x4_threshold_report(spark, sf).select("segment", "feature", "nearest")
+
+
+@query("p19_recommendation", f"SELECT segment, feature, expected_effect, recommendation FROM ({REPORT_SQL})")
+def p19_recommendation(spark, sf):
+    return x4_threshold_report(spark, sf).select("segment", "feature", "expected_effect", "recommendation")
+
+
+@query("p20_verdict", f"SELECT segment, feature, domain, pct_diff, verdict FROM ({REPORT_SQL})")
+def p20_verdict(spark, sf):
+    return x4_threshold_report(spark, sf).select("segment", "feature", "domain", "pct_diff", "verdict")

@@ -274,3 +274,17 @@ def s3_write_partitioned(spark, sf):
     IO.write_table(_m(spark, sf), path, partition_by=SEG)
     back = IO.read_table(spark, path)
     return back.where(F.col(SEG) == "N").select(*KEYS, "score", SEG)
+
+
+@query("s2_records_batch", f"""WITH {M_SQL}
+SELECT l_returnflag, arg_min(l_extendedprice, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS l_extendedprice,
+  arg_min(l_discount, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS l_discount,
+  arg_min(l_tax, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS l_tax FROM m GROUP BY l_returnflag""")
+def s2_records_batch(spark, sf):
+    """A scoring batch given as in-memory records (here each segment's base row, one per
+    segment, handed over as Python tuples) becomes a table with a declared schema."""
+    base = OR.base_rows(_m(spark, sf).select(*KEYS, SEG, "l_extendedprice", "l_discount", "l_tax"), KEYS, SEG)
+    records = [(r[SEG], r["l_extendedprice"], r["l_discount"], r["l_tax"]) for r in base.collect()]
+    schema = T.StructType([T.StructField(SEG, T.StringType()), T.StructField("l_extendedprice", T.DoubleType()),
+                           T.StructField("l_discount", T.DoubleType()), T.StructField("l_tax", T.DoubleType())])
+    return IO.from_records(spark, records, schema)
