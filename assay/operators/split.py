@@ -32,49 +32,74 @@ def key_string(cols) -> Column:
 
 
 def kth_smallest(df: DataFrame, h: str, ks: dict, group: str | None = None) -> dict:
-    """For each group value g, the ks[g]-th smallest value of the long column ``h`` (1-based).
-    Returns {g: threshold}; a group with k <= 0 maps to None (nothing selected)."""
-    state = {g: [0, k] for g, k in ks.items() if k > 0}      # g -> [prefix, remaining k]
-    result = {g: None for g, k in ks.items() if k <= 0}
+    """For each target t -> (group value, k), the k-th smallest value of the long column
+    ``h`` within the group (1-based).  ``ks`` maps a target id to k (ungrouped) or to
+    (group value, k).  Returns {target: threshold}; k <= 0 gives None, k > n gives None
+    (everything is selected).
+
+    All targets share each pass: one histogram of the top bits per (group, bucket), then
+    one gather of the few wanted buckets, sorted on executors; only buckets larger than
+    FINISH_ROWS (a table of ~1e10 rows or more) go through further refinement passes."""
+    tg = {t: (v if isinstance(v, tuple) else ("", v)) for t, v in ks.items()}
+    result = {t: None for t, (_, k) in tg.items() if k <= 0}
+    live = {t: gv for t, gv in tg.items() if gv[1] > 0}
+    gcol = F.col(group).cast("string") if group else F.lit("")
     shift = HASH_BITS - BUCKET_BITS
-    gcol = F.col(group) if group else F.lit("")
-    while state:
-        prefix_width = HASH_BITS - shift - BUCKET_BITS
+    prefix = {t: 0 for t in live}
+    while live:
+        pw = HASH_BITS - shift - BUCKET_BITS
         cond = F.lit(False)
-        for g, (prefix, _) in state.items():
+        for t, (g, _) in live.items():
             c = (gcol == F.lit(g)) if group else F.lit(True)
-            if prefix_width > 0:
-                c = c & (F.shiftright(F.col(h), shift + BUCKET_BITS) == F.lit(prefix))
+            if pw > 0:
+                c = c & (F.shiftright(F.col(h), shift + BUCKET_BITS) == F.lit(prefix[t]))
             cond = cond | c
-        sub = df.where(cond)
-        counts = (sub.groupBy(gcol.alias("_g"), F.shiftright(F.col(h), shift).bitwiseAND((1 << BUCKET_BITS) - 1)
-                              .alias("_b")).agg(F.count(F.lit(1)).alias("_n")).collect())
-        by_group: dict = {}
-        for r in counts:
-            by_group.setdefault(r["_g"], []).append((r["_b"], r["_n"]))
-        nxt = {}
-        for g, (prefix, k) in state.items():
-            acc = 0
-            for b, n in sorted(by_group.get(g if group else "", [])):
+        bucket = F.shiftright(F.col(h), shift).bitwiseAND((1 << BUCKET_BITS) - 1)
+        hist = (df.where(cond).groupBy(gcol.alias("_g"), F.shiftright(F.col(h), shift + BUCKET_BITS).alias("_p"),
+                                       bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).collect())
+        by: dict = {}
+        for r in hist:
+            by.setdefault((r["_g"], r["_p"]), []).append((r["_b"], r["_n"]))
+        finish, nxt = {}, {}
+        for t, (g, k) in live.items():
+            acc, hit = 0, None
+            for b, n in sorted(by.get((g, prefix[t] if pw > 0 else 0), [])):
                 if acc + n >= k:
-                    new_prefix, rem, size = (prefix << BUCKET_BITS) | b, k - acc, n
+                    hit = ((prefix[t] << BUCKET_BITS) | b, k - acc, n)
                     break
                 acc += n
+            if hit is None:
+                result[t] = None          # fewer rows than k: everything is selected
+            elif hit[2] <= FINISH_ROWS or shift == 0:
+                finish[t] = (g, hit[0], hit[1])
             else:
-                result[g] = None  # fewer rows than k: everything is selected
-                continue
-            if size <= FINISH_ROWS or shift == 0:
-                pc = F.shiftright(F.col(h), shift) == F.lit(new_prefix)
-                c = ((gcol == F.lit(g)) & pc) if group else pc
-                top = df.where(c).select(h).orderBy(h).limit(rem).agg(F.max(h)).first()[0]
-                result[g] = top
-            else:
-                nxt[g] = [new_prefix, rem]
-        state = nxt
+                nxt[t] = (g, hit[1])
+                prefix[t] = hit[0]
+        if finish:
+            result.update(_gather_ranks(df, h, gcol, shift, finish))
+        live = nxt
         shift = max(0, shift - BUCKET_BITS)
     return result
 
 
+def _gather_ranks(df, h, gcol, shift, finish: dict) -> dict:
+    """One job: the hashes of every wanted (group, bucket) cell sorted on an executor,
+    returning only the wanted ranks."""
+    cells = {}
+    for t, (g, pref, rank) in finish.items():
+        cells.setdefault((g, pref), []).append((t, rank))
+    cond = F.lit(False)
+    for (g, pref) in cells:
+        cond = cond | ((gcol == F.lit(g)) & (F.shiftright(F.col(h), shift) == F.lit(pref)))
+    got = (df.where(cond).groupBy(gcol.alias("_g"), F.shiftright(F.col(h), shift).alias("_c"))
+           .agg(F.array_sort(F.collect_list(h)).alias("_s")).collect())
+    out = {}
+    for r in got:
+        for t, rank in cells.get((r["_g"], r["_c"]), []):
+            out[t] = r["_s"][rank - 1]
+    return out
+
+
 def with_split(df: DataFrame, key_cols, test_fraction: float = 0.2, seed: int = 42,
                stratify: str | None = None, out: str = "split") -> DataFrame:
     """M1 / M2: ``split`` = 'test' for the first ceil(f * n) rows (per class when stratified)
@@ -84,12 +109,12 @@ def with_split(df: DataFrame, key_cols, test_fraction: float = 0.2, seed: int =
         n = {r[0]: r[1] for r in d.groupBy(F.col(stratify).cast("string")).count().collect()}
         ks = {g: math.ceil(test_fraction * c) for g, c in n.items()}
         d = d.withColumn("_g", F.col(stratify).cast("string"))
-        th = kth_smallest(d, "_h", ks, "_g")
+        th = kth_smallest(d, "_h", {g: (g, k) for g, k in ks.items()}, "_g")
         cut = _lookup_threshold(th, F.col("_g"))
         d = d.withColumn(out, F.when(F.col("_h") <= cut, "test").otherwise("train")).drop("_g")
     else:
         n = d.count()
-        th = kth_smallest(d, "_h", {"": math.ceil(test_fraction * n)})[""]
+        th = kth_smallest(d, "_h", {"": ("", math.ceil(test_fraction * n))})[""]
         d = d.withColumn(out, F.when(F.lit(th).isNotNull() & (F.col("_h") <= F.lit(th)), "test")
                          .otherwise("train"))
     return d.drop("_h")
@@ -118,10 +143,10 @@ def with_folds(df: DataFrame, key_cols, k: int = 5, seed: int = 42, stratify: st
     g = F.col(stratify).cast("string") if stratify else F.lit("")
     d = d.withColumn("_g", g)
     n = {r[0]: r[1] for r in d.groupBy("_g").count().collect()}
+    targets = {(grp, i): (grp, sum(fold_sizes(c, k)[:i])) for grp, c in n.items() for i in range(1, k)}
+    th = kth_smallest(d, "_h", targets, "_g" if stratify else None)
     fold = F.lit(0)
     for i in range(1, k):
-        ks = {grp: sum(fold_sizes(c, k)[:i]) for grp, c in n.items()}
-        th = kth_smallest(d, "_h", ks, "_g" if stratify else None)
-        cut = _lookup_threshold(th, F.col("_g"))
+        cut = _lookup_threshold({grp: th[(grp, i)] for grp in n}, F.col("_g"))
         fold = fold + F.when(cut.isNotNull() & (F.col("_h") > cut), 1).otherwise(0)
     return d.withColumn(out, fold.cast("int")).drop("_h", "_g")

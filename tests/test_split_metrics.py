@@ -27,7 +27,7 @@ def test_kth_smallest_deep_refinement(spark, monkeypatch):
     df = spark.range(0, 500).withColumn("h", SP.hash60(F.col("id").cast("string")))
     vals = sorted(r[0] for r in df.select("h").collect())
     for k in (1, 77, 250, 500):
-        assert SP.kth_smallest(df, "h", {"": k})[""] == vals[k - 1]
+        assert SP.kth_smallest(df, "h", {"t": ("", k)})["t"] == vals[k - 1]
 
 
 def test_stratified_split_and_folds_balanced(spark):
