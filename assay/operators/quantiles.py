@@ -50,12 +50,24 @@ def exact_quantiles(lf: DataFrame, keys, value: str, probs, buckets: int = BUCKE
     """(keys..., _q array<double>) with one entry per prob; null for groups without values."""
     keys = list(keys)
     spark = lf.sparkSession
+    stats = order_stats(lf, keys, value, probs, buckets, collect_limit)
+    rows = [(*g, [va + (pos - a) * (vb - va) for pos, a, va, vb in os]) for g, os in stats.items()]
+    schema = lf.select(*keys).schema.add("_q", T.ArrayType(T.DoubleType()))
+    return spark.createDataFrame(rows, schema)
+
+
+def order_stats(lf: DataFrame, keys, value: str, probs, buckets: int = BUCKETS,
+                collect_limit: int = COLLECT_LIMIT) -> dict:
+    """{group tuple: [(pos, a, v_a, v_b) per prob]}: the two order statistics around each
+    interpolation position.  A monotone transform of the data (a clip) maps them to the
+    transformed data's order statistics, so one selection can serve both."""
+    keys = list(keys)
     v = F.col(value).cast("double")
     data = lf.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     st = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     stats = collect_bounded(st, MAX_GROUPS)
     if not stats:
-        return spark.createDataFrame([], lf.select(*keys).schema.add("_q", T.ArrayType(T.DoubleType())))
+        return {}
     # 2. level-one histogram on every group
     j = attach(data, st, keys)
     hist = (j.groupBy(*keys, _bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), buckets).alias("_b"))
@@ -94,18 +106,12 @@ def exact_quantiles(lf: DataFrame, keys, value: str, probs, buckets: int = BUCKE
         sub = data.where(cond)
         for rr in need[gb]:
             values[(g, bk, rr)] = _select_rank(sub, "_v", rr, buckets, collect_limit)
-    # 4. interpolate
-    rows = []
+    out = {}
     for s in stats:
         g = tuple(s[k] for k in keys)
-        qs = []
-        for pos, a, b in _ranks(s["_n"], probs):
-            va = values[(g, *where[(g, a)])]
-            vb = values[(g, *where[(g, b)])]
-            qs.append(va + (pos - a) * (vb - va))
-        rows.append((*g, qs))
-    schema = lf.select(*keys).schema.add("_q", T.ArrayType(T.DoubleType()))
-    return spark.createDataFrame(rows, schema)
+        out[g] = [(pos, a, values[(g, *where[(g, a)])], values[(g, *where[(g, b)])])
+                  for pos, a, b in _ranks(s["_n"], probs)]
+    return out
 
 
 def _gather(j: DataFrame, keys, wanted: dict, buckets):

@@ -42,14 +42,12 @@ c AS (SELECT ul.segment, ul.feature, CASE WHEN value < {lo} THEN {lo} WHEN value
 @query("f1_iqr_clip_describe", _clip_sql(0.25, 0.75, True))
 def f1_iqr_clip_describe(spark, sf):
     """Flagship: IQR clip fitted per segment and for all rows, then describe."""
-    lf = O.apply_by_segment(measurements(spark, sf), FEATS, SEG, "clip")
-    return rounded(O.describe_long(lf))
+    return rounded(O.clip_describe(measurements(spark, sf), FEATS, SEG, "clip"))
 
 
 @query("f3_winsorize_describe", _clip_sql(0.05, 0.95, False))
 def f3_winsorize_describe(spark, sf):
-    lf = O.apply_by_segment(measurements(spark, sf), FEATS, SEG, "winsorize")
-    return rounded(O.describe_long(lf))
+    return rounded(O.clip_describe(measurements(spark, sf), FEATS, SEG, "winsorize"))
 
 
 _REMOVE = UL + """,
