@@ -34,11 +34,29 @@ FOREST_DEPTH = 12       # forests: 100 trees grown to depth 30 cost ~50x more (m
 
 # Deep levels aggregate node statistics per pass; a larger budget and cached node ids
 # mean fewer passes over the data (measured 105 s -> 71 s for the B1 forest).
+# The budget is capped at 1/8 of the configured executor (or local driver) heap.
 TREE_KW = dict(maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
 # Depth-3 boosting gains nothing from cached node ids (measured 24.7 s -> 12.7 s for 20
 # rounds without); checkpointing every 25 rounds still bounds the lineage for recovery.
 GBT_KW = dict(maxMemoryInMB=1024, cacheNodeIds=False, checkpointInterval=25)
 
+
+def _heap_mb() -> int:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    conf = spark.sparkContext.getConf() if spark else None
+    raw = (conf.get("spark.executor.memory", None) or conf.get("spark.driver.memory", "1g")) if conf else "1g"
+    raw = raw.strip().lower()
+    unit = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}.get(raw[-1], 1 / (1024 * 1024))
+    num = float(raw[:-1]) if raw[-1] in "kmgt" else float(raw)
+    return int(num * unit)
+
+
+def _budget(kw: dict) -> dict:
+    out = dict(kw)
+    out["maxMemoryInMB"] = max(256, min(kw["maxMemoryInMB"], _heap_mb() // 8))
+    return out
+
 REGRESSORS = ["Linear Regression", "Ridge Regression", "Lasso Regression", "ElasticNet",
               "Decision Tree", "Random Forest", "Gradient Boosting", "SVR", "KNN"]
 CLASSIFIERS = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting", "SVC", "KNN"]
@@ -66,12 +84,12 @@ def regressor(name: str, n: int, label_std: float, features: str = "features", l
         return LinearRegression(regParam=reg, elasticNetParam=alpha * l1 / reg if reg else 0.0,
                                 standardization=False, **common)
     if name == "Decision Tree":
-        return DecisionTreeRegressor(maxDepth=max_depth, seed=SEED, **TREE_KW, **common)
+        return DecisionTreeRegressor(maxDepth=max_depth, seed=SEED, **_budget(TREE_KW), **common)
     if name == "Random Forest":
         return RandomForestRegressor(numTrees=num_trees, featureSubsetStrategy="all", maxDepth=forest_depth,
-                                     seed=SEED, **TREE_KW, **common)
+                                     seed=SEED, **_budget(TREE_KW), **common)
     if name == "Gradient Boosting":
-        return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **GBT_KW, **common)
+        return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **_budget(GBT_KW), **common)
     if name == "SVR":
         rff = RandomFourierFeatures(inputCol=features, outputCol="_rff", numFeatures=200, seed=SEED)
         lin = LinearRegression(featuresCol="_rff", labelCol=label, loss="huber", regParam=1.0 / max(n, 1))
@@ -90,12 +108,12 @@ def classifier(name: str, n: int, num_classes: int, features: str = "features",
         return LogisticRegression(maxIter=1000, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
                                   standardization=False, family="auto", **common)
     if name == "Decision Tree":
-        return DecisionTreeClassifier(maxDepth=max_depth, seed=SEED, **TREE_KW, **common)
+        return DecisionTreeClassifier(maxDepth=max_depth, seed=SEED, **_budget(TREE_KW), **common)
     if name == "Random Forest":
         return RandomForestClassifier(numTrees=num_trees, featureSubsetStrategy="sqrt", maxDepth=forest_depth,
-                                      seed=SEED, **TREE_KW, **common)
+                                      seed=SEED, **_budget(TREE_KW), **common)
     if name == "Gradient Boosting":
-        gbt = GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **GBT_KW, **common)
+        gbt = GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **_budget(GBT_KW), **common)
         return gbt if num_classes <= 2 else SoftmaxOneVsRest(classifier=gbt, **common)
     if name == "SVC":
         rff = RandomFourierFeatures(inputCol=features, outputCol="_rff", numFeatures=200, seed=SEED)
