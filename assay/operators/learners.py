@@ -117,7 +117,7 @@ def classifier(name: str, n: int, num_classes: int, features: str = "features",
         return gbt if num_classes <= 2 else SoftmaxOneVsRest(classifier=gbt, **common)
     if name == "SVC":
         rff = RandomFourierFeatures(inputCol=features, outputCol="_rff", numFeatures=200, seed=SEED)
-        svc = LinearSVC(featuresCol="_rff", labelCol=label, regParam=1.0 / max(n, 1), maxIter=200)
+        svc = LinearSVC(featuresCol="_rff", labelCol=label, regParam=1.0 / max(n, 1), maxIter=100)
         head = svc if num_classes <= 2 else SoftmaxOneVsRest(classifier=svc, featuresCol="_rff", labelCol=label)
         return Pipeline(stages=[rff, head])
     if name == "KNN":
