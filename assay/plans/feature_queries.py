@@ -211,3 +211,19 @@ def f11_feature_pipeline(spark, sf):
     m = measurements(spark, sf)
     pm = feature_pipeline(FEATS, SEG, ROLES).fit(m)
     return pm.transform(m)
+
+
+@query("f4_skew_transform_events", """WITH e AS (SELECT event_type, value FROM events)
+SELECT ROUND(SKEWNESS(value), 6) AS skew, ROUND(SUM(LN(1 + value)), 6) AS value_log_total,
+  CASE WHEN SKEWNESS(value) > 0.5 THEN 'value_log' WHEN SKEWNESS(value) > 0.3 THEN 'value_sqrt' END AS added FROM e""")
+def f4_skew_transform_events(spark, sf):
+    """F4 on binding B2 (events.value, strongly right-skewed): the decision and the sum of
+    the added column."""
+    from assay.plans.bindings import events
+    ev = events(spark, sf)
+    m = ST.SkewTransformer(inputCols=["value"]).fit(ev)
+    added = (m.outputCols() or [None])[0]
+    out = m.transform(ev)
+    total = F.sum("value_log") if "value_log" in out.columns else F.lit(None).cast("double")
+    return rounded(out.agg(F.lit(m.fitted()["skew"]["value"]).alias("skew"), total.alias("value_log_total"),
+                           F.lit(added).cast("string").alias("added")))

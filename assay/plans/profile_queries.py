@@ -237,3 +237,20 @@ SELECT l_returnflag, score, COUNT(*) AS n,
 FROM m GROUP BY l_returnflag, score""")
 def w1_percent_of_segment(spark, sf):
     return rounded(P.percent_of_segment(_m(spark, sf), SEG, "score"))
+
+
+_ORDERS = """ol AS (SELECT o.o_orderkey, o.o_orderpriority, CAST(COUNT(*) AS DOUBLE) AS n_lines, AVG(l.l_discount) AS avg_discount,
+  AVG(l.l_tax) AS avg_tax, SUM(l.l_quantity) AS sum_quantity, ANY_VALUE(o.o_totalprice) AS o_totalprice
+  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey, o.o_orderpriority)"""
+
+
+@query("a13_trend_orders", f"""WITH {_ORDERS},
+lf AS ({sql_long('ol', ['n_lines', 'sum_quantity'], ids=['o_orderpriority', 'o_totalprice'])})
+SELECT {seg_label('o_orderpriority')}, feature, {r6('REGR_SLOPE(o_totalprice, value)', 'slope')},
+  {r6('REGR_INTERCEPT(o_totalprice, value)', 'intercept')}, {r6('REGR_R2(o_totalprice, value)', 'r2')},
+  REGR_COUNT(o_totalprice, value) AS n
+FROM lf GROUP BY GROUPING SETS ((o_orderpriority, feature), (feature))""")
+def a13_trend_orders(spark, sf):
+    """A13 on binding B5: order total price against its line aggregates, per priority and all."""
+    from assay.plans.bindings import order_lines
+    return rounded(P.trend(order_lines(spark, sf), ["n_lines", "sum_quantity"], "o_totalprice", "o_orderpriority"))
