@@ -129,16 +129,19 @@ def suffix_automaton(seq: list[int]) -> list[dict[int, int]]:
 
 def parse_machine(seq: list[int]) -> np.ndarray:
     """Dense greedy-parse table: ``machine[state + symbol]`` is the next state (a row
-    offset); its complement when the phrase ended and a new one began with the symbol."""
+    offset); its complement when the phrase ended and a new one began with the symbol.
+    A symbol that the text lacks is a phrase of its own (a last state without a way on)."""
     nxt = suffix_automaton(seq)
-    start = np.zeros(CLASSES, dtype=np.int32)
+    alone = len(nxt)
+    start = np.full(CLASSES, alone * CLASSES, dtype=np.int32)
     for c, q in nxt[0].items():
         start[c] = q * CLASSES
-    machine = np.tile(~start, (len(nxt), 1))
+    machine = np.tile(~start, (alone + 1, 1))
+    machine[0] = start
     for s, row in enumerate(nxt):
         for c, q in row.items():
             machine[s, c] = q * CLASSES
-    machine[:, PAD] = np.arange(len(nxt), dtype=np.int32) * CLASSES
+    machine[:, PAD] = np.arange(alone + 1, dtype=np.int32) * CLASSES
     return machine.ravel()
 
 

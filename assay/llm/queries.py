@@ -1,6 +1,6 @@
 """All registered queries of the subpackage."""
 
-from assay.llm import op1, op3, op10  # noqa: F401  (importing registers)
+from assay.llm import op1, op3, op4, op10  # noqa: F401  (importing registers)
 from assay.llm._common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

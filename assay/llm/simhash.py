@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, cut
+from assay.llm._common import append_columns, col, cut
 from assay.llm.components import components
 
 SEED = 42
@@ -184,16 +184,48 @@ def links(fps: DataFrame, radius: int, limit: int = SHARD_LIMIT) -> DataFrame:
         .mapInArrow(search, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    radius: int = 2, limit: int = SHARD_LIMIT) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` (signed bits) and ``component_id``, the
-    smallest id reachable over links."""
-    fps = cut(fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text",
-                           shingle, ["doc_id"]))
+def grouped(fps: DataFrame, radius: int, limit: int = SHARD_LIMIT) -> DataFrame:
+    """``(fp, component_id)`` of the fingerprints in ``fps(doc_id, fp)``; the component's
+    id is the smallest doc_id reachable over links."""
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
     member = components(links(distinct.select("fp"), radius, limit))
     joined = distinct.join(member, distinct.fp == member.node, "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    return fps.join(joined.join(least, "root").select("fp", "component_id"), "fp") \
-        .select("doc_id", "fp", "component_id")
+    return joined.join(least, "root").select("fp", "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                    radius: int = 2, limit: int = SHARD_LIMIT) -> DataFrame:
+    """One row per document: ``doc_id``, ``fp`` (signed bits) and ``component_id``, the
+    smallest id reachable over links."""
+    src = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
+    fps = cut(fingerprints(src, "text", shingle, ["doc_id"]))
+    return fps.join(grouped(fps, radius, limit), "fp").select("doc_id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                    radius: int = 2, limit: int = SHARD_LIMIT) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the row with the smallest id
+    (a null id only when all are null; equal ids go by the text's hash, fully equal
+    texts by the other columns)."""
+    src = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
+    fps = fingerprints(src.withColumn("tkey", F.xxhash64("text")), "text", shingle, ["doc_id", "tkey"])
+    fps = cut(fps)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"),
+                     F.col("tkey").alias("tkey"))
+    rows = fps.groupBy("fp", "doc_id", "tkey").agg(F.count(F.lit(1)).alias("n"))
+    stay = rows.join(grouped(fps, radius, limit), "fp").groupBy("root") \
+        .agg(F.min_by(F.struct(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey"), F.col("n").alias("_n")),
+                      place).alias("s")).select("s.*")
+    stay = cut(stay)
+    keyed = (col(id_col).eqNullSafe(F.col("_id"))) & (F.xxhash64(col(text_col).cast("string")) == F.col("_tkey"))
+    out = docs.join(stay.where("_n = 1"), keyed, "left_semi")
+    again = stay.where("_n > 1")
+    if not again.isEmpty():
+        others = [c for c in docs.columns if c not in (id_col, text_col)]
+        one = docs.join(again, keyed, "left_semi").groupBy(col(id_col), col(text_col)) \
+            .agg(F.min(F.struct(F.lit(0).alias("_"), *[col(c) for c in others])).alias("_row"))
+        out = out.unionByName(one.select(*[col(c) if c in (id_col, text_col) else F.col("_row").getField(c).alias(c)
+                                           for c in docs.columns]))
+    return out

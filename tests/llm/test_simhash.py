@@ -5,6 +5,7 @@ import xxhash
 
 from assay.llm import simhash as S
 from pyspark.sql import functions as F
+from tests_llm_support import brute_components
 
 
 def brute_fp(text, k=3):
@@ -16,25 +17,6 @@ def brute_fp(text, k=3):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def brute_components(ids, fps, radius):
-    parent = list(range(len(ids)))
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-    for i in range(len(ids)):
-        for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= radius:
-                a, b = root(i), root(j)
-                parent[max(a, b)] = min(a, b)
-    least = {}
-    for i in range(len(ids)):
-        if ids[i] is not None:
-            least[root(i)] = min(least.get(root(i), ids[i]), ids[i])
-    return [least.get(root(i)) for i in range(len(ids))]
-
-
 def test_fingerprint_and_spark_hash(spark):
     texts = ["a b c d e", "A  B\tc", "one two", "", None, "x", " ", "Ünï céd É é a", "w " * 5000]
     assert [S.fingerprint(t, 3) for t in texts] == [brute_fp(t) for t in texts]
