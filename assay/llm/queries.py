@@ -1,6 +1,6 @@
 """All registered queries of the subpackage."""
 
-from assay.llm import op1, op2, op3, op4, op8, op9, op10  # noqa: F401  (importing registers)
+from assay.llm import op1, op2, op3, op4, op6, op8, op9, op10  # noqa: F401  (importing registers)
 from assay.llm._common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
