@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.operators._small import attach
+from assay.operators._small import attach, settled
 from assay.operators.profile import ALL, long_form, quantile_frame
+from assay.operators.quantiles import interpolated, order_statistics
 from assay.operators.stages import clip
 
 
@@ -31,61 +32,30 @@ def fitted_bounds(ul: DataFrame, method: str = "clip", factor: float = 1.5,
     return q.select("segment", "feature", (a - factor * (b - a)).alias("lo"), (b + factor * (b - a)).alias("hi"))
 
 
-def apply_by_segment(df: DataFrame, features, segment: str | None, method: str = "clip",
-                     ids=(), factor: float = 1.5) -> DataFrame:
-    """Long output (ids..., segment, feature, value) after clip / winsorize; for 'remove'
-    the rows outside any feature's bounds of that label are dropped (joint mode)."""
-    ul = labelled_long(df, features, segment, ids)
-    j = attach(ul, fitted_bounds(ul, method, factor), ["segment", "feature"])
-    v = F.col("value")
-    if method == "remove":
-        ok = v.isNotNull() & (v >= F.col("lo")) & (v <= F.col("hi"))
-        return j.withColumn("ok", ok).select(*ids, "segment", "feature", "value", "ok")
-    return j.select(*ids, "segment", "feature", clip(v, F.col("lo"), F.col("hi")).alias("value"))
-
-
-def describe_long(lf: DataFrame, keys=("segment", "feature"), method: str = "exact") -> DataFrame:
-    v = F.col("value")
-    out = lf.groupBy(*keys).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    out = out.join(quantile_frame(lf, keys, [0.25, 0.5, 0.75], method), list(keys), "left")
-    return out.select(*keys, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"),
-                      F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max")
-
-
 def clip_describe(df: DataFrame, features, segment: str | None, method: str = "clip",
                   factor: float = 1.5) -> DataFrame:
     """F1/F3 + A5 per label in few passes: one exact selection on the raw values gives the
     order statistics for the bounds *and* for the clipped quartiles (clipping is monotone,
     so clipped order statistics are the clipped raw ones); count/mean/std/min/max of the
-    clipped values are one more aggregate with the bounds inlined as a literal map."""
-    from assay.operators.quantiles import order_stats
+    clipped values are one more aggregate with the bounds joined by size-checked broadcast."""
     ul = labelled_long(df, features, segment)
     fit_p = [0.05, 0.95] if method == "winsorize" else [0.25, 0.75]
     desc_p = [0.25, 0.5, 0.75]
     probs = sorted(set(fit_p + desc_p))
-    os_ = order_stats(ul, ["segment", "feature"], "value", probs)
-    bounds, quart = {}, {}
-    for g, stats in os_.items():
-        q = {p: va + (pos - a) * (vb - va) for p, (pos, a, va, vb) in zip(probs, stats)}
-        a_, b_ = q[fit_p[0]], q[fit_p[1]]
-        lo, hi = (a_, b_) if method == "winsorize" else (a_ - factor * (b_ - a_), b_ + factor * (b_ - a_))
-        bounds[g] = (lo, hi)
-
-        def c(v):
-            return hi if v > hi else lo if v < lo else v
-        quart[g] = [c(va) + (pos - a) * (c(vb) - c(va)) for p, (pos, a, va, vb) in zip(probs, stats) if p in desc_p]
-    key = F.concat_ws("\u0001", F.col("segment"), F.col("feature"))
-    lo_m = F.create_map(*[x for g, (lo, _) in bounds.items() for x in (F.lit("\u0001".join(g)), F.lit(lo))])
-    hi_m = F.create_map(*[x for g, (_, hi) in bounds.items() for x in (F.lit("\u0001".join(g)), F.lit(hi))])
-    v = clip(F.col("value"), F.element_at(lo_m, key), F.element_at(hi_m, key))
-    agg = (ul.select("segment", "feature", v.alias("value")).groupBy("segment", "feature")
+    keys = ["segment", "feature"]
+    os_ = order_statistics(ul, keys, "value", probs)
+    at = {p: F.col("_os")[i] for i, p in enumerate(probs)}
+    a, b = interpolated(at[fit_p[0]]), interpolated(at[fit_p[1]])
+    spread = F.lit(factor) * (b - a)
+    fitted = os_.withColumn("lo", a if method == "winsorize" else a - spread) \
+        .withColumn("hi", b if method == "winsorize" else b + spread)
+    q = F.array(*[interpolated(at[p], lambda v: clip(v, F.col("lo"), F.col("hi"))) for p in desc_p])
+    fitted = settled(fitted.select(*keys, "lo", "hi", q.alias("_q")))
+    clipped = attach(ul, fitted.select(*keys, "lo", "hi"), keys, "left") \
+        .select(*keys, clip(F.col("value"), F.col("lo"), F.col("hi")).alias("value"))
+    agg = (clipped.groupBy(*keys)
            .agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
                 F.min("value").alias("min"), F.max("value").alias("max")))
-    spark = df.sparkSession
-    qdf = spark.createDataFrame([(g[0], g[1], qs) for g, qs in quart.items()],
-                                "segment string, feature string, _q array<double>")
-    out = agg.join(qdf, ["segment", "feature"], "left")
-    return out.select("segment", "feature", "count", "mean", "std", "min", F.col("_q")[0].alias("q25"),
+    out = agg.join(fitted, keys, "left")
+    return out.select(*keys, "count", "mean", "std", "min", F.col("_q")[0].alias("q25"),
                       F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max")

@@ -1,151 +1,117 @@
-"""Exact linear-interpolation quantiles with bounded memory (pandas / DuckDB ``quantile_cont``).
+"""Exact order statistics and linear-interpolation quantiles by distributed selection
+(pandas / DuckDB ``quantile_cont``).
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one aggregation
-buffer, which does not survive a group holding a third of 100 TB.  Here the order
-statistics a quantile needs are *selected* instead:
-
-1. one aggregate: n, min, max per group;
-2. one histogram: rows bucketed into B equal-width buckets of their group's range,
-   counted per (group, bucket) -- output at most groups x B rows;
-3. the driver walks each group's histogram to the bucket holding each needed rank;
-4. rows in those buckets only are gathered and sorted per (group, bucket), and the
-   ranks are read off.  A bucket larger than ``collect_limit`` is refined again with
-   the same bucket formula inside it (membership stays exact), so every task holds at
-   most ``collect_limit`` values whatever the skew.
-
-Passes re-read the input; pass only the needed columns (the scan prunes the rest).
+buffer, which does not survive a group holding a third of 100 TB.  Here the needed ranks of
+all groups are narrowed together, one scan per level:
+
+1. a histogram over magnitude buckets (a quarter of an octave each, the infinities and
+   zero by themselves) gives count, min and max per (group, bucket); a window over each
+   group's few buckets finds the one that holds each rank, and its min and max become the
+   rank's interval;
+2. each further level cuts the open intervals of all ranks into ``buckets`` equal parts
+   and looks again at the rows inside them only.
+
+A rank is settled when its interval is one value.  An interval's two ends never fall into
+one part, so every level narrows; as a magnitude bucket spans less than 2^52 steps, about
+``52 / log2(buckets)`` levels settle any data, whatever its size.  There is no size at which
+the method changes, nothing but one count per level reaches the driver, and a window sees at
+most one row per bucket.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from assay.operators._small import attach, collect_bounded
+from assay.operators._small import attach, settled
 
 BUCKETS = 4096
-COLLECT_LIMIT = 500_000
-MAX_GROUPS = 200_000
+INFINITE = 100_000      # magnitude bucket of an infinity
 
 
-def _ranks(n: int, probs):
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        a = math.floor(pos)
-        out.append((pos, a, min(a + 1, n - 1)))
-    return out
+def magnitude_bucket(v: Column) -> Column:
+    """Monotone bucket of any double: quarter octaves of its magnitude, signed."""
+    size = F.floor(F.log2(F.abs(v)) * 4) + 5000
+    return F.when(v == 0, 0).when(F.abs(v) == float("inf"), F.signum(v) * INFINITE) \
+        .otherwise(F.signum(v) * size).cast("long")
 
 
-def _bucket(v, lo, hi, B):
-    return F.when(hi > lo, F.least(F.greatest(F.floor((v - lo) * B / (hi - lo)), F.lit(0)), F.lit(B - 1))) \
-            .otherwise(F.lit(0)).cast("int")
+def part_of(v: Column, lo: Column, hi: Column, buckets: int) -> Column:
+    """Which of ``buckets`` equal parts of [lo, hi] holds v; the ends are in the first and
+    the last.  Halved first, so that the width of a finite interval is finite."""
+    share = (v / 2 - lo / 2) / (hi / 2 - lo / 2)
+    return F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("long")
 
 
-def exact_quantiles(lf: DataFrame, keys, value: str, probs, buckets: int = BUCKETS,
-                    collect_limit: int = COLLECT_LIMIT) -> DataFrame:
-    """(keys..., _q array<double>) with one entry per prob; null for groups without values."""
-    keys = list(keys)
-    spark = lf.sparkSession
-    stats = order_stats(lf, keys, value, probs, buckets, collect_limit)
-    rows = [(*g, [va + (pos - a) * (vb - va) for pos, a, va, vb in os]) for g, os in stats.items()]
-    schema = lf.select(*keys).schema.add("_q", T.ArrayType(T.DoubleType()))
-    return spark.createDataFrame(rows, schema)
-
-
-def order_stats(lf: DataFrame, keys, value: str, probs, buckets: int = BUCKETS,
-                collect_limit: int = COLLECT_LIMIT) -> dict:
-    """{group tuple: [(pos, a, v_a, v_b) per prob]}: the two order statistics around each
-    interpolation position.  A monotone transform of the data (a clip) maps them to the
-    transformed data's order statistics, so one selection can serve both."""
+def select_ranks(data: DataFrame, keys: list[str], ranks: DataFrame, first: Column, part, buckets: int = BUCKETS) -> DataFrame:
+    """``(keys..., r, x)``: the r-th smallest ``_v`` (from 0) of each group.
+
+    ``data`` has the keys and ``_v``; ``ranks`` the keys and ``r`` (0 <= r < group size);
+    ``first`` buckets a value monotonically on the first level, ``part(v, lo, hi, buckets)``
+    inside an interval."""
+    hist = data.groupBy(*keys, first.alias("_b"))
+    open_ = ranks.distinct().withColumn("_at", F.lit(0).cast("long")).withColumn("_left", F.col("r").cast("long"))
+    done = None
+    while True:
+        hist = hist.agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        if "_at" not in hist.columns:
+            hist = hist.withColumn("_at", F.lit(0).cast("long"))
+        before = Window.partitionBy(*keys, "_at").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        hit = open_.join(hist, [*keys, "_at"]).where("_left >= _before and _left < _before + _n")
+        # An interval is named by the smallest of the ranks it holds: unique in its group.
+        name = F.min("r").over(Window.partitionBy(*keys, "_at", "_b"))
+        hit = settled(hit.select(*keys, "r", name.cast("long").alias("_to"), "_lo", "_hi",
+                                 (F.col("_left") - F.col("_before")).alias("_left")).withColumnRenamed("_to", "_at"))
+        found = hit.where("_lo = _hi").select(*keys, "r", F.col("_lo").alias("x"))
+        done = found if done is None else done.unionByName(found)
+        open_ = hit.where("_lo < _hi")
+        if open_.isEmpty():
+            return done
+        cells = open_.groupBy(*keys).agg(F.collect_set(F.struct("_at", "_lo", "_hi")).alias("_cells"))
+        inside = F.filter("_cells", lambda c: (F.col("_v") >= c["_lo"]) & (F.col("_v") <= c["_hi"]))
+        rows = attach(data, cells, keys).withColumn("_c", F.get(inside, F.lit(0))).where("_c is not null")
+        hist = rows.groupBy(*keys, F.col("_c._at").alias("_at"),
+                            part(F.col("_v"), F.col("_c._lo"), F.col("_c._hi"), buckets).alias("_b"))
+        open_ = open_.select(*keys, "r", "_at", "_left")
+
+
+def order_statistics(lf: DataFrame, keys, value: str, probs, buckets: int = BUCKETS) -> DataFrame:
+    """``(keys..., _os)``: per prob a struct (p, share, low, high), the two order statistics
+    around the interpolation position and how far it lies between them.  A monotone transform
+    of the data (a clip) maps them to the transformed data's, so one selection serves both.
+    Nulls and NaN do not count; groups without values are absent."""
     keys = list(keys)
     v = F.col(value).cast("double")
-    data = lf.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    st = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    stats = collect_bounded(st, MAX_GROUPS)
-    if not stats:
-        return {}
-    # 2. level-one histogram on every group
-    j = attach(data, st, keys)
-    hist = (j.groupBy(*keys, _bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), buckets).alias("_b"))
-            .agg(F.count(F.lit(1)).alias("_c")))
-    counts: dict = {}
-    for r in collect_bounded(hist, MAX_GROUPS * buckets):
-        counts.setdefault(tuple(r[k] for k in keys), {})[r["_b"]] = r["_c"]
-    # 3. locate each needed rank: target -> (group, bucket, rank within bucket)
-    need: dict = {}      # (group, bucket) -> set of ranks within the bucket
-    where: dict = {}     # (group, rank) -> (bucket, rank within bucket)
-    for s in stats:
-        g = tuple(s[k] for k in keys)
-        hs = sorted(counts.get(g, {}).items())
-        for _, a, b in _ranks(s["_n"], probs):
-            for r in (a, b):
-                acc = 0
-                for bk, c in hs:
-                    if r < acc + c:
-                        where[(g, r)] = (bk, r - acc)
-                        need.setdefault((g, bk), set()).add(r - acc)
-                        break
-                    acc += c
-    sizes = {gb: counts[gb[0]][gb[1]] for gb in need}
-    values: dict = {}
-    small = {gb: rs for gb, rs in need.items() if sizes[gb] <= collect_limit}
-    big = [gb for gb in need if sizes[gb] > collect_limit]
-    if small:
-        values.update(_gather(j, keys, small, buckets))
-    for gb in big:   # only when a single bucket holds more than collect_limit rows
-        g, bk = gb
-        s = next(x for x in stats if tuple(x[k] for k in keys) == g)
-        cond = F.lit(True)
-        for k, gv in zip(keys, g):
-            cond = cond & (F.col(k) == F.lit(gv))
-        cond = cond & (_bucket(F.col("_v"), F.lit(s["_lo"]), F.lit(s["_hi"]), buckets) == bk)
-        sub = data.where(cond)
-        for rr in need[gb]:
-            values[(g, bk, rr)] = _select_rank(sub, "_v", rr, buckets, collect_limit)
-    out = {}
-    for s in stats:
-        g = tuple(s[k] for k in keys)
-        out[g] = [(pos, a, values[(g, *where[(g, a)])], values[(g, *where[(g, b)])])
-                  for pos, a, b in _ranks(s["_n"], probs)]
-    return out
-
-
-def _gather(j: DataFrame, keys, wanted: dict, buckets):
-    """For each wanted (group, bucket) cell, sort its values on an executor and return only
-    the needed ranks: {(group, bucket, rank): value}."""
-    spark = j.sparkSession
-    w = spark.createDataFrame([(*g, int(b), sorted(int(x) for x in rs)) for (g, b), rs in wanted.items()],
-                              j.select(*keys).schema.add("_b", T.IntegerType()).add("_r", T.ArrayType(T.IntegerType())))
-    cells = j.withColumn("_b", _bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), buckets))
-    got = (attach(cells, w, [*keys, "_b"]).groupBy(*keys, "_b")
-           .agg(F.array_sort(F.collect_list("_v")).alias("_s"), F.first("_r").alias("_r"))
-           .select(*keys, "_b", "_r", F.transform("_r", lambda i: F.element_at("_s", i + 1)).alias("_x")))
-    res = {}
-    for r in got.collect():
-        g = tuple(r[k] for k in keys)
-        for i, x in zip(r["_r"], r["_x"]):
-            res[(g, r["_b"], i)] = x
-    return res
-
-
-def _select_rank(sub: DataFrame, v: str, r: int, buckets: int, limit: int) -> float:
-    """r-th smallest (0-based) of ``sub`` by repeated histogram refinement (one group)."""
-    while True:
-        st = sub.agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
-        if st["n"] <= limit or st["lo"] == st["hi"]:
-            if st["lo"] == st["hi"]:
-                return st["lo"]
-            vals = sorted(x[0] for x in sub.select(v).collect())
-            return vals[r]
-        b = _bucket(F.col(v), F.lit(st["lo"]), F.lit(st["hi"]), buckets)
-        hs = sorted((x["_b"], x["c"]) for x in sub.groupBy(b.alias("_b")).agg(F.count(F.lit(1)).alias("c")).collect())
-        acc = 0
-        for bk, c in hs:
-            if r < acc + c:
-                sub, r = sub.where(b == bk), r - acc
-                break
-            acc += c
+    kn = [f"_g{i}" for i in range(len(keys) or 1)]
+    # Joins drop null keys, so each key travels as a string that tells null from a value.
+    told = [F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")).alias(n) for k, n in zip(keys, kn)] \
+        or [F.lit("").alias(kn[0])]
+    data = lf.where(v.isNotNull() & ~F.isnan(v)).select(*told, F.when(v == 0, F.lit(0.0)).otherwise(v).alias("_v"))
+    size = settled(lf.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                   .select(*told, *keys, "_n").where("_n > 0"))
+    at = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    wanted = size.select(*kn, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), (q - F.floor(q)).alias("share"), F.floor(q).alias("a"),
+                 F.least(F.floor(q) + 1, F.col("_n") - 1).alias("b")) for i, (p, q) in enumerate(zip(probs, at))])).alias("t")) \
+        .select(*kn, "t.*")
+    ranks = wanted.select(*kn, F.explode(F.array(F.col("a").cast("long"), F.col("b").cast("long"))).alias("r"))
+    got = settled(select_ranks(data, kn, ranks, magnitude_bucket(F.col("_v")), part_of, buckets))
+    both = wanted.join(got.withColumnRenamed("r", "a").withColumnRenamed("x", "low"), [*kn, "a"]) \
+        .join(got.withColumnRenamed("r", "b").withColumnRenamed("x", "high"), [*kn, "b"])
+    out = both.groupBy(*kn).agg(F.sort_array(F.collect_list(F.struct("i", "p", "share", "low", "high"))).alias("_os"))
+    return size.join(out, kn).select(*keys, "_os")
+
+
+def interpolated(stat: Column, change=lambda v: v) -> Column:
+    """The quantile of one entry of ``_os``, of values changed by a monotone function."""
+    low, high = change(stat["low"]), change(stat["high"])
+    return F.when((low == high) | (stat["share"] == 0), low).otherwise(low + stat["share"] * (high - low))
+
+
+def exact_quantiles(lf: DataFrame, keys, value: str, probs, buckets: int = BUCKETS) -> DataFrame:
+    """(keys..., _q array<double>) with one entry per prob; groups without values are absent."""
+    out = order_statistics(lf, keys, value, probs, buckets)
+    return out.select(*list(keys), F.transform("_os", lambda s: interpolated(s)).alias("_q"))

@@ -86,14 +86,44 @@ def test_pca_variance_ratio(spark):
     assert k == 2 and cum >= 0.95
 
 
-def test_exact_quantiles_selection_matches_pandas_with_refinement(spark, monkeypatch):
+def test_exact_quantiles_selection_matches_pandas_at_every_part_count(spark):
     import numpy as np
     from assay.operators import quantiles as Q
     rng = np.random.default_rng(0)
-    pdf = pd.DataFrame({"g": rng.integers(0, 3, 6000).astype(str),
-                        "v": np.concatenate([rng.exponential(size=5500), np.full(500, 2.5)])})
+    n = 6000
+    pdf = pd.DataFrame({"g": rng.choice(["0", "1", None], n),
+                        "v": np.concatenate([rng.exponential(size=4000), np.full(500, 2.5), -rng.exponential(size=500),
+                                             10.0 ** rng.uniform(-300, 300, 500), np.full(300, np.nan), [0.0, -0.0] * 100])})
     df = spark.createDataFrame(pdf)
     probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
-    out = {r["g"]: r["_q"] for r in Q.exact_quantiles(df, ["g"], "v", probs, buckets=16, collect_limit=40).collect()}
-    for g, sub in pdf.groupby("g"):
-        assert out[g] == pytest.approx(sub["v"].quantile(probs).tolist(), abs=1e-12)
+    for parts in (4096, 7):
+        out = {r["g"]: r["_q"] for r in Q.exact_quantiles(df, ["g"], "v", probs, buckets=parts).collect()}
+        assert len(out) == 3
+        for g, sub in pdf.groupby("g", dropna=False):
+            want = sub["v"].quantile(probs).tolist()
+            assert out[None if pd.isna(g) else g] == pytest.approx(want, rel=1e-12, abs=1e-300)
+    whole = Q.exact_quantiles(df, [], "v", probs).first()["_q"]
+    assert whole == pytest.approx(pdf["v"].quantile(probs).tolist(), rel=1e-12)
+    assert Q.exact_quantiles(df.limit(0), ["g"], "v", probs).count() == 0
+
+
+def test_order_statistics_with_infinities_end(spark):
+    from assay.operators import quantiles as Q
+    inf = float("inf")
+    rows = [("a", float(x)) for x in range(2000)] + [("a", inf), ("b", -inf), ("b", inf), ("b", 1.0), ("c", inf), ("d", 5e-324), ("d", 1e-323)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r["_q"] for r in Q.exact_quantiles(df, ["g"], "v", [0.0, 0.5, 1.0]).collect()}
+    assert got == {"a": [0.0, 1000.0, inf], "b": [-inf, 1.0, inf], "c": [inf] * 3, "d": [5e-324, 5e-324, 1e-323]}
+
+
+def test_selection_levels_do_not_grow_with_rows(spark):
+    """A level is one scan; twenty times the rows need at most one level more."""
+    from unittest import mock
+    from assay.operators import quantiles as Q
+    levels = []
+    for n in (20_000, 400_000):
+        df = spark.range(n).select((F.xxhash64("id") / F.lit(2.0 ** 63)).alias("v"))
+        with mock.patch.object(Q, "settled", side_effect=Q.settled) as s:
+            Q.exact_quantiles(df, [], "v", [0.1, 0.5, 0.9]).collect()
+        levels.append(s.call_count)
+    assert levels[1] <= levels[0] + 1 <= 7
