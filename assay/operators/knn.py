@@ -1,36 +1,41 @@
-"""Exact k-nearest-neighbour join (J4) and the kNN learners.
-
-Plan (all DataFrame operations, distances by JVM higher-order functions):
-
-1. P pivots are drawn from the reference side by a seeded hash order (bounded P x d
-   numbers, inlined as literals).
-2. Every reference row gets its nearest pivot (its *cell*) and its distance to it;
-   per-cell count and radius are one small aggregate.  A cell is cut into *blocks*
-   of about ``block_rows`` rows by a hash of the key, so a hot cell (a third of all
-   rows in one place) becomes many bounded blocks spread over tasks.
-3. Blocks are materialised once: one row per block holding its members.
-4. For a query q, with d_c = |q - pivot_c| and r_c the radius, every member of cell c
-   lies within d_c + r_c.  Sorting cells by that upper bound and accumulating counts
-   until k members are covered gives U(q) >= the k-th neighbour distance.  Any cell
-   with d_c - r_c > U(q) cannot hold a neighbour and is pruned -- exactly, by the
-   triangle inequality.
-5. Query x candidate-block is an equi-join on (cell, block).  Each joined row keeps
-   only its k best members (sorted by distance, then key), so at most k rows per
-   (query, block) leave the task -- all pairs are never emitted.
-6. A final group by query merges the per-block top-k lists into the exact top-k.
+"""k-nearest-neighbour join (J4) and the kNN learners.
+
+Reference rows fall into cells (nearest of about sqrt(n) pivots, drawn by a seeded hash
+order), and a cell is cut into blocks of bounded size by a hash of the key.  Queries visit
+cells in two rounds:
+
+1. the nearest cells that together hold k members: the k-th distance found there is an
+   upper bound U of the true one;
+2. every other cell that can hold a nearer member.  A member of cell c lies at least
+   ``d_c - r_c`` from the query (r_c: the cell's radius), so cells beyond U are skipped,
+   exactly, by the triangle inequality.
+
+A visit meets each block of its cell; the visits of a block are cut into bounded parts as
+well.  One (block, part) is a task: an Arrow-batched matrix product gives the distances, of
+which each query keeps its k best, recomputed exactly.  A ranked window merges them.  With
+``probes`` the second round is replaced by that many nearest cells (approximate; the tests
+measure its recall).
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from assay.operators._small import collect_bounded
+from assay.operators._small import collect_bounded, settled
+
+MAX_PIVOTS = 1024
+BLOCK_ROWS = 4096       # members of a block, and visits of a task
+STEP = 512              # queries of one product
 
 
 def as_double_array(c: Column, is_vector: bool) -> Column:
@@ -40,74 +45,130 @@ def as_double_array(c: Column, is_vector: bool) -> Column:
     return c.cast("array<double>")
 
 
-def dist(a: Column, b: Column) -> Column:
-    """Euclidean distance of two equal-length double arrays (JVM lambdas)."""
-    sq = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
+def _squares(q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Squared distances by one product; rounding can move them by ``_slack``."""
+    return np.maximum((q * q).sum(1)[:, None] + (r * r).sum(1)[None] - 2 * q @ r.T, 0)
+
+
+def _slack(q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    return 1e-13 * q.shape[1] * ((q * q).sum(1)[:, None] + (r * r).sum(1).max(initial=0))
+
+
+def best_in_block(q: np.ndarray, r: np.ndarray, order: np.ndarray, k: int):
+    """(query row, member row, distance) of each query's k nearest members; equal
+    distances by ``order``, the members' places in key order."""
+    out = []
+    for a in range(0, len(q), STEP):
+        part = q[a:a + STEP]
+        near = _squares(part, r)
+        kth = np.partition(near, min(k, len(r)) - 1, axis=1)[:, min(k, len(r)) - 1]
+        i, j = np.nonzero(near <= kth[:, None] + 2 * _slack(part, r))
+        dist = np.sqrt(((part[i] - r[j]) ** 2).sum(axis=1))
+        at = np.lexsort((order[j], dist, i))
+        i, j, dist = i[at], j[at], dist[at]
+        first = np.searchsorted(i, i)           # place of each query's first row
+        keep = np.arange(len(i)) - first < k
+        out.append((i[keep] + a, j[keep], dist[keep]))
+    return [np.concatenate(x) for x in zip(*out)]
 
 
 def knn_join(queries: DataFrame, refs: DataFrame, qkey: str, rkey: str, qvec: str, rvec: str,
-             k: int = 5, payload=(), num_pivots: int = 32, block_rows: int = 256,
-             seed: int = 42) -> DataFrame:
-    """Exact k nearest references of every query: (qkey, rank, rkey, distance, payload...).
-    Ties in distance are broken by the reference key.  Vectors are double arrays."""
+             k: int = 5, payload=(), num_pivots: int | None = None, block_rows: int = BLOCK_ROWS,
+             seed: int = 42, probes: int | None = None) -> DataFrame:
+    """k nearest references of every query: (qkey, rank, rkey, distance, payload...).
+    Ties in distance go to the smaller reference key.  Vectors are double arrays; rows
+    without a key or vector take no part.  No references: no rows."""
     payload = list(payload)
-    # 1. pivots: seeded hash order over the reference keys (bounded count)
-    ph = F.md5(F.concat(F.lit(str(seed)), F.col(rkey).cast("string")))
-    piv = collect_bounded(refs.select(rvec).orderBy(ph).limit(num_pivots), num_pivots)
-    pivots = [list(map(float, r[0])) for r in piv]
-    P = len(pivots)
-    piv_col = F.array(*[F.array(*[F.lit(v) for v in p]) for p in pivots])
-
-    def pivot_dists(v):
-        return F.transform(piv_col, lambda p: dist(v, p))
-
-    # 2. cells, radius, blocks
-    r = refs.select(F.col(rkey).alias("_rk"), F.col(rvec).alias("_rv"), *payload) \
-            .withColumn("_pd", pivot_dists(F.col("_rv")))
-    r = r.withColumn("_cell", (F.array_position(F.col("_pd"), F.array_min("_pd")) - 1).cast("int")) \
-         .withColumn("_r", F.array_min("_pd")).drop("_pd")
-    cells = collect_bounded(r.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_r").alias("rad")), P)
-    info = {c["_cell"]: (c["n"], c["rad"]) for c in cells}
-    nblocks = {c: max(1, math.ceil(n / block_rows)) for c, (n, _) in info.items()}
-    nb_map = F.create_map(*[x for c, b in nblocks.items() for x in (F.lit(c), F.lit(b))])
-    r = r.withColumn("_blk", F.pmod(F.xxhash64(F.col("_rk")), F.element_at(nb_map, F.col("_cell"))).cast("int"))
-    # 3. one row per block
-    blocks = r.groupBy("_cell", "_blk").agg(
-        F.collect_list(F.struct(F.col("_rk").alias("key"), F.col("_rv").alias("vec"),
-                                *[F.col(p) for p in payload])).alias("_members"))
-    # 4. candidate cells per query
-    cell_ids = sorted(info)
-    rad = F.array(*[F.lit(float(info[c][1])) for c in cell_ids])
-    cnt = F.array(*[F.lit(int(info[c][0])) for c in cell_ids])
-    nbl = F.array(*[F.lit(int(nblocks[c])) for c in cell_ids])
-    ids = F.array(*[F.lit(int(c)) for c in cell_ids])
-    q = queries.select(F.col(qkey).alias("_qk"), F.col(qvec).alias("_qv"))
-    q = q.withColumn("_qd", F.transform(ids, lambda c: dist(F.col("_qv"), piv_col[c])))
-    cellinfo = F.arrays_zip(F.col("_qd").alias("d"), rad.alias("r"), cnt.alias("n"), nbl.alias("b"), ids.alias("c"))
-    q = q.withColumn("_ci", cellinfo)
-    ub_sorted = F.array_sort(F.transform(F.col("_ci"), lambda s: F.struct((s["d"] + s["r"]).alias("ub"),
-                                                                           s["n"].alias("n"))))
-    acc0 = F.struct(F.lit(0).cast("long").alias("cnt"), F.lit(float("inf")).alias("u"))
-    bound = F.aggregate(ub_sorted, acc0, lambda a, s: F.when(a["cnt"] >= k, a).otherwise(
-        F.struct((a["cnt"] + s["n"]).cast("long").alias("cnt"), s["ub"].alias("u"))))
-    q = q.withColumn("_u", bound["u"])
-    cand = F.filter(F.col("_ci"), lambda s: (s["d"] - s["r"]) <= F.col("_u"))
-    q = q.select("_qk", "_qv", F.explode(cand).alias("_cc"))
-    q = q.select("_qk", "_qv", F.col("_cc.c").alias("_cell"),
-                 F.explode(F.sequence(F.lit(0), F.col("_cc.b") - 1)).alias("_blk"))
-    # 5. per (query, block): keep the k best members only
-    j = q.join(blocks, ["_cell", "_blk"])
-    scored = F.transform(F.col("_members"), lambda m: F.struct(dist(F.col("_qv"), m["vec"]).alias("distance"),
-                                                               m["key"].alias("key"),
-                                                               *[m[p].alias(p) for p in payload]))
-    j = j.select("_qk", F.slice(F.array_sort(scored), 1, k).alias("_top"))
-    # 6. merge per query
-    merged = j.select("_qk", F.explode("_top").alias("t")).groupBy("_qk").agg(
-        F.slice(F.array_sort(F.collect_list("t")), 1, k).alias("_nn"))
-    out = merged.select(F.col("_qk").alias(qkey), F.posexplode("_nn").alias("_i", "_n"))
-    return out.select(qkey, (F.col("_i") + 1).alias("rank"), F.col("_n.key").alias(rkey),
-                      F.col("_n.distance").alias("distance"), *[F.col(f"_n.{p}").alias(p) for p in payload])
+    r = refs.select(F.col(rkey).alias("_rk"), F.col(rvec).alias("_rv"), *payload).where("_rk is not null and _rv is not null")
+    q = queries.select(F.col(qkey).alias("_qk"), F.col(qvec).alias("_qv")).where("_qk is not null and _qv is not null")
+    found = T.StructType([T.StructField("_qk", q.schema["_qk"].dataType), T.StructField("_rk", r.schema["_rk"].dataType),
+                          T.StructField("distance", T.DoubleType()), *[r.schema[p] for p in payload]])
+    n = r.count()
+    p = num_pivots or min(MAX_PIVOTS, max(1, math.ceil(math.sqrt(n))))
+    drawn = collect_bounded(r.select("_rv").orderBy(F.md5(F.concat(F.lit(str(seed)), F.col("_rk").cast("string")))).limit(p), p)
+    if not drawn:
+        none = q.sparkSession.createDataFrame([], found)
+        return _ranked(none, qkey, rkey, k, payload)
+    pivots = np.array([row[0] for row in drawn], dtype=np.float64)
+
+    @F.pandas_udf("cell int, r double")
+    def assign(v: pd.Series) -> pd.DataFrame:
+        x = np.stack(v.to_numpy())
+        cell = _squares(x, pivots).argmin(axis=1)
+        return pd.DataFrame({"cell": cell.astype(np.int32), "r": np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))})
+
+    r = settled(r.withColumn("_a", assign("_rv")).select("*", "_a.cell", "_a.r").drop("_a"))
+    cells = {c["cell"]: (c["n"], c["rad"]) for c in
+             collect_bounded(r.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("r").alias("rad")), len(pivots))}
+    ids = np.array(sorted(cells))
+    sizes, radii = np.array([cells[c][0] for c in ids]), np.array([cells[c][1] for c in ids])
+    centres = pivots[ids]
+
+    def distances(v: pd.Series) -> np.ndarray:
+        x = np.stack(v.to_numpy())
+        return np.sqrt(_squares(x, centres) + _slack(x, centres))
+
+    def nearest_cells(d: np.ndarray) -> list[np.ndarray]:
+        """Per query the nearest cells up to k members (or ``probes`` cells)."""
+        order = np.argsort(d, axis=1, kind="stable")
+        if probes:
+            return [o[:probes] for o in order]
+        upto = (np.cumsum(sizes[order], axis=1) < k).sum(axis=1) + 1
+        return [o[:m] for o, m in zip(order, upto)]
+
+    @F.pandas_udf("array<int>")
+    def first_round(v: pd.Series) -> pd.Series:
+        return pd.Series([ids[o].astype(np.int32) for o in nearest_cells(distances(v))])
+
+    @F.pandas_udf("array<int>")
+    def second_round(v: pd.Series, bound: pd.Series) -> pd.Series:
+        d = distances(v)
+        reach = d - radii[None] <= bound.fillna(np.inf).to_numpy()[:, None] * (1 + 1e-9) + 1e-12
+        for row, done in zip(reach, nearest_cells(d)):
+            row[done] = False
+        return pd.Series([ids[row].astype(np.int32) for row in reach])
+
+    q = settled(q)
+    best = _visit(q.withColumn("cell", F.explode(first_round("_qv"))), r, k, payload, block_rows, found)
+    if not probes:
+        best = settled(best)
+        bound = best.groupBy("_qk").agg(F.sort_array(F.collect_list("distance")).alias("d")) \
+            .select("_qk", F.get("d", F.lit(k - 1)).alias("_u"))
+        more = q.join(bound, "_qk", "left").withColumn("cell", F.explode(second_round("_qv", "_u")))
+        best = best.unionByName(_visit(more.select("_qk", "_qv", "cell"), r, k, payload, block_rows, found))
+    return _ranked(best, qkey, rkey, k, payload)
+
+
+def _ranked(best: DataFrame, qkey: str, rkey: str, k: int, payload) -> DataFrame:
+    order = Window.partitionBy("_qk").orderBy("distance", "_rk")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
+        .select(F.col("_qk").alias(qkey), "rank", F.col("_rk").alias(rkey), "distance", *payload)
+
+
+def _visit(visits: DataFrame, r: DataFrame, k: int, payload, block_rows: int, found: T.StructType) -> DataFrame:
+    """Each visit's k best members of every block of its cell."""
+    visits = settled(visits)
+    shape = r.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks")) \
+        .join(visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts")), "cell")
+    shape = F.broadcast(settled(shape))         # one row per pivot, MAX_PIVOTS at most
+    members = r.join(shape, "cell").withColumn("blk", F.pmod(F.xxhash64("_rk"), F.col("blocks")).cast("int")) \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    visits = visits.join(shape, "cell").withColumn("part", F.pmod(F.xxhash64("_qk"), F.col("parts")).cast("int")) \
+        .withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = ["cell", "blk", "part"]
+
+    def task(qs: pd.DataFrame, rs: pd.DataFrame) -> pd.DataFrame:
+        if not len(qs) or not len(rs):
+            return pd.DataFrame({f.name: [] for f in found.fields})
+        order = rs["_rk"].rank(method="first").to_numpy()
+        i, j, dist = best_in_block(np.stack(qs["_qv"].to_numpy()), np.stack(rs["_rv"].to_numpy()), order, k)
+        out = pd.DataFrame({"_qk": qs["_qk"].to_numpy()[i], "_rk": rs["_rk"].to_numpy()[j], "distance": dist})
+        for p in payload:
+            out[p] = rs[p].to_numpy()[j]
+        return out
+
+    return visits.select(*keys, "_qk", "_qv").groupBy(*keys) \
+        .cogroup(members.select(*keys, "_rk", "_rv", *payload).groupBy(*keys)).applyInPandas(task, found)
 
 
 def knn_predict(neighbours: DataFrame, qkey: str, label: str, mode: str) -> DataFrame:
@@ -119,40 +180,72 @@ def knn_predict(neighbours: DataFrame, qkey: str, label: str, mode: str) -> Data
     return best.select(qkey, F.col("_b.l").cast("double").alias("prediction"))
 
 
-class KNNEstimator(Estimator):
-    """kNN as an estimator over a vector column: fit keeps the (train) frame; transform
-    runs the exact join against it.  Rows are keyed by a generated id when none is given."""
+class _KNNParams(Params):
     featuresCol = Param(Params._dummy(), "featuresCol", "", TypeConverters.toString)
     labelCol = Param(Params._dummy(), "labelCol", "", TypeConverters.toString)
     k = Param(Params._dummy(), "k", "", TypeConverters.toInt)
     mode = Param(Params._dummy(), "mode", "mean | vote", TypeConverters.toString)
 
+
+class KNNEstimator(Estimator, _KNNParams):
+    """kNN as an estimator over a vector column: fit keeps the (train) frame; transform
+    runs the exact join against it."""
+
     @keyword_only
     def __init__(self, featuresCol="features", labelCol="label", k=5, mode="mean"):
         super().__init__()
+        self._setDefault(featuresCol="features", labelCol="label", k=5, mode="mean")
         self._set(**self._input_kwargs)
 
     def _fit(self, df):
-        return KNNModel(df, self.getOrDefault(self.featuresCol), self.getOrDefault(self.labelCol),
-                        self.getOrDefault(self.k), self.getOrDefault(self.mode))
+        features, label = self.getOrDefault(self.featuresCol), self.getOrDefault(self.labelCol)
+        train = settled(df.select(F.monotonically_increasing_id().alias("_rid"), F.col(label).alias("_y"),
+                                  _vec_array(df, features).alias("_f")))
+        return self._copyValues(KNNModel(train))
 
 
-class KNNModel(Model):
-    def __init__(self, train, features, label, k, mode):
+class KNNModel(Model, _KNNParams, MLWritable, MLReadable):
+    """``train`` is a table of the shared folder (or the saved model's), so its row ids are
+    fixed; a transform likewise fixes the ids of its rows before it uses them twice."""
+
+    def __init__(self, train: DataFrame | None = None):
         super().__init__()
-        t = train.select(F.monotonically_increasing_id().alias("_rid"), F.col(features).alias("_f"),
-                         F.col(label).alias("_y"))
-        # The reference side is reused by every transform; ids must stay fixed, so cache it.
-        self.train = t.select("_rid", "_y", _vec_array(t, "_f").alias("_f")).cache()
-        self.features, self.label, self.k, self.mode = features, label, k, mode
+        self._setDefault(featuresCol="features", labelCol="label", k=5, mode="mean")
+        self.train = train
 
     def _transform(self, df):
-        q = df.withColumn("_qid", F.monotonically_increasing_id())
-        qa = q.select("_qid", _vec_array(q, self.features).alias("_qf"))
-        nn = knn_join(qa, self.train, "_qid", "_rid", "_qf", "_f", self.k, payload=["_y"])
-        pred = knn_predict(nn, "_qid", "_y", self.mode)
+        q = settled(df.withColumn("_qid", F.monotonically_increasing_id()))
+        qa = q.select("_qid", _vec_array(q, self.getOrDefault(self.featuresCol)).alias("_qf"))
+        nn = knn_join(qa, self.train, "_qid", "_rid", "_qf", "_f", self.getOrDefault(self.k), payload=["_y"])
+        pred = knn_predict(nn, "_qid", "_y", self.getOrDefault(self.mode))
         return q.join(pred, "_qid", "left").drop("_qid")
 
+    def write(self):
+        return _KNNWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _KNNReader()
+
+
+class _KNNWriter(MLWriter):
+    def __init__(self, model: KNNModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.train.write.parquet(f"{path}/train")
+
+
+class _KNNReader(MLReader):
+    def load(self, path: str) -> KNNModel:
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = KNNModel(self.sparkSession.read.parquet(f"{path}/train"))
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model
+
 
 def _vec_array(df: DataFrame, col: str) -> Column:
     from pyspark.ml.linalg import VectorUDT

@@ -34,29 +34,14 @@ FOREST_DEPTH = 12       # forests: 100 trees grown to depth 30 cost ~50x more (m
 
 # Deep levels aggregate node statistics per pass; a larger budget and cached node ids
 # mean fewer passes over the data (measured 105 s -> 71 s for the B1 forest).
-# The budget is capped at 1/8 of the configured executor (or local driver) heap.
-TREE_KW = dict(maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
+# One fixed number, so that node groups (and thus drawn features) do not depend on a machine.
+TREE_MEMORY_MB = 1024
+TREE_KW = dict(maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True, checkpointInterval=10)
 # Depth-3 boosting gains nothing from cached node ids (measured 24.7 s -> 12.7 s for 20
 # rounds without); checkpointing every 25 rounds still bounds the lineage for recovery.
-GBT_KW = dict(maxMemoryInMB=1024, cacheNodeIds=False, checkpointInterval=25)
+GBT_KW = dict(maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=False, checkpointInterval=25)
 
 
-def _heap_mb() -> int:
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    conf = spark.sparkContext.getConf() if spark else None
-    raw = (conf.get("spark.executor.memory", None) or conf.get("spark.driver.memory", "1g")) if conf else "1g"
-    raw = raw.strip().lower()
-    unit = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}.get(raw[-1], 1 / (1024 * 1024))
-    num = float(raw[:-1]) if raw[-1] in "kmgt" else float(raw)
-    return int(num * unit)
-
-
-def _budget(kw: dict) -> dict:
-    out = dict(kw)
-    out["maxMemoryInMB"] = max(256, min(kw["maxMemoryInMB"], _heap_mb() // 8))
-    return out
-
 REGRESSORS = ["Linear Regression", "Ridge Regression", "Lasso Regression", "ElasticNet",
               "Decision Tree", "Random Forest", "Gradient Boosting", "SVR", "KNN"]
 CLASSIFIERS = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting", "SVC", "KNN"]
@@ -84,15 +69,16 @@ def regressor(name: str, n: int, label_std: float, features: str = "features", l
         return LinearRegression(regParam=reg, elasticNetParam=alpha * l1 / reg if reg else 0.0,
                                 standardization=False, **common)
     if name == "Decision Tree":
-        return DecisionTreeRegressor(maxDepth=max_depth, seed=SEED, **_budget(TREE_KW), **common)
+        return DecisionTreeRegressor(maxDepth=max_depth, seed=SEED, **TREE_KW, **common)
     if name == "Random Forest":
         return RandomForestRegressor(numTrees=num_trees, featureSubsetStrategy="all", maxDepth=forest_depth,
-                                     seed=SEED, **_budget(TREE_KW), **common)
+                                     seed=SEED, **TREE_KW, **common)
     if name == "Gradient Boosting":
-        return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **_budget(GBT_KW), **common)
+        return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **GBT_KW, **common)
     if name == "SVR":
         rff = RandomFourierFeatures(inputCol=features, outputCol="_rff", numFeatures=200, seed=SEED)
-        lin = LinearRegression(featuresCol="_rff", labelCol=label, loss="huber", regParam=1.0 / max(n, 1))
+        lin = LinearRegression(featuresCol="_rff", labelCol=label, loss="huber", regParam=1.0 / max(n, 1),
+                               standardization=False)
         return Pipeline(stages=[rff, lin])
     if name == "KNN":
         from assay.operators.knn import KNNEstimator
@@ -108,16 +94,18 @@ def classifier(name: str, n: int, num_classes: int, features: str = "features",
         return LogisticRegression(maxIter=1000, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
                                   standardization=False, family="auto", **common)
     if name == "Decision Tree":
-        return DecisionTreeClassifier(maxDepth=max_depth, seed=SEED, **_budget(TREE_KW), **common)
+        return DecisionTreeClassifier(maxDepth=max_depth, seed=SEED, **TREE_KW, **common)
     if name == "Random Forest":
         return RandomForestClassifier(numTrees=num_trees, featureSubsetStrategy="sqrt", maxDepth=forest_depth,
-                                      seed=SEED, **_budget(TREE_KW), **common)
+                                      seed=SEED, **TREE_KW, **common)
     if name == "Gradient Boosting":
-        gbt = GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **_budget(GBT_KW), **common)
+        gbt = GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **GBT_KW, **common)
         return gbt if num_classes <= 2 else SoftmaxOneVsRest(classifier=gbt, **common)
     if name == "SVC":
         rff = RandomFourierFeatures(inputCol=features, outputCol="_rff", numFeatures=200, seed=SEED)
-        svc = LinearSVC(featuresCol="_rff", labelCol=label, regParam=1.0 / max(n, 1), maxIter=100)
+        # Ends by tolerance; the iteration cap is far above what that takes.
+        svc = LinearSVC(featuresCol="_rff", labelCol=label, regParam=1.0 / max(n, 1), maxIter=1000, tol=1e-4,
+                        standardization=False)
         head = svc if num_classes <= 2 else SoftmaxOneVsRest(classifier=svc, featuresCol="_rff", labelCol=label)
         return Pipeline(stages=[rff, head])
     if name == "KNN":
@@ -126,6 +114,21 @@ def classifier(name: str, n: int, num_classes: int, features: str = "features",
     raise ValueError(f"unknown classifier {name}")
 
 
+class FoldwiseEstimator(Estimator):
+    """A learner whose penalty depends on its rows: the row count and label deviation are
+    taken from the rows of each fit, so a CV fold gets its own penalty."""
+
+    def __init__(self, task: str, name: str, num_classes: int = 2, **kw):
+        super().__init__()
+        self.task, self.name, self.num_classes, self.kw = task, name, num_classes, kw
+
+    def _fit(self, df):
+        n, s = label_stats(df, "label")
+        est = regressor(self.name, n, s, **self.kw) if self.task == "regression" \
+            else classifier(self.name, n, self.num_classes, **self.kw)
+        return est.fit(df)
+
+
 # --------------------------------------------------------------------------- OneVsRest with probabilities
 
 class SoftmaxOneVsRest(Estimator):
@@ -177,8 +180,11 @@ class RandomFourierFeatures(Estimator, DefaultParamsReadable, DefaultParamsWrita
         from pyspark.ml.functions import vector_to_array
         arr = vector_to_array(self.getOrDefault(self.inputCol))
         d = len(df.select(self.getOrDefault(self.inputCol)).first()[0])
-        stats = df.select(F.posexplode(arr).alias("i", "v")).agg(F.var_pop("v").alias("var")).first()
-        var = stats["var"] or 1.0
+        # Population variance of all entries from per-row sums: no row is repeated per entry.
+        total = F.aggregate(arr, F.lit(0.0), lambda a, v: a + v)
+        square = F.aggregate(arr, F.lit(0.0), lambda a, v: a + v * v)
+        n, s, q = df.agg(F.count(F.lit(1)), F.sum(total), F.sum(square)).first()
+        var = (q / (n * d) - (s / (n * d)) ** 2) if n else 1.0
         gamma = 1.0 / (d * var) if var > 0 else 1.0
         rng = np.random.default_rng(self.getOrDefault(self.seed))
         D = self.getOrDefault(self.numFeatures)
@@ -228,7 +234,8 @@ def _rff_udf(W, b):
 # --------------------------------------------------------------------------- importances
 
 def assemble(df: DataFrame, features, out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    """Feature vector of every row; a null or NaN feature counts as 0, as in the model path."""
+    return VectorAssembler(inputCols=list(features), outputCol=out).transform(df.fillna(0.0, subset=list(features)))
 
 
 def forest_importances(df: DataFrame, features, label: str, num_trees: int = 100) -> DataFrame:

@@ -1,8 +1,8 @@
 """Evaluation metrics (M18-M21) as aggregates over (label, prediction) columns.
 
 All are one pass with partial aggregation; the classification report and the
-confusion matrix work on the (label, prediction) count table, whose size is the
-number of classes squared, so windows over it are cheap.
+confusion matrix count (label, prediction) pairs once and derive labels, totals and
+averages from that table, whose size is the number of classes squared.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from assay.operators._small import settled
+
 
 def regression_metrics(df: DataFrame, label: str, pred: str, group=()) -> DataFrame:
     """MSE, RMSE, R2 = 1 - SSE/SST (per group when given)."""
@@ -33,11 +35,10 @@ def accuracy(df: DataFrame, label: str, pred: str, group=()) -> DataFrame:
 
 def confusion(df: DataFrame, label: str, pred: str, labels=None) -> DataFrame:
     """Counts for every (true, predicted) pair of the label set, zero cells kept."""
-    counts = df.groupBy(F.col(label).cast("int").alias("label"), F.col(pred).cast("int").alias("prediction")) \
-               .agg(F.count(F.lit(1)).alias("n"))
+    counts = settled(df.groupBy(F.col(label).cast("int").alias("label"), F.col(pred).cast("int").alias("prediction"))
+                     .agg(F.count(F.lit(1)).alias("n")))
     if labels is None:
-        ls = (df.select(F.col(label).cast("int").alias("v"))
-              .union(df.select(F.col(pred).cast("int").alias("v"))).distinct())
+        ls = counts.select(F.col("label").alias("v")).union(counts.select(F.col("prediction").alias("v"))).distinct()
     else:
         ls = df.sparkSession.createDataFrame([(int(v),) for v in labels], "v int")
     grid = _grid(ls)
@@ -56,7 +57,7 @@ def _grid(ls: DataFrame) -> DataFrame:
 def classification_report(df: DataFrame, label: str, pred: str, labels=None) -> DataFrame:
     """Precision, recall, F1, support per class, plus 'macro avg' and 'weighted avg'
     rows; 0 where undefined.  Class rows carry the class as text."""
-    cm = confusion(df, label, pred, labels)
+    cm = settled(confusion(df, label, pred, labels))
     per = cm.groupBy("label").agg(F.sum("n").alias("support"),
                                   F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n"))).alias("tp"))
     predicted = cm.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("npred"))

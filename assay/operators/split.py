@@ -3,11 +3,10 @@
 Rows are ordered by a 60-bit integer taken from md5(seed || key): the same order a
 SQL engine gets from ``ORDER BY md5(...)``.  An exact "first k rows in that order"
 needs the k-th smallest hash, which we find without a global sort or a single-task
-window: a histogram of the top 15 bits (one small aggregate) locates the bucket that
-holds the k-th value, the next pass refines inside that bucket, and once a bucket is
-small a distributed top-k finishes.  Each pass scans with a filter and a tiny
-aggregate, so a 1e12-row table needs about three passes, and per-class (stratified)
-cuts run the same passes for all classes at once.
+window: a histogram of the top bits locates the bucket that holds the k-th value, and
+each further scan cuts that bucket's interval into 4096 parts (``quantiles.select_ranks``),
+for all classes and cuts at once.  Only the thresholds reach the driver.  A null class is a
+class of its own.  Rows whose hash equals a threshold (repeated keys) stay on one side.
 """
 
 from __future__ import annotations
@@ -17,8 +16,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 15  # 60 = 4 x 15: the passes tile the hash exactly
-FINISH_ROWS = 200_000
+from assay.operators._small import collect_bounded
+from assay.operators.quantiles import select_ranks
+
+BUCKET_BITS = 12
 HASH_BITS = 60
 
 
@@ -34,70 +35,29 @@ def key_string(cols) -> Column:
 def kth_smallest(df: DataFrame, h: str, ks: dict, group: str | None = None) -> dict:
     """For each target t -> (group value, k), the k-th smallest value of the long column
     ``h`` within the group (1-based).  ``ks`` maps a target id to k (ungrouped) or to
-    (group value, k).  Returns {target: threshold}; k <= 0 gives None, k > n gives None
-    (everything is selected).
-
-    All targets share each pass: one histogram of the top bits per (group, bucket), then
-    one gather of the few wanted buckets, sorted on executors; only buckets larger than
-    FINISH_ROWS (a table of ~1e10 rows or more) go through further refinement passes."""
+    (group value, k).  Returns {target: threshold}; k <= 0 gives None.  All targets share
+    each scan of a joint selection on the executors; only thresholds come back."""
     tg = {t: (v if isinstance(v, tuple) else ("", v)) for t, v in ks.items()}
-    result = {t: None for t, (_, k) in tg.items() if k <= 0}
     live = {t: gv for t, gv in tg.items() if gv[1] > 0}
-    gcol = F.col(group).cast("string") if group else F.lit("")
-    shift = HASH_BITS - BUCKET_BITS
-    prefix = {t: 0 for t in live}
-    while live:
-        pw = HASH_BITS - shift - BUCKET_BITS
-        cond = F.lit(False)
-        for t, (g, _) in live.items():
-            c = (gcol == F.lit(g)) if group else F.lit(True)
-            if pw > 0:
-                c = c & (F.shiftright(F.col(h), shift + BUCKET_BITS) == F.lit(prefix[t]))
-            cond = cond | c
-        bucket = F.shiftright(F.col(h), shift).bitwiseAND((1 << BUCKET_BITS) - 1)
-        hist = (df.where(cond).groupBy(gcol.alias("_g"), F.shiftright(F.col(h), shift + BUCKET_BITS).alias("_p"),
-                                       bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).collect())
-        by: dict = {}
-        for r in hist:
-            by.setdefault((r["_g"], r["_p"]), []).append((r["_b"], r["_n"]))
-        finish, nxt = {}, {}
-        for t, (g, k) in live.items():
-            acc, hit = 0, None
-            for b, n in sorted(by.get((g, prefix[t] if pw > 0 else 0), [])):
-                if acc + n >= k:
-                    hit = ((prefix[t] << BUCKET_BITS) | b, k - acc, n)
-                    break
-                acc += n
-            if hit is None:
-                result[t] = None          # fewer rows than k: everything is selected
-            elif hit[2] <= FINISH_ROWS or shift == 0:
-                finish[t] = (g, hit[0], hit[1])
-            else:
-                nxt[t] = (g, hit[1])
-                prefix[t] = hit[0]
-        if finish:
-            result.update(_gather_ranks(df, h, gcol, shift, finish))
-        live = nxt
-        shift = max(0, shift - BUCKET_BITS)
+    result = dict.fromkeys(tg)
+    if live:
+        gcol = F.col(group).cast("string") if group else F.lit("")
+        ranks = df.sparkSession.createDataFrame(sorted({(g, k - 1) for g, k in live.values()}), "_g string, r long")
+        data = df.select(gcol.alias("_g"), F.col(h).alias("_v"))
+        rows = select_ranks(data, ["_g"], ranks, F.shiftright("_v", HASH_BITS - BUCKET_BITS), _part).collect()
+        at = {(r["_g"], r["r"]): r["x"] for r in rows}
+        result.update({t: at.get((g, k - 1)) for t, (g, k) in live.items()})
     return result
 
 
-def _gather_ranks(df, h, gcol, shift, finish: dict) -> dict:
-    """One job: the hashes of every wanted (group, bucket) cell sorted on an executor,
-    returning only the wanted ranks."""
-    cells = {}
-    for t, (g, pref, rank) in finish.items():
-        cells.setdefault((g, pref), []).append((t, rank))
-    cond = F.lit(False)
-    for (g, pref) in cells:
-        cond = cond | ((gcol == F.lit(g)) & (F.shiftright(F.col(h), shift) == F.lit(pref)))
-    got = (df.where(cond).groupBy(gcol.alias("_g"), F.shiftright(F.col(h), shift).alias("_c"))
-           .agg(F.array_sort(F.collect_list(h)).alias("_s")).collect())
-    out = {}
-    for r in got:
-        for t, rank in cells.get((r["_g"], r["_c"]), []):
-            out[t] = r["_s"][rank - 1]
-    return out
+def _part(v: Column, lo: Column, hi: Column, buckets: int) -> Column:
+    """Which of at most ``buckets`` equal parts of the integers lo..hi holds v."""
+    return F.floor((v - lo) / (F.floor((hi - lo) / buckets) + 1))
+
+
+def class_text(c: str) -> Column:
+    """A class as text; a null class is a class of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
 
 
 def with_split(df: DataFrame, key_cols, test_fraction: float = 0.2, seed: int = 42,
@@ -106,9 +66,9 @@ def with_split(df: DataFrame, key_cols, test_fraction: float = 0.2, seed: int =
     in md5(seed || key) order, 'train' otherwise."""
     d = df.withColumn("_h", hash60(key_string(key_cols), seed))
     if stratify:
-        n = {r[0]: r[1] for r in d.groupBy(F.col(stratify).cast("string")).count().collect()}
+        d = d.withColumn("_g", class_text(stratify))
+        n = {r[0]: r[1] for r in collect_bounded(d.groupBy("_g").count())}
         ks = {g: math.ceil(test_fraction * c) for g, c in n.items()}
-        d = d.withColumn("_g", F.col(stratify).cast("string"))
         th = kth_smallest(d, "_h", {g: (g, k) for g, k in ks.items()}, "_g")
         cut = _lookup_threshold(th, F.col("_g"))
         d = d.withColumn(out, F.when(F.col("_h") <= cut, "test").otherwise("train")).drop("_g")
@@ -140,9 +100,8 @@ def with_folds(df: DataFrame, key_cols, k: int = 5, seed: int = 42, stratify: st
     """M22 / M23 fold column: consecutive chunks of the md5 order (per class when stratified),
     located by k-1 exact cut points per class."""
     d = df.withColumn("_h", hash60(key_string(key_cols), seed))
-    g = F.col(stratify).cast("string") if stratify else F.lit("")
-    d = d.withColumn("_g", g)
-    n = {r[0]: r[1] for r in d.groupBy("_g").count().collect()}
+    d = d.withColumn("_g", class_text(stratify) if stratify else F.lit(""))
+    n = {r[0]: r[1] for r in collect_bounded(d.groupBy("_g").count())}
     targets = {(grp, i): (grp, sum(fold_sizes(c, k)[:i])) for grp, c in n.items() for i in range(1, k)}
     th = kth_smallest(d, "_h", targets, "_g" if stratify else None)
     fold = F.lit(0)

@@ -403,7 +403,7 @@ class KBestModel(Model, _Base, DefaultParamsReadable, DefaultParamsWritable):
 
 def pca_components(df: DataFrame, features, variance: float = 0.95, k: int | None = None):
     """standardize (population std), PCA on all components, keep the least k whose
-    cumulative explained-variance ratio reaches ``variance``.  Returns (fitted scaler+PCA
+    cumulative explained-variance ratio exceeds ``variance``.  Returns (fitted scaler+PCA
     pipeline, k, cumulative ratio).  The covariance is one distributed aggregate (d x d)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import PCA, VectorAssembler
@@ -418,7 +418,7 @@ def pca_components(df: DataFrame, features, variance: float = 0.95, k: int | Non
     for v in ev:
         cum += v
         kk += 1
-        if k is None and cum >= variance - 1e-12:
+        if k is None and cum > variance:
             break
     if k is not None:
         kk, cum = k, sum(ev[:k])
@@ -432,7 +432,3 @@ def pca_project(pm, df: DataFrame, k: int, keep=()) -> DataFrame:
     signs = [1.0 if pcs[abs(pcs[:, j]).argmax(), j] >= 0 else -1.0 for j in range(pcs.shape[1])]
     out = pm.transform(df).withColumn("_arr", vector_to_array("_pc_all"))
     return out.select(*keep, *[(F.col("_arr")[j] * signs[j]).alias(f"PC{j + 1}") for j in range(k)])
-
-
-def _isfinite(x):
-    return x is not None and not (isinstance(x, float) and (math.isnan(x) or math.isinf(x)))

@@ -69,7 +69,7 @@ def leaderboard(train: DataFrame, test: DataFrame, task: str, models=None, cv: b
             est = estimator_for(task, name, train, num_classes, **kw)
             model = est.fit(train)
             pred = model.transform(test)
-            cvm = cross_validate(est, train, task) if cv else None
+            cvm = cross_validate(L.FoldwiseEstimator(task, name, num_classes, **kw), train, task) if cv else None
             if task == "regression":
                 m = ME.regression_metrics(pred, "label", "prediction").first()
                 cv_rmse = float(cvm.avgMetrics[0]) ** 0.5 if cvm else None
@@ -78,7 +78,7 @@ def leaderboard(train: DataFrame, test: DataFrame, task: str, models=None, cv: b
                 acc = ME.accuracy(pred, "label", "prediction").first()["accuracy"]
                 rows.append((i, name, acc, float(cvm.avgMetrics[0]) if cvm else None, time.time() - t0, "ok", None))
         except Exception as e:  # noqa: BLE001 -- a failing model is a leaderboard row
-            err = f"{type(e).__name__}: {str(e)[:300]}"
+            err = f"{type(e).__name__}: {e}"
             traceback.print_exc()
             if task == "regression":
                 rows.append((i, name, None, None, None, time.time() - t0, "failed", err))

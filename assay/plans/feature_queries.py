@@ -196,9 +196,10 @@ def f9_mutual_info(spark, sf):
 
 @query("f10_pca")
 def f10_pca(spark, sf):
-    """standardized PCA keeping >= 95 % variance; PC columns per row (rows-only check)."""
-    d = derived(spark, sf).where(F.col("balance_score").isNotNull())
+    """standardized PCA keeping over 95 % of the variance; PC columns of every row, a
+    null ratio (zero denominator) counting as 0 as in the model path (rows-only check)."""
     cols = FEATS + DERIVED
+    d = derived(spark, sf).fillna(0.0, subset=cols)
     pm, k, cum = ST.pca_components(d, cols, 0.95)
     return ST.pca_project(pm, d, k, keep=KEYS + [SEG, "score"]).withColumn("explained", F.lit(cum))
 

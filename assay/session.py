@@ -2,12 +2,15 @@
 
 On a cluster the session is created by the platform and already names
 ``spark.checkpoint.dir`` (a shared folder every executor can reach); we only read
-it.  Locally (tests, bench) nothing sets it, so we create a scratch folder once.
+it.  Locally (tests, bench) nothing sets it, so we create a scratch folder once; with any
+other master an unset folder is an error, because executors could not see the driver's.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -26,7 +29,7 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.ui.enabled": "false",
     # Local mode runs executors inside the driver JVM; on a cluster this is set by the platform.
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "10g",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -45,13 +48,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose own path may lack it, unless they run in
+    this process.  Platforms that install the package, or pass ``--py-files``, need not."""
+    if spark.sparkContext.master.startswith("local["):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="assay-package-"), "assay")
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is unset, and the executors of {master} cannot see a folder of "
+                               "the driver; set it to a folder that all of them share")
         path = tempfile.mkdtemp(prefix="assay-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -27,6 +27,32 @@ def test_knn_join_matches_brute_force_with_hot_cell(spark):
         assert [rid for _, rid in sorted(got[i])] == want
 
 
+def test_knn_edges_and_probed_recall(spark):
+    rng = np.random.default_rng(4)
+    refs = np.vstack([rng.normal(c, 0.2, size=(60, 6)) for c in range(20)])
+    qs = refs[::17] + rng.normal(0, 0.05, size=refs[::17].shape)
+    r = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(refs)] + [(5000, None)], "rid long, v array<double>")
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(qs)] + [(None, qs[0].tolist())], "qid long, v array<double>")
+    assert K.knn_join(q, r.limit(0), "qid", "rid", "v", "v").count() == 0
+    exact = {(x.qid, x.rid) for x in K.knn_join(q, r, "qid", "rid", "v", "v").collect()}
+    want = {(i, int(j)) for i, x in enumerate(qs) for j in np.argsort(((refs - x) ** 2).sum(1), kind="stable")[:5]}
+    assert exact == want
+    probed = {(x.qid, x.rid) for x in K.knn_join(q, r, "qid", "rid", "v", "v", probes=4).collect()}
+    assert len(probed & want) >= 0.9 * len(want)
+    few = K.knn_join(q.limit(1), r.limit(3), "qid", "rid", "v", "v").collect()
+    assert [x["rank"] for x in few] == [1, 2, 3]
+
+
+def test_knn_model_reloads_equal(spark, tmp_path):
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, Vectors.dense(rng.normal(size=3).tolist()), float(i % 3)) for i in range(90)], ["k", "features", "label"])
+    model = K.KNNEstimator(k=5, mode="vote").fit(df)
+    model.write().overwrite().save(f"{tmp_path}/knn")
+    again = K.KNNModel.load(f"{tmp_path}/knn")
+    assert model.transform(df).orderBy("k").collect() == again.transform(df).orderBy("k").collect()
+
+
 def test_knn_vote_smallest_label_wins_ties(spark):
     nn = spark.createDataFrame([(1, 2), (1, 1), (1, 2), (1, 1), (1, 0)], "q int, y int")
     assert K.knn_predict(nn, "q", "y", "vote").first()["prediction"] == 1.0

@@ -22,12 +22,26 @@ def test_split_is_first_fifth_of_md5_order(spark):
     assert test == expected
 
 
-def test_kth_smallest_deep_refinement(spark, monkeypatch):
-    monkeypatch.setattr(SP, "FINISH_ROWS", 3)      # force all refinement passes
+def test_kth_smallest_over_levels(spark):
     df = spark.range(0, 500).withColumn("h", SP.hash60(F.col("id").cast("string")))
     vals = sorted(r[0] for r in df.select("h").collect())
-    for k in (1, 77, 250, 500):
-        assert SP.kth_smallest(df, "h", {"t": ("", k)})["t"] == vals[k - 1]
+    got = SP.kth_smallest(df, "h", {k: ("", k) for k in (0, 1, 77, 250, 500)})
+    assert got == {0: None, **{k: vals[k - 1] for k in (1, 77, 250, 500)}}
+
+
+def test_null_class_is_split_like_any_other(spark):
+    df = spark.range(0, 1000).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, F.lit("a")).alias("y"))
+    s = SP.with_split(df, ["k"], 0.2, 42, stratify="y").where("split = 'test'").groupBy("y").count().collect()
+    assert {r["y"]: r["count"] for r in s} == {"a": 100, None: 100}
+    f = SP.with_folds(df, ["k"], 5, 42, stratify="y").groupBy("y", "fold").count().collect()
+    assert len(f) == 10 and {r["count"] for r in f} == {100}
+
+
+def test_report_reads_its_input_once(spark, tmp_path):
+    spark.createDataFrame([(0, 0), (0, 1), (1, 1), (2, 1)], "y int, p int").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    report = ME.classification_report(df, "y", "p")
+    assert "FileScan" not in report._jdf.queryExecution().executedPlan().toString()
 
 
 def test_stratified_split_and_folds_balanced(spark):
