@@ -77,6 +77,54 @@ def test_tree_shap_additivity(spark):
         assert r["prediction"] == pytest.approx(r["mp"], abs=1e-9)
 
 
+def _subset_shapley(nodes, x, d):
+    """Definition: cover-weighted expectations over all subsets of the tree's features."""
+    from itertools import combinations
+    used = sorted({v[4] for v in nodes.values() if v[2] >= 0})
+
+    def expect(at, known):
+        value, cover, left, right, f, t = nodes[at]
+        if left < 0:
+            return value
+        if f in known:
+            return expect(left if x[f] <= t else right, known)
+        return (nodes[left][1] * expect(left, known) + nodes[right][1] * expect(right, known)) / cover
+    phi, m = np.zeros(d), len(used)
+    for i in used:
+        rest = [u for u in used if u != i]
+        for k in range(m):
+            for s in combinations(rest, k):
+                w = math.factorial(k) * math.factorial(m - 1 - k) / math.factorial(m)
+                phi[i] += w * (expect(min(nodes), {*s, i}) - expect(min(nodes), set(s)))
+    return phi
+
+
+def test_forest_and_classifier_shapley_values(spark, tmp_path):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.regression import RandomForestRegressor
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(i, *rng.normal(size=5).tolist()) for i in range(300)], "k long, a double, b double, c double, d double, e double")
+    df = df.withColumn("label", F.col("a") * F.col("b") + F.when(F.col("c") > F.col("d"), 1.0).otherwise(0.0))
+    data = VectorAssembler(inputCols=list("abcde"), outputCol="features").transform(df)
+    reg = RandomForestRegressor(numTrees=5, maxDepth=12, seed=1).fit(data)
+    trees = X.tree_tables(reg, f"{tmp_path}/reg")
+    assert max(len(p) for _, p in X.leaf_paths(trees[0][1])) == 5
+    sv = X.shap_values(data, "features", ["k"], trees, 5).join(reg.transform(data).select("k", "features", F.col("prediction").alias("m")), "k")
+    for n, r in enumerate(sv.orderBy("k").collect()):
+        assert r["prediction"] == pytest.approx(r["m"], abs=1e-9)
+        if n < 3:
+            want = sum(w * _subset_shapley(t, r["features"].toArray(), 5) for w, t in trees)
+            assert np.allclose(r["shap"], want, atol=1e-9)
+    data = data.withColumn("label", (F.col("label") > 0.5).cast("double"))
+    cls = RandomForestClassifier(numTrees=5, maxDepth=12, seed=1).fit(data)
+    sv = X.shap_values(data, "features", ["k"], X.tree_tables(cls, f"{tmp_path}/cls"), 5) \
+        .join(cls.transform(data).select("k", vector_to_array("probability")[1].alias("p")), "k")
+    for r in sv.collect():
+        assert r["prediction"] == pytest.approx(r["p"], abs=1e-9)
+
+
 def test_gradient_matches_numpy_and_peaks(spark):
     x = np.linspace(0, 10, 50)
     y = np.tanh(x - 5) * 3
