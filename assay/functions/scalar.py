@@ -147,19 +147,19 @@ def format_list(arr: Column, empty: str = "None") -> Column:
     return F.when(F.coalesce(F.size(arr), F.lit(0)) > 0, s).otherwise(F.lit(empty))
 
 
-# Recommendation sentences by expected-effect category, as the reports print them.
+#: Default recommendation texts by expected-effect category; callers pass their own domain's.
 RECOMMENDATION = {
-    "positive": "Higher values of this feature generally improve wine quality.",
-    "negative": "Lower values of this feature generally improve wine quality.",
-    "optimal range": "This feature has an optimal range - neither too high nor too low for best quality.",
+    "positive": "Raising this measurement tends to raise the score.",
+    "negative": "Lowering this measurement tends to raise the score.",
+    "optimal range": "Scores are best between two bounds of this measurement.",
 }
-RECOMMENDATION_OTHER = "Impact of this feature depends on other factors and wine style."
+RECOMMENDATION_OTHER = "The effect of this measurement depends on the others."
 
 
-def recommendation(effect: Column) -> Column:
+def recommendation(effect: Column, texts: dict[str, str] | None = None, other: str = RECOMMENDATION_OTHER) -> Column:
     """Recommendation text by effect category."""
-    out = F.lit(RECOMMENDATION_OTHER)
-    for k, v in reversed(list(RECOMMENDATION.items())):
+    out = F.lit(other)
+    for k, v in reversed(list((RECOMMENDATION if texts is None else texts).items())):
         out = F.when(effect == k, F.lit(v)).otherwise(out)
     return out
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.operators._small import attach, settled
+from assay.operators._small import settled, small_enough
 from assay.operators.profile import ALL, long_form, quantile_frame
 from assay.operators.quantiles import interpolated, order_statistics
 from assay.operators.stages import clip
@@ -51,7 +51,8 @@ def clip_describe(df: DataFrame, features, segment: str | None, method: str = "c
         .withColumn("hi", b if method == "winsorize" else b + spread)
     q = F.array(*[interpolated(at[p], lambda v: clip(v, F.col("lo"), F.col("hi"))) for p in desc_p])
     fitted = settled(fitted.select(*keys, "lo", "hi", q.alias("_q")))
-    clipped = attach(ul, fitted.select(*keys, "lo", "hi"), keys, "left") \
+    bounds = fitted.select(*keys, "lo", "hi")
+    clipped = ul.join(F.broadcast(bounds) if small_enough(bounds) else bounds, keys, "left") \
         .select(*keys, clip(F.col("value"), F.col("lo"), F.col("hi")).alias("value"))
     agg = (clipped.groupBy(*keys)
            .agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),

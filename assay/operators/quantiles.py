@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from assay.operators._small import attach, settled
+from assay.operators._small import settled
 
 BUCKETS = 4096
+BROADCAST_RANKS = 100_000   # open ranks (three numbers and a key each) up to which their intervals are broadcast
 INFINITE = 100_000      # magnitude bucket of an infinity
 
 
@@ -68,11 +69,12 @@ def select_ranks(data: DataFrame, keys: list[str], ranks: DataFrame, first: Colu
         found = hit.where("_lo = _hi").select(*keys, "r", F.col("_lo").alias("x"))
         done = found if done is None else done.unionByName(found)
         open_ = hit.where("_lo < _hi")
-        if open_.isEmpty():
+        n = open_.count()
+        if n == 0:
             return done
         cells = open_.groupBy(*keys).agg(F.collect_set(F.struct("_at", "_lo", "_hi")).alias("_cells"))
         inside = F.filter("_cells", lambda c: (F.col("_v") >= c["_lo"]) & (F.col("_v") <= c["_hi"]))
-        rows = attach(data, cells, keys).withColumn("_c", F.get(inside, F.lit(0))).where("_c is not null")
+        rows = data.join(F.broadcast(cells) if n <= BROADCAST_RANKS else cells, keys).withColumn("_c", F.get(inside, F.lit(0))).where("_c is not null")
         hist = rows.groupBy(*keys, F.col("_c._at").alias("_at"),
                             part(F.col("_v"), F.col("_c._lo"), F.col("_c._hi"), buckets).alias("_b"))
         open_ = open_.select(*keys, "r", "_at", "_left")

@@ -89,6 +89,14 @@ def f2_iqr_remove(spark, sf):
     return kept.groupBy("segment").agg(F.count(F.lit(1)).alias("n_kept"))
 
 
+@query("f2_iqr_remove_rows", _REMOVE.replace("ok AS (SELECT r.segment FROM", "ok AS (SELECT r.* FROM")
+       .replace("SELECT segment, COUNT(*) AS n_kept FROM ok GROUP BY segment",
+                "SELECT segment, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM ok"))
+def f2_iqr_remove_rows(spark, sf):
+    """the keys of the rows that stay, per segment and for all."""
+    return remove_by_segment(measurements(spark, sf), FEATS, SEG, KEYS).select("segment", *KEYS)
+
+
 _DERIVED_SQL = """total_acidity AS (SELECT *, l_discount + l_tax AS ta FROM m),
 d AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, score, l_extendedprice, l_discount, l_tax, unit_price,
   ta AS total_acidity, ta / (l_tax + 1) AS acidity_to_sugar, l_discount / (l_tax + 1) AS free_to_total_so2_ratio,
@@ -176,6 +184,30 @@ def f8_f_regression(spark, sf):
     return rounded(ST.f_regression_scores(derived(spark, sf), FEATS + DERIVED, "score"))
 
 
+def _kept_sql(scores: str, k: int) -> str:
+    """Names of the k best features of a score query."""
+    return f"SELECT feature FROM ({scores}) ORDER BY score DESC NULLS LAST, feature LIMIT {k}"
+
+
+def _kept(spark, sf, method: str, k: int):
+    """The feature columns that a fitted select-k stage leaves in its output."""
+    d = derived(spark, sf)
+    out = ST.KBestSelector(inputCols=FEATS + DERIVED, labelCol="score", method=method, k=k).fit(d).transform(d)
+    return spark.createDataFrame([(c,) for c in FEATS + DERIVED if c in out.columns], "feature string")
+
+
+_F8_SQL = f"""WITH {M_SQL}, {_DERIVED_SQL},
+lf AS ({sql_long('d', FEATS + DERIVED, ids=['score'])})
+SELECT feature, TRY_CAST(POW(CORR(value, score), 2) * (COUNT(*) - 2) / NULLIF(1 - POW(CORR(value, score), 2), 0) AS DOUBLE) AS score
+FROM lf WHERE value IS NOT NULL GROUP BY feature"""
+
+
+@query("f8_select_k", _kept_sql(_F8_SQL, 5))
+def f8_select_k(spark, sf):
+    """F8: select the five best features as a fitted stage."""
+    return _kept(spark, sf, "f_regression", 5)
+
+
 def _mi_sql():
     probs = ", ".join(str(i / 10) for i in range(1, 10))
     return f"""WITH {M_SQL}, {_DERIVED_SQL},
@@ -194,6 +226,12 @@ def f9_mutual_info(spark, sf):
     return rounded(ST.mutual_info_scores(derived(spark, sf), FEATS + DERIVED, "score"))
 
 
+@query("f9_select_k", _kept_sql(_mi_sql(), 5))
+def f9_select_k(spark, sf):
+    """select the five features with the most mutual information as a fitted stage."""
+    return _kept(spark, sf, "mutual_info", 5)
+
+
 @query("f10_pca")
 def f10_pca(spark, sf):
     """standardized PCA keeping over 95 % of the variance; PC columns of every row, a

@@ -106,6 +106,21 @@ def p13_decode(spark, sf):
                     S.decode(S.binary_class(F.col("score")), S.LABELS_2).alias("label2"))
 
 
+@query("p14_p21_probabilities", f"""WITH {M_SQL}, v AS (SELECT *, (l_discount + 1) + (l_tax + 2) + (score + 1) AS total FROM m)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ROUND((l_discount + 1) / total, 6) AS probability_bad,
+  ROUND((l_tax + 2) / total, 6) AS probability_average, ROUND((score + 1) / total, 6) AS probability_good,
+  ROUND(greatest((l_discount + 1) / total, (l_tax + 2) / total, (score + 1) / total), 6) AS confidence FROM v""")
+def p14_p21_probabilities(spark, sf):
+    """P14 + P21 on a probability vector that is known per row: the named columns of its
+    entries and the largest of them."""
+    from pyspark.ml.functions import array_to_vector
+    parts = [F.col("l_discount") + 1, F.col("l_tax") + 2, F.col("score") + 1]
+    total = parts[0] + parts[1] + parts[2]
+    m = _m(spark, sf).withColumn("p", array_to_vector(F.array(*[(x / total).cast("double") for x in parts])))
+    named = S.probability_columns(F.col("p"), ["probability_bad", "probability_average", "probability_good"])
+    return rounded(m.select(*KEYS, *[c.alias(n) for n, c in named.items()], S.confidence(F.col("p")).alias("confidence")))
+
+
 EXPECTED = ["l_tax", "l_discount", "missing_feature", "l_extendedprice"]
 
 
