@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import os
 import re
-import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -52,14 +52,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, whose own path may lack it, unless they run in
-    this process.  Platforms that install the package, or pass ``--py-files``, need not."""
-    if spark.sparkContext.master.startswith("local["):
+    """Send this package's sources to the session's Python workers, once per application:
+    their own path need not hold it, neither on a cluster nor in local mode."""
+    app, package = spark.sparkContext.applicationId, os.path.dirname(os.path.abspath(__file__))
+    if app in _SHIPPED or not os.path.isdir(package):       # the latter: already imported from an archive
         return
-    package = os.path.dirname(os.path.abspath(__file__))
-    base = os.path.join(tempfile.mkdtemp(prefix="assay-package-"), "assay")
-    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="assay-package-")), "assay.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
