@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.session import checkpoint_dir, scratch_path
+from assay.session import checkpoint_dir, scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,6 +50,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 16 * 1024 * 1024
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's Arrow batch size to ``BATCH_BYTES``: long texts
+    reach a worker a few at a time, and the buffers on both sides stay small.  Also makes
+    sure that the workers have this package."""
+    ship_package(df.sparkSession)
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(key, "64MB").upper()
+    number = int("".join(c for c in now if c.isdigit()) or 0)
+    unit = {"K": 1 << 10, "M": 1 << 20, "G": 1 << 30}.get("".join(c for c in now if c.isalpha())[:1], 1)
+    if number * unit > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def append_columns(df: DataFrame, inputs: list[str], out: T.StructType,
                    factory: Callable[[], Callable], keep: list[str] | None = None) -> DataFrame:
     """Append computed columns with an Arrow map that streams batch by batch.
@@ -77,7 +94,7 @@ def append_columns(df: DataFrame, inputs: list[str], out: T.StructType,
                    for a, t in zip(res, types)]
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(n_keep)] + res, names=names)
 
-    return src.mapInArrow(run, schema)
+    return small_batches(src).mapInArrow(run, schema)
 
 
 def arrow_type(t: T.DataType) -> pa.DataType:
@@ -91,11 +108,57 @@ def arrow_type(t: T.DataType) -> pa.DataType:
             T.BooleanType: pa.bool_()}[type(t)]
 
 
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """A worker process's one large helper (tables, tokenizer): made once per key and kept
+    between tasks; another key's takes its place, so that workers that serve several
+    operators hold one at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+class RecentWords:
+    """Bytes made once per word while the word keeps coming up.
+
+    Two generations of at most about ``limit`` words: a full young one becomes the old one,
+    and words found there move to the new young one.  Words over ``longest`` characters are
+    made each time, so memory is bounded whatever the texts hold.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], limit: int, longest: int = 64):
+        self.make, self.limit, self.longest = make, limit, longest
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def join(self, words: list[str]) -> bytes:
+        young = self.young
+        try:
+            return b"".join(map(young.__getitem__, words))
+        except KeyError:
+            pass
+        if len(young) > self.limit:
+            self.old, self.young = young, {}
+            young = self.young
+        new = set(words).difference(young)
+        for w in new:
+            made = self.old.get(w)
+            young[w] = self.make(w) if made is None else made
+        out = b"".join(map(young.__getitem__, words))
+        for w in new:
+            if len(w) > self.longest:
+                del young[w]
+        return out
+
+
 def tokenizer_path(file: str) -> str:
     """Place of an installed public vocabulary file (the same on every machine)."""
     import public_tokenizers
     return public_tokenizers.path(file)
 
 
-__all__ = ["QUERIES", "ORACLE", "register", "table", "col", "cut", "written", "append_columns",
-           "arrow_type", "tokenizer_path"]
+__all__ = ["QUERIES", "ORACLE", "RecentWords", "register", "table", "col", "cut", "written", "append_columns",
+           "arrow_type", "held", "small_batches", "tokenizer_path"]

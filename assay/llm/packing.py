@@ -19,7 +19,10 @@ no rows.
 
 from __future__ import annotations
 
+import gc
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +30,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col, written
+from assay.llm._common import RecentWords, append_columns, col, held, small_batches, written
 
 DIMS, GRID_BITS = 4, 12
-CACHE_WORDS = 300_000       # distinct words a worker remembers at once
-SPLIT = " \n"               # white space of both the tokenizer and str.split
+CACHE_WORDS = 200_000       # distinct pieces a worker remembers, in each of two generations
+
+#: Text rules of the word tokenizer's file (fixed values), and what they amount to on
+#: texts of ASCII and accented Latin letters.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "behavior": "Removed", "invert": True, "pattern": {
+            "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None,
+}
+PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^ \\t\\na-zß-öø-ÿ0-9]+")
+PLAIN = bytes([9, 10, *range(0x20, 0x7F), *(c for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))])    # in Latin-1
+
+
+def is_plain(text: str) -> bool:
+    try:
+        return not text.encode("latin-1").translate(None, PLAIN)
+    except UnicodeEncodeError:
+        return False
 
 TOKENS = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("n", T.LongType())] +
                       [T.StructField(f"v{i}", T.DoubleType()) for i in range(DIMS)])
@@ -40,41 +63,44 @@ TOKENS = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("n",
 class WordEncoder:
     """Ids of a whole text from the tokenizer file, remembered per word.
 
-    The tokenizer drops white space and never merges over it, so a text's ids are its
-    space-separated words' ids in order; only words not met lately reach the tokenizer.
+    A file whose text rules are ``RULES`` splits plain Latin text into lower-cased words,
+    digits and signs that are merged each by itself.  Such texts are split here, and only
+    pieces not met lately reach the tokenizer's merge model.  Any other text, and any text
+    under another file, goes through the tokenizer as a whole.
     """
 
     def __init__(self, path: str):
+        import json
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.dtype = np.dtype("<u4" if self.wide else "<u2")
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.dtype = id_type(path)
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        self.by_word = {k: config.get(k) for k in RULES} == RULES
+        self.special = [t["content"] for t in config.get("added_tokens") or []]
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(0x21, 0x100) if c in PLAIN]
+        self.bytes_as_letters = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in letters})
+        self.recent = RecentWords(self._piece, CACHE_WORDS)
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.translate(self.bytes_as_letters)
+        return array(self.dtype.char, [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = [w for w in set(words) if w not in known]
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            known[w] = np.array(e.ids, dtype=self.dtype).tobytes()
-        return b"".join(map(known.__getitem__, words))
+        if not self.by_word or not is_plain(text) or any(t in text for t in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return self.recent.join(PIECE.findall(text.lower()))
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def id_type(path: str) -> np.dtype:
+    """Two bytes an id when the vocabulary allows, else four."""
+    from tokenizers import Tokenizer
+    return np.dtype("<u4" if Tokenizer.from_file(path).get_vocab_size() > 1 << 16 else "<u2")
 
 
 def signs(n_ids: int) -> np.ndarray:
@@ -89,14 +115,16 @@ def signs(n_ids: int) -> np.ndarray:
 def tokenise(docs: DataFrame, path: str, end_id: int, text_col: str, keep: list[str]) -> DataFrame:
     """``docs`` with ``ids`` (packed, the end id last), ``n`` and the projection ``v0..``."""
     def factory():
-        enc = encoder(path)
+        enc = held(("packing", path), lambda: WordEncoder(path))
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         table = signs(max(enc.tokenizer.get_vocab_size(), end_id + 1))
 
         def f(cols: list[pa.Array]):
             ids, n, vec = [], [], np.empty((len(cols[0]), DIMS))
-            for k, t in enumerate(cols[0].to_pylist()):
-                raw = enc(t or "") + end
+            gc.disable()        # remembered pieces are no garbage; walking them costs time
+            encoded = [enc(t or "") + end for t in cols[0].to_pylist()]
+            gc.enable()
+            for k, raw in enumerate(encoded):
                 a = np.frombuffer(raw, dtype=enc.dtype)
                 ids.append(raw)
                 n.append(len(a))
@@ -161,7 +189,7 @@ def sequence_bounds(total: int, length: int) -> np.ndarray:
     return np.cumsum(np.array([length] * full + sizes, dtype=np.int64))
 
 
-PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECE_COLUMNS = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, id_col: str = "doc_id",
@@ -171,11 +199,11 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, id_col
     unique; a sequence's pieces cover its offsets from 0 without a gap."""
     src = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
     tokens = written(tokenise(src, path, end_id, "text", ["doc_id"]), "packing-ids")
-    width = encoder(path).dtype.itemsize
+    width = id_type(path).itemsize
     ordered = with_key(tokens).select("key", "doc_id", "n", "ids")
-    ordered = ordered.repartitionByRange("key", "doc_id", "ids").sortWithinPartitions("key", "doc_id", "ids")
+    ordered = ordered.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id", "ids")
     schema = T.StructType([T.StructField("doc_id", src.schema["doc_id"].dataType)] +
-                          list(T._parse_datatype_string(PIECE).fields) + [T.StructField("ids", T.BinaryType())])
+                          list(T._parse_datatype_string(PIECE_COLUMNS).fields) + [T.StructField("ids", T.BinaryType())])
 
     def run(batches):
         from pyspark import TaskContext
@@ -187,8 +215,8 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, id_col
             wide = np.frombuffer(part, dtype=f"<u{width}").astype("<u4").tobytes()
             rows.append((doc_id, start, len(wide) // 4, zlib.crc32(wide), n, seq, at, wide))
 
-        def table(rows, id_type):
-            types = [id_type] + [pa.int64()] * 6 + [pa.binary()]
+        def table(rows, key_type):
+            types = [key_type] + [pa.int64()] * 6 + [pa.binary()]
             cols = list(zip(*rows)) if rows else [[]] * 8
             return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, types)], names=schema.names)
 
@@ -222,4 +250,4 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, id_col
         if rows:
             yield table(rows, schema_of[0])
 
-    return ordered.mapInArrow(run, schema)
+    return small_batches(ordered).mapInArrow(run, schema)

@@ -18,7 +18,11 @@ def whole_ids(texts):
 
 def test_word_encoder_equals_the_tokenizer():
     texts = ["It's  the\tend.\n\nNext line é ÀÉ   x", "<|endoftext|> a<|endoftext|>b", "", " ", "\x1c\x85 9'll",
-             "漢字 かな 🙂🙂 don't!!! 12.5%", "İstanbul ǅ ﬁ Σς"]
+             "漢字 かな 🙂🙂 don't!!! 12.5%", "İstanbul ǅ ﬁ Σς", "ÀÉÎ õü'S ß'll Straße ÿ×÷ 1½ ² aª µ", "été,été... 'tis 'T 're''s <|x|>",
+             "".join(chr(c) for c in range(32, 127)), "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"]
+    rng = np.random.default_rng(7)
+    texts += ["".join(rng.choice(list("aeéßNthe'sS.,!?-_|<> \n\t0189ÿÀ"), size=200)) for _ in range(300)]
+    assert P.WordEncoder(PATH).by_word
     enc = P.WordEncoder(PATH)
     assert [np.frombuffer(enc(t), enc.dtype).tolist() for t in texts] == whole_ids(texts)
 
