@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col
+from assay.llm._common import append_columns, col, held
 
 UNDETERMINED = "und"
 WINDOW = 256
 LANES = 32_768          # windows parsed together
 OWN_CLASSES = 96        # letters with a symbol of their own; rarer ones share
-SHARED_CLASSES = 16
+SHARED_CLASSES = 8
 #: Bounds of the labelled sample: texts per language, longest text, letters per automaton.
 SAMPLE_TEXTS, SAMPLE_TEXT_CHARS, SAMPLE_SYMBOLS = 128, 20_000, 60_000
 
@@ -64,23 +64,22 @@ def labelled_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     return {k: [v[x] for x in sorted(v)[:texts]] for k, v in got.items()}
 
 
-def symbol_table(sample: dict[str, list[str]]) -> np.ndarray:
-    """Symbol of every code point: 0 for a non-letter, the commonest letters their own,
-    the others one of the shared symbols."""
+SPACE, SEPARATOR, PAD, LETTERS = 0, 1, 2, 3     # symbols: between words, between training texts, after a document
+
+
+def symbol_table(sample: dict[str, list[str]]) -> tuple[np.ndarray, int]:
+    """Symbol of every code point, and their number: the commonest letters have their own,
+    the others one of the shared ones."""
     seen = Counter(c for texts in sample.values() for t in texts for c in t.lower() if c.isalpha())
-    own = {c: i + 1 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:OWN_CLASSES])}
+    own = {c: LETTERS + i for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:OWN_CLASSES])}
+    shared = LETTERS + len(own)
     out = np.zeros(0x110000, dtype=np.uint8)
     for cp in range(0x110000):
         c = chr(cp)
         if c.isalpha() or unicodedata.category(c)[0] == "M":
             low = c.lower()[0]
-            out[cp] = own.get(low) or OWN_CLASSES + 1 + ord(low) % SHARED_CLASSES
-    return out
-
-
-SEPARATOR = OWN_CLASSES + SHARED_CLASSES + 1    # between training texts, never in a document
-PAD = SEPARATOR + 1                             # fills the last window of a document
-CLASSES = PAD + 1
+            out[cp] = own.get(low) or shared + ord(low) % SHARED_CLASSES
+    return out, shared + SHARED_CLASSES
 
 
 def symbols(text: str, table: np.ndarray) -> np.ndarray:
@@ -127,21 +126,21 @@ def suffix_automaton(seq: list[int]) -> list[dict[int, int]]:
     return nxt
 
 
-def parse_machine(seq: list[int]) -> np.ndarray:
+def parse_machine(seq: list[int], classes: int) -> np.ndarray:
     """Dense greedy-parse table: ``machine[state + symbol]`` is the next state (a row
     offset); its complement when the phrase ended and a new one began with the symbol.
     A symbol that the text lacks is a phrase of its own (a last state without a way on)."""
     nxt = suffix_automaton(seq)
     alone = len(nxt)
-    start = np.full(CLASSES, alone * CLASSES, dtype=np.int32)
+    start = np.full(classes, alone * classes, dtype=np.int32)
     for c, q in nxt[0].items():
-        start[c] = q * CLASSES
+        start[c] = q * classes
     machine = np.tile(~start, (alone + 1, 1))
     machine[0] = start
     for s, row in enumerate(nxt):
         for c, q in row.items():
-            machine[s, c] = q * CLASSES
-    machine[:, PAD] = np.arange(alone + 1, dtype=np.int32) * CLASSES
+            machine[s, c] = q * classes
+    machine[:, PAD] = np.arange(alone + 1, dtype=np.int32) * classes
     return machine.ravel()
 
 
@@ -149,7 +148,7 @@ class CrossParser:
     """Cross-parsing machines of all learned languages."""
 
     def __init__(self, sample: dict[str, list[str]]):
-        self.table = symbol_table(sample)
+        self.table, classes = symbol_table(sample)
         self.langs, self.machines, self.bits = [], [], []
         for lang in sorted(sample):
             seq: list[int] = []
@@ -160,7 +159,7 @@ class CrossParser:
             seq = seq[:SAMPLE_SYMBOLS]
             if seq:
                 self.langs.append(lang)
-                self.machines.append(parse_machine(seq))
+                self.machines.append(parse_machine(seq, classes))
                 self.bits.append(math.log2(len(seq) + 1))
 
     def phrases(self, windows: np.ndarray) -> np.ndarray:
@@ -222,25 +221,13 @@ class CrossParser:
         return langs, scores
 
 
-_PARSERS: dict[int, CrossParser] = {}
-
-
-def _parser(sample: dict[str, list[str]]) -> CrossParser:
-    """One parser per worker process and sample."""
-    key = hash(tuple((k, tuple(v)) for k, v in sorted(sample.items())))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = CrossParser(sample)
-    return _PARSERS[key]
-
-
 def identify(docs: DataFrame, sample: dict[str, list[str]], text_col: str = "text",
              keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (the share of phrases the winner saves
     against the runner-up, 0 to 1).  The sample (bounded, see ``labelled_sample``) travels
     with the task; each worker builds the automata once."""
     def factory():
-        parser = _parser(sample)
+        parser = held(("languages", *((k, *v) for k, v in sorted(sample.items()))), lambda: CrossParser(sample))
 
         def f(cols: list[pa.Array]):
             return parser.predict(cols[0].to_pylist())
