@@ -24,7 +24,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+                             MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,7 +107,7 @@ def classifier(name: str, n: int, num_classes: int, features: str = "features",
         # Ends by tolerance; the iteration cap is far above what that takes.
         svc = LinearSVC(featuresCol="_rff", labelCol=label, regParam=1.0 / max(n, 1), maxIter=1000, tol=1e-4,
                         standardization=False)
-        head = svc if num_classes <= 2 else SoftmaxOneVsRest(classifier=svc, featuresCol="_rff", labelCol=label)
+        head = PlattScaled(svc, label) if num_classes <= 2 else SoftmaxOneVsRest(classifier=svc, featuresCol="_rff", labelCol=label)
         return Pipeline(stages=[rff, head])
     if name == "KNN":
         from assay.operators.knn import KNNEstimator
@@ -131,6 +132,44 @@ class FoldwiseEstimator(Estimator):
 
 # --------------------------------------------------------------------------- OneVsRest with probabilities
 
+class _Wrapped(Model, MLWritable, MLReadable):
+    """A fitted model with a probability column put on top of its raw prediction; ``extra``
+    holds the numbers that takes.  Saved as the inner model and the numbers."""
+
+    def __init__(self, inner=None, extra=None):
+        super().__init__()
+        self.inner, self.extra = inner, extra or {}
+
+    def write(self):
+        return _WrappedWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _WrappedReader(cls)
+
+
+class _WrappedWriter(MLWriter):
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path):
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, extraMetadata={"extra": self.model.extra})
+        self.model.inner.write().overwrite().save(f"{path}/inner")
+
+
+class _WrappedReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path):
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = self.cls(DefaultParamsReader.loadParamsInstance(f"{path}/inner", self.sparkSession), meta["extra"])
+        model._resetUid(meta["uid"])
+        return model
+
+
 class SoftmaxOneVsRest(Estimator):
     """OneVsRest whose models' raw margins are turned into a probability vector by a
     softmax (Spark's OneVsRestModel has no probability column)."""
@@ -141,17 +180,13 @@ class SoftmaxOneVsRest(Estimator):
                                rawPredictionCol="rawPrediction", parallelism=4)
 
     def _fit(self, df):
-        return _SoftmaxModel(self.inner.fit(df))
+        return SoftmaxModel(self.inner.fit(df))
 
 
-class _SoftmaxModel(Model):
-    def __init__(self, ovr):
-        super().__init__()
-        self.ovr = ovr
-
+class SoftmaxModel(_Wrapped):
     def _transform(self, df):
         from pyspark.ml.functions import array_to_vector, vector_to_array
-        out = self.ovr.transform(df)
+        out = self.inner.transform(df)
         raw = vector_to_array("rawPrediction")
         mx = F.array_max(raw)
         ex = F.transform(raw, lambda v: F.exp(v - mx))
@@ -159,6 +194,31 @@ class _SoftmaxModel(Model):
         return out.withColumn("probability", array_to_vector(F.transform(ex, lambda v: v / tot)))
 
 
+class PlattScaled(Estimator):
+    """A two-class margin classifier with probabilities: a logistic curve fitted on the
+    margins of the training rows (Platt 1999)."""
+
+    def __init__(self, classifier, labelCol="label"):
+        super().__init__()
+        self.classifier, self.label = classifier, labelCol
+
+    def _fit(self, df):
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        model = self.classifier.fit(df)
+        margin = vector_to_array("rawPrediction")[1]
+        scored = model.transform(df).select(array_to_vector(F.array(margin)).alias("_m"), F.col(self.label))
+        curve = LogisticRegression(featuresCol="_m", labelCol=self.label, regParam=1e-6, family="binomial").fit(scored)
+        return PlattModel(model, {"slope": float(curve.coefficients[0]), "shift": float(curve.intercept)})
+
+
+class PlattModel(_Wrapped):
+    def _transform(self, df):
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        out = self.inner.transform(df)
+        p = 1 / (1 + F.exp(-(vector_to_array("rawPrediction")[1] * self.extra["slope"] + self.extra["shift"])))
+        return out.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+
+
 # --------------------------------------------------------------------------- random Fourier features
 
 class RandomFourierFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):

@@ -76,6 +76,29 @@ def test_reloaded_models_predict_the_same(data, tmp_path):
         assert a == pytest.approx(b), name
 
 
+def test_margin_classifiers_have_probabilities_and_reload(data, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    df, _, y = data
+    low, high = (float(v) for v in np.quantile(y, [1 / 3, 2 / 3]))
+    two = df.withColumn("label", (F.col("label") > low).cast("double"))
+    three = df.withColumn("label", ((F.col("label") > low).cast("int") + (F.col("label") > high).cast("int")).cast("double"))
+    for frame, classes, name in ((two, 2, "SVC"), (three, 3, "SVC"), (three, 3, "Gradient Boosting")):
+        est = TR.estimator_for("multiclass", name, frame, classes)
+        if name == "Gradient Boosting":
+            est.inner.getClassifier().setMaxIter(3)
+        m = PipelineModel([est.fit(frame)])
+        TR.save_model(m, f"{tmp_path}/{name}{classes}")
+        rows = [[(r["prediction"], r["p"]) for r in x.transform(frame).withColumn("p", vector_to_array("probability"))
+                 .orderBy("k").collect()] for x in (m, TR.load_model(f"{tmp_path}/{name}{classes}"))]
+        assert rows[0] == rows[1]
+        p = np.array([p for _, p in rows[0]])
+        assert p.shape == (240, classes) and p.sum(axis=1) == pytest.approx(np.ones(240))
+        if classes == 2:
+            truth = (y > low).astype(float)
+            assert p[truth == 1, 1].mean() > 0.7 > 0.4 > p[truth == 0, 1].mean()
+
+
 def test_leaderboard_keeps_every_model_and_failures(data):
     df, _, _ = data
     train, test = df.where("k < 200"), df.where("k >= 200")
