@@ -21,6 +21,8 @@ encoded by itself, whatever its length; an id outside the vocabulary raises.
 from __future__ import annotations
 
 import base64
+import gc
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +30,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns
+from assay.llm._common import RecentWords, append_columns, held
 
 MAX_STATES = 200_000        # states kept before the tables are built anew
-MAX_PAIRS = 1_000_000       # neighbour verdicts kept
-CACHE_WORDS = 300_000       # matches remembered with their ids
-CACHED_LENGTH = 64          # longer matches are not remembered
+MAX_PAIRS = 600_000         # neighbour verdicts kept
+CACHE_WORDS = 250_000       # matches remembered with their ids, in each of two generations
+
+NEVER = 1 << 62
+FEW = 6                     # tokens below a trie node up to which they are listed
+CONFIGS, REST = -1, -2      # keys of a state beside its bytes
 
 IDS = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
 DECODED = T.StructType([T.StructField("decoded", T.BinaryType())])
@@ -44,17 +49,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def merge(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+def merge(word: bytes, ranks: dict[bytes, int], note=None) -> list[bytes]:
     """The merges' definition, on a short string: join the neighbours whose
-    concatenation ranks first, leftmost first, while any is a token."""
-    parts = [word[i:i + 1] for i in range(len(word))]
-    while len(parts) > 1:
-        best = min(((ranks.get(a + b, 1 << 62), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))))
-        if best[0] == 1 << 62:
-            break
-        i = best[1]
+    concatenation ranks first, leftmost first, while any is a token.  ``note(parts, rank)``
+    sees each stage."""
+    parts, rank = [word[i:i + 1] for i in range(len(word))], -1
+    while True:
+        if note:
+            note(parts, rank)
+        rank, i = min(((ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))),
+                      default=(NEVER, 0))
+        if rank == NEVER:
+            return parts
         parts[i:i + 2] = [parts[i] + parts[i + 1]]
-    return parts
 
 
 class Transducer:
@@ -75,14 +82,62 @@ class Transducer:
                     self.inner[node] = True
                 node = self.child[key]
             self.ends[node] = i
+        # Tokens below each node that has few of them.
+        self.below: dict[int, list[int]] = {}
+        for b, i in ranks.items():
+            node = 0
+            for c in b:
+                node = self.child[node << 8 | c]
+                self.below.setdefault(node, []).append(i)
+        self.below = {n: frozenset(v) for n, v in self.below.items() if len(v) <= FEW}
+        self.edges: dict[int, tuple[list, list]] = {}
         self.pairs: dict[int, bool] = {}
         self._reset()
 
     def _reset(self):
-        self.states: list[tuple] = [(((), -1, 0),)]
-        self.number = {self.states[0]: 0}
-        self.moves: dict[int, tuple[tuple, int]] = {}
-        self.rest: dict[int, tuple] = {0: ()}
+        """An empty machine.  A state is a dict: byte -> (tokens now certain, next state),
+        CONFIGS -> its configurations, REST -> the tokens still due if the input ends."""
+        self.start = {CONFIGS: (((), -1, 0),), REST: ()}
+        self.states = {self.start[CONFIGS]: self.start}
+
+    def _edges(self, t: int) -> tuple[list, list]:
+        """How the merges build a token: its first piece over time and its last one, each
+        as (piece, rank that made it)."""
+        got = self.edges.get(t)
+        if got is None:
+            left, right = [], []
+
+            def note(parts, rank):
+                for log, piece in ((left, parts[0]), (right, parts[-1])):
+                    if not log or log[-1][0] != piece:
+                        log.append((piece, rank))
+            merge(self.token[t], self.ranks, note)
+            got = self.edges[t] = left, right
+        return got
+
+    def _stay_apart(self, a: int, t: int) -> bool:
+        """Whether the merges leave ``a`` and ``t`` as they are side by side.
+
+        Both grow by themselves in order of rank; they meet when the pieces at their border
+        form a token before either grows on (at equal rank the left one is first).  Where
+        the ranks met are not increasing, the merges are carried out instead."""
+        left, right = self._edges(a)[1], self._edges(t)[0]
+        i = j = 0
+        while True:
+            (x, made_x), (y, made_y) = left[i], right[j]
+            grow_x = left[i + 1][1] if i + 1 < len(left) else NEVER
+            grow_y = right[j + 1][1] if j + 1 < len(right) else NEVER
+            meet = self.ranks.get(x + y)
+            if grow_x < made_x or grow_y < made_y or meet is not None and (meet < made_x or meet < made_y):
+                return merge(self.token[a] + self.token[t], self.ranks) == [self.token[a], self.token[t]]
+            if meet is not None and meet < grow_x and meet <= grow_y:
+                return False
+            if grow_x == grow_y == NEVER:
+                return True
+            if grow_x <= grow_y:
+                i += 1
+            else:
+                j += 1
 
     def may_follow(self, a: int, t: int) -> bool:
         key = (a + 1) << 32 | t
@@ -90,35 +145,44 @@ class Transducer:
         if ok is None:
             if len(self.pairs) > MAX_PAIRS:
                 self.pairs.clear()
-            x, y = (self.token[a] if a >= 0 else b""), self.token[t]
-            ok = self.pairs[key] = merge(x + y, self.ranks) == ([x, y] if x else [y])
+            whole = self._edges(t)[0][-1][0] == self.token[t]     # else no text encodes as t
+            ok = self.pairs[key] = whole and (a < 0 or self._stay_apart(a, t))
         return ok
 
-    def _move(self, state: int, byte: int) -> tuple[tuple, int]:
-        """Build one transition: tokens that become certain, and the next state."""
+    def _move(self, state: dict, byte: int) -> tuple[tuple, dict]:
+        """Build one transition.  A configuration is (pending tokens, guard, node); the
+        guard is the last token or, below a node with few tokens, the set of those that may
+        still follow it (a configuration without any is dropped)."""
         live = []
-        for out, last, node in self.states[state]:
+        for out, guard, node in state[CONFIGS]:
             n = self.child.get(node << 8 | byte)
             if n is None:
                 continue
-            if self.inner[n]:
-                live.append((out, last, n))
-            t = self.ends[n]
-            if t >= 0 and self.may_follow(last, t):
+            few, t = self.below.get(n), self.ends[n]
+            if few is None:
+                if self.inner[n]:
+                    live.append((out, guard, n))
+                ok = t >= 0 and self.may_follow(guard, t)
+            else:
+                left = guard & few if type(guard) is frozenset else \
+                    frozenset([x for x in few if self.may_follow(guard, x)])
+                ok = t in left
+                if len(left) > ok:
+                    live.append((out, left, n))
+            if ok:
                 live.append(((*out, t), t, 0))
-        sure = 0
-        if live:
-            shortest = min(len(c[0]) for c in live)
-            while sure < shortest and len({c[0][sure] for c in live}) == 1:
+        sure, first = 0, live[0][0]
+        if len(live) > 1:
+            shortest = min([len(c[0]) for c in live])
+            while sure < shortest and all([c[0][sure] == first[sure] for c in live]):
                 sure += 1
-        key = tuple(sorted((c[0][sure:], c[1], c[2]) for c in live))
-        nxt = self.number.get(key)
+        else:
+            sure = len(first)
+        key = tuple([(c[0][sure:], c[1], c[2]) for c in live]) if sure else tuple(live)
+        nxt = self.states.get(key)
         if nxt is None:
-            nxt = self.number[key] = len(self.states)
-            self.states.append(key)
-            done = [c[0] for c in key if c[2] == 0]
-            self.rest[nxt] = done[0]
-        move = self.moves[state << 8 | byte] = (live[0][0][:sure], nxt)
+            nxt = self.states[key] = {CONFIGS: key, REST: next(c[0] for c in key if c[2] == 0)}
+        move = state[byte] = (first[:sure], nxt)
         return move
 
     def __call__(self, word: bytes) -> list[int]:
@@ -129,13 +193,12 @@ class Transducer:
         if len(self.states) > MAX_STATES:
             self._reset()
         out: list[int] = []
-        state, moves = 0, self.moves
+        state = self.start
         for byte in word:
-            move = moves.get(state << 8 | byte) or self._move(state, byte)
-            if move[0]:
-                out += move[0]
-            state = move[1]
-        out += self.rest[state]
+            sure, state = state.get(byte) or self._move(state, byte)
+            if sure:
+                out += sure
+        out += state[REST]
         return out
 
 
@@ -147,30 +210,14 @@ class Encoder:
         # that Python also counts as space are not.
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.transducer = Transducer(read_ranks(path))
-        self.known: dict[str, bytes] = {}
+        self.recent = RecentWords(self._ids, CACHE_WORDS)
 
     def _ids(self, word: str) -> bytes:
-        return np.array(self.transducer(word.encode()), dtype="<i4").tobytes()
+        return array("i", self.transducer(word.encode())).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        words = self.pattern.findall(text)
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        out = []
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                ids = self._ids(w)
-                if len(w) <= CACHED_LENGTH:
-                    known[w] = ids
-            out.append(ids)
-        return b"".join(out)
+        """Ids as 32-bit integers."""
+        return self.recent.join(self.pattern.findall(text))
 
 
 #: UTF-8: for a lead byte, the number of bytes that follow and the range of the first of them.
@@ -264,28 +311,28 @@ class Decoder:
         return "".join(out) + machine.end()
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-_DECODERS: dict[str, Decoder] = {}
+def _encoded(enc: Encoder, texts: pa.Array) -> pa.ListArray:
+    gc.disable()        # the machine's tables hold no garbage; walking them costs a third of the time
+    try:
+        raw = [enc(t) if t else b"" for t in texts.to_pylist()]
+    finally:
+        gc.enable()
+    ends = np.cumsum([0, *(len(r) // 4 for r in raw)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(raw), dtype="<i4"), type=pa.int32()))
 
 
-def _kept(store: dict, key, make):
-    if key not in store:
-        store[key] = make()
-    return store[key]
+def _decoded(dec: Decoder, ids: pa.ListArray) -> list[bytes | None]:
+    flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    return [dec(flat[a:b]).encode() if ok else None
+            for a, b, ok in zip(ends[:-1], ends[1:], ids.is_valid().to_pylist())]
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
            keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``ids``, the whole text's token ids."""
     def factory():
-        enc = _kept(_ENCODERS, (path, pattern), lambda: Encoder(path, pattern))
-
-        def f(cols: list[pa.Array]):
-            raw = [enc(t) if t else b"" for t in cols[0].to_pylist()]
-            ends = np.cumsum([0, *(len(r) // 4 for r in raw)], dtype=np.int32)
-            values = np.frombuffer(b"".join(raw), dtype="<i4")
-            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(values, type=pa.int32()))]
-        return f
+        enc = held(("encode", path, pattern), lambda: Encoder(path, pattern))
+        return lambda cols: [_encoded(enc, cols[0])]
 
     return append_columns(docs, [text_col], IDS, factory, keep)
 
@@ -293,16 +340,22 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``tokens`` with ``decoded``, the UTF-8 bytes of the ids' text (null for null)."""
     def factory():
-        dec = _kept(_DECODERS, path, lambda: Decoder(path))
-
-        def f(cols: list[pa.Array]):
-            ids = cols[0]
-            flat = ids.values.to_numpy(zero_copy_only=False) if len(ids) else np.empty(0, dtype=np.int32)
-            ends = ids.offsets.to_numpy()
-            return [[dec(flat[a:b]).encode() if ok else None
-                     for a, b, ok in zip(ends[:-1], ends[1:], ids.is_valid().to_pylist())]]
-        return f
+        dec = held(("decode", path), lambda: Decoder(path))
+        return lambda cols: [_decoded(dec, cols[0])]
 
     return append_columns(tokens, [ids_col], DECODED, factory, keep)
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
+               keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``: ``decode`` after ``encode`` in one pass, so
+    that the ids cross to the JVM once."""
+    def factory():
+        enc, dec = held(("round trip", path, pattern), lambda: (Encoder(path, pattern), Decoder(path)))
+
+        def f(cols: list[pa.Array]):
+            ids = _encoded(enc, cols[0])
+            return [ids, _decoded(dec, ids)]
+        return f
+
+    return append_columns(docs, [text_col], T.StructType([*IDS.fields, *DECODED.fields]), factory, keep)
