@@ -36,6 +36,7 @@ OWN_CLASSES = 96        # letters with a symbol of their own; rarer ones share
 SHARED_CLASSES = 8
 #: Bounds of the labelled sample: texts per language, longest text, letters per automaton.
 SAMPLE_TEXTS, SAMPLE_TEXT_CHARS, SAMPLE_SYMBOLS = 128, 20_000, 60_000
+MAX_LANGUAGES = 2_000   # an error beyond, never a silent cut
 
 OUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
@@ -51,7 +52,10 @@ def labelled_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     usable = docs.select(col(text_col).cast("string").alias("text"), col(lang_col).cast("string").alias("lang")) \
         .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= max_chars)) \
         .withColumn("h", F.xxhash64("text"))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values; these are no language labels")
+    counts = {r["lang"]: r["n"] for r in rows}
     if not counts:
         return {}
     span = 1 << 31

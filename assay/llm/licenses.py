@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col, held
+from assay.llm._common import append_columns, col, held, small_batches
 
 THRESHOLD = 0.8
 MAX_TEMPLATES = 10_000
@@ -76,22 +76,26 @@ OUT = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_base", T.LongType()),
     T.StructField("first_word", T.LongType()), T.StructField("last_word", T.LongType()),
     T.StructField("base_labels", T.StringType()), T.StructField("labels", T.StringType()),
-    T.StructField("score", T.DoubleType())])
+    T.StructField("score", T.DoubleType()),
+    T.StructField("matches", T.ArrayType(T.StructType([
+        T.StructField("label", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+        T.StructField("containment", T.DoubleType())])))])
 
 
 def words(text: str) -> list[bytes]:
     return text.encode().translate(KEEP).split()
 
 
-def blocks(text: str) -> list[set[bytes]]:
-    """Token sets of a text's blocks."""
-    out = []
+def blocks(text: str) -> list[tuple[int, int, set[bytes]]]:
+    """(first word, word after the last, token set) of a text's blocks."""
+    out, at = [], 0
     for line in text.encode().translate(KEEP_LINES).split(b"\n"):
         w = line.split()
         if len(w) <= WINDOW:
-            out.append(set(w))
+            out.append((at, at + len(w), set(w)))
         else:
-            out += [set(w[a:a + WINDOW]) for a in range(0, len(w) - STRIDE, STRIDE)]
+            out += [(at + a, at + min(a + WINDOW, len(w)), set(w[a:a + WINDOW])) for a in range(0, len(w) - STRIDE, STRIDE)]
+        at += len(w)
     return out
 
 
@@ -173,20 +177,21 @@ def token_frequency(docs: DataFrame, templates: list[tuple[str, str]], text_col:
         for b in batches:
             for t in b.column(0).to_pylist():
                 if t:
-                    for block in blocks(t):
+                    for _, _, block in blocks(t):
                         seen.update(block & vocabulary)
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), type=pa.binary()),
                                           pa.array(list(seen.values()), type=pa.int64())], names=["token", "n"])
 
-    rows = docs.select(col(text_col).cast("string").alias("t")).mapInArrow(run, "token binary, n long") \
+    rows = small_batches(docs.select(col(text_col).cast("string").alias("t"))).mapInArrow(run, "token binary, n long") \
         .groupBy("token").agg(F.sum("n").alias("n")).collect()       # one row per template token at most
     return {bytes(r["token"]): r["n"] for r in rows}
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrases: dict[str, str] | None = None,
          threshold: float = THRESHOLD, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with word count, base places and labels, all labels, and ``score``, the
-    largest containment of a matched template (1 for a base phrase, else 0)."""
+    """``docs`` with word count, base places and labels, all labels, ``score`` (the largest
+    containment of a matched template, 1 for a base phrase, else 0), and ``matches``: every
+    (template label, block) that reaches the threshold, the block as word offsets."""
     templates = TEMPLATES if templates is None else templates
     phrases = BASE if phrases is None else phrases
     frequency = token_frequency(docs, templates, text_col)
@@ -200,11 +205,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrase
             found = base.places(w)
             labels = {label for _, label in found}
             at = [p for p, _ in found]
-            matched = [] if not w or index.prefix.isdisjoint(w) else [m for b in blocks(text) for m in index.matches(b)]
-            score = max([1.0 if found else 0.0, *(s for _, s in matched)])
+            matched = [] if not w or index.prefix.isdisjoint(w) else \
+                [{"label": label, "start": a, "end": b, "containment": s}
+                 for a, b, block in blocks(text) for label, s in index.matches(block)]
+            score = max([1.0 if found else 0.0, *(m["containment"] for m in matched)])
             return (len(w), len(found), min(at, default=None), max(at, default=None), ",".join(sorted(labels)),
-                    ",".join(sorted(labels | {label for label, _ in matched})), score)
+                    ",".join(sorted(labels | {m["label"] for m in matched})), score, matched)
 
-        return lambda cols: list(zip(*[one(t) for t in cols[0].to_pylist()]))
+        return lambda cols: [list(c) for c in zip(*[one(t) for t in cols[0].to_pylist()])]
 
     return append_columns(docs, [text_col], OUT, factory, keep)

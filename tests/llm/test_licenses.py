@@ -19,16 +19,19 @@ def brute(text, templates, phrases, threshold):
     places = [(i, label) for p, label in phrases.items() for i in range(len(w))
               if w[i:i + len(p.split())] == p.split()]
     labels, score = {label for _, label in places}, 1.0 if places else 0.0
-    for block in L.blocks(text or ""):
+    spans = []
+    for a, b, block in L.blocks(text or ""):
+        assert block == {x.encode() for x in w[a:b]}
         for label, t in templates:
             tokens = set(L.words(t))
             shared = len(tokens & block)
             if tokens and shared >= math.ceil(threshold * len(tokens) - 1e-9) and shared:
                 labels = labels | {label}
+                spans.append((label, a, b, shared / len(tokens)))
                 score = max(score, shared / len(tokens))
     at = [i for i, _ in places]
     return (len(w), len(places), min(at, default=None), max(at, default=None),
-            ",".join(sorted({label for _, label in places})), ",".join(sorted(labels)), score)
+            ",".join(sorted({label for _, label in places})), ",".join(sorted(labels)), score, sorted(set(spans)))
 
 
 TEXTS = [None, "", "!!", "Under the MIT License and the mit\nlicense; mit license.", "GENERAL public   license general public license",
@@ -44,7 +47,7 @@ def test_equals_brute_force(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("labels", F.lit(0)) \
         .withColumn("Score", F.lit("s"))
     for threshold in (0.8, 0.5, 1.0):
-        got = {r.doc_id: tuple(r)[2:] for r in L.scan(df, threshold=threshold).collect()}
+        got = {r.doc_id: (*tuple(r)[2:-1], sorted({tuple(m) for m in r.matches})) for r in L.scan(df, threshold=threshold).collect()}
         for i, t in enumerate(texts):
             assert got[i] == brute(t, L.TEMPLATES, L.BASE, threshold), (i, threshold, (t or "")[:60])
     assert L.scan(df.limit(0)).count() == 0
