@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col
+from assay.llm._common import append_columns, col, cut, small_batches
 
 MIN_WORDS = 25
 UNIT = re.compile(r"(?:[^\n.!?]++|[.!?]++(?=[^\s.!?]))++[.!?]*+|[.!?]++")
@@ -59,7 +59,9 @@ def digest(words: list[bytes]) -> tuple[int, int]:
 
 
 def text_key(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+    """What ``xxhash64`` of Spark gives for the text."""
+    h = xxhash.xxh64_intdigest(text, 42)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def unit_table(docs: DataFrame) -> DataFrame:
@@ -87,7 +89,7 @@ def unit_table(docs: DataFrame) -> DataFrame:
     def arrays(got):
         return [pa.array(c, type=pa.int64()) for c in got[:4]] + [pa.array(got[4], type=pa.int32())]
 
-    return docs.select("doc", "text").mapInArrow(run, schema)
+    return small_batches(docs.select("doc", "text")).mapInArrow(run, schema)
 
 
 def later_units(found: DataFrame) -> DataFrame:
@@ -96,7 +98,8 @@ def later_units(found: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc").alias("doc"), F.col("tkey").alias("tkey"), F.col("i").alias("i"))
     first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")) \
         .where("n > 1").select("h1", "h2", "first")
-    later = found.join(first, ["h1", "h2"]).where(place != F.col("first"))
+    # Cut here, so that the join's inputs are plain shuffles whose hot digests AQE can split.
+    later = found.join(cut(first), ["h1", "h2"]).where(place != F.col("first"))
     return later.groupBy("doc", "tkey").agg(F.sort_array(F.collect_set("i")).alias("marked"))
 
 
@@ -139,9 +142,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.coalesce(col(id_col).cast("long"), F.lit(LAST_RANK)).alias("doc"),
                        col(text_col).cast("string").alias("text"))
     marked = later_units(unit_table(rows))
-    keyed = append_columns(rows, ["text"], T.StructType([T.StructField("tkey", T.LongType())]),
-                           lambda: lambda c: [[None if not t else text_key(t) for t in c[0].to_pylist()]])
-    joined = keyed.join(marked, ["doc", "tkey"], "left")
+    joined = rows.withColumn("tkey", F.xxhash64("text")).join(marked, ["doc", "tkey"], "left")
 
     def factory():
         def f(cols):
