@@ -3,6 +3,7 @@ lineage cuts in the shared folder and a Counter-like grouping of sorted runs."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -116,11 +117,18 @@ def held(key, make: Callable):
     between tasks; another key's takes its place, so that workers that serve several
     operators hold one at a time."""
     if key not in _HELD:
-        _HELD.clear()
+        release()
         _HELD[key] = make()
     return _HELD[key]
 
 
+def release() -> None:
+    """Drop the held helper; for operators that need none."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+
+
 class RecentWords:
     """Bytes made once per word while the word keeps coming up.
 
@@ -161,4 +169,4 @@ def tokenizer_path(file: str) -> str:
 
 
 __all__ = ["QUERIES", "ORACLE", "RecentWords", "register", "table", "col", "cut", "written", "append_columns",
-           "arrow_type", "held", "small_batches", "tokenizer_path"]
+           "arrow_type", "held", "release", "small_batches", "tokenizer_path"]

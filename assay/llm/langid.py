@@ -35,7 +35,7 @@ LANES = 32_768          # windows parsed together
 OWN_CLASSES = 96        # letters with a symbol of their own; rarer ones share
 SHARED_CLASSES = 8
 #: Bounds of the labelled sample: texts per language, longest text, letters per automaton.
-SAMPLE_TEXTS, SAMPLE_TEXT_CHARS, SAMPLE_SYMBOLS = 128, 20_000, 60_000
+SAMPLE_TEXTS, SAMPLE_TEXT_CHARS, SAMPLE_SYMBOLS = 128, 20_000, 30_000
 MAX_LANGUAGES = 2_000   # an error beyond, never a silent cut
 
 OUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

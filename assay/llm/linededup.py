@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col, cut, small_batches
+from assay.llm._common import append_columns, col, cut, release, small_batches
 
 MIN_WORDS = 25
 UNIT = re.compile(r"(?:[^\n.!?]++|[.!?]++(?=[^\s.!?]))++[.!?]*+|[.!?]++")
@@ -70,6 +70,7 @@ def unit_table(docs: DataFrame) -> DataFrame:
     schema = "h1 long, h2 long, doc long, tkey long, i int"
 
     def run(batches):
+        release()
         for b in batches:
             got: list[list] = [[], [], [], [], []]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -145,6 +146,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = rows.withColumn("tkey", F.xxhash64("text")).join(marked, ["doc", "tkey"], "left")
 
     def factory():
+        release()
+
         def f(cols):
             got = [(t, []) if not t else remove_passages(t, m, min_words)
                    for t, m in zip(cols[0].to_pylist(), cols[1].to_pylist())]

