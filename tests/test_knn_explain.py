@@ -125,6 +125,14 @@ def test_forest_and_classifier_shapley_values(spark, tmp_path):
         assert r["prediction"] == pytest.approx(r["p"], abs=1e-9)
 
 
+def test_partial_dependence_grids(spark):
+    rows = [(float(i % 7), i / 100, None if i % 2 else 1.0) for i in range(1000)] + [(float("nan"), None, None)]
+    g = X.grid_values(spark.createDataFrame(rows, "a double, b double, c double").repartition(7), ["a", "b", "c"], n=50)
+    assert g["a"] == [0, 1, 2, 3, 4, 5, 6] and g["c"] == [1.0]
+    q = np.quantile(np.arange(1000) / 100, [0.05, 0.95])
+    assert g["b"] == pytest.approx(np.linspace(*q, 50).tolist())
+
+
 def test_gradient_matches_numpy_and_peaks(spark):
     x = np.linspace(0, 10, 50)
     y = np.tanh(x - 5) * 3
