@@ -72,11 +72,13 @@ def select_ranks(data: DataFrame, keys: list[str], ranks: DataFrame, first: Colu
         n = open_.count()
         if n == 0:
             return done
-        cells = open_.groupBy(*keys).agg(F.collect_set(F.struct("_at", "_lo", "_hi")).alias("_cells"))
-        inside = F.filter("_cells", lambda c: (F.col("_v") >= c["_lo"]) & (F.col("_v") <= c["_hi"]))
-        rows = data.join(F.broadcast(cells) if n <= BROADCAST_RANKS else cells, keys).withColumn("_c", F.get(inside, F.lit(0))).where("_c is not null")
-        hist = rows.groupBy(*keys, F.col("_c._at").alias("_at"),
-                            part(F.col("_v"), F.col("_c._lo"), F.col("_c._hi"), buckets).alias("_b"))
+        # A group's intervals are disjoint: a row meets one of them at most.
+        cells = open_.select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)], "_at", "_lo", "_hi").distinct()
+        meets = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+        for i, k in enumerate(keys):
+            meets = meets & (F.col(k) == F.col(f"_c{i}"))
+        rows = data.join(F.broadcast(cells) if n <= BROADCAST_RANKS else cells, meets)
+        hist = rows.groupBy(*keys, "_at", part(F.col("_v"), F.col("_lo"), F.col("_hi"), buckets).alias("_b"))
         open_ = open_.select(*keys, "r", "_at", "_left")
 
 
