@@ -342,6 +342,24 @@ def pair_bins(df: DataFrame, fx: str, fy: str, cls: str, bins: int = 10) -> Data
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def all_pair_bins(df: DataFrame, features, cls: str, bins: int = 10) -> DataFrame:
+    """A15 for every pair of ``features``: one pass for the ranges, one for the counts (a row
+    gives one cell per pair with both values, counted before the shuffle)."""
+    features = sorted(features)
+    ends = df.agg(*[f(c).alias(f"{c}_{n}") for c in features for f, n in ((F.min, "lo"), (F.max, "hi"))]).first()
+
+    def bin_of(c):
+        lo, hi = ends[f"{c}_lo"], ends[f"{c}_hi"]
+        if lo is None or hi <= lo:
+            return F.when(F.col(c).isNotNull(), F.lit(0))
+        return F.least(F.floor((F.col(c).cast("double") - F.lit(lo)) * bins / F.lit(hi - lo)), F.lit(bins - 1)).cast("int")
+
+    cells = [F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), bin_of(a).alias("bin_x"), bin_of(b).alias("bin_y"))
+             for i, a in enumerate(features) for b in features[i + 1:]]
+    return df.select(F.col(cls), F.inline(F.array(*cells))).where("bin_x is not null and bin_y is not null") \
+        .groupBy("feature_x", "feature_y", cls, "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))
+
+
 def mean_abs(df: DataFrame, columns, segment: str | None = None) -> DataFrame:
     """Mean absolute value per column."""
     lf = long_form(df, columns, ids=_seg_ids(segment))

@@ -54,6 +54,23 @@ def o3_rank_by_corr(spark, sf):
     return rounded(OR.rank_by_abs_corr(_corr_target(spark, sf), "score"))
 
 
+@query("a15_top_pair_bins", _CORR_TARGET + f""",
+top AS (SELECT DISTINCT feature FROM (SELECT feature, ROW_NUMBER() OVER (PARTITION BY segment ORDER BY ABS(r) DESC, feature) AS rank
+  FROM c) WHERE rank <= 5),
+n AS (SELECT ROW_NUMBER() OVER () AS rid, * FROM m),
+pl AS ({sql_long('n', FEATS, ids=['rid', 'score'])}),
+e AS (SELECT feature, MIN(value) AS lo, MAX(value) AS hi FROM pl GROUP BY feature),
+x AS (SELECT rid, score, feature, CAST(LEAST(FLOOR((value - lo) * 10 / (hi - lo)), 9) AS INTEGER) AS bin
+  FROM pl JOIN e USING (feature) JOIN top USING (feature) WHERE value IS NOT NULL)
+SELECT a.feature AS feature_x, b.feature AS feature_y, a.score, a.bin AS bin_x, b.bin AS bin_y, COUNT(*) AS n
+FROM x a JOIN x b ON a.rid = b.rid AND a.feature < b.feature GROUP BY ALL""")
+def a15_top_pair_bins(spark, sf):
+    """A15 over the union of each segment's five features that correlate most with the score."""
+    ranked = OR.rank_by_abs_corr(_corr_target(spark, sf), "score")
+    top = [r["feature"] for r in ranked.where("rank <= 5").select("feature").distinct().collect()]
+    return P.all_pair_bins(_m(spark, sf), top, "score")
+
+
 _MODELS = ["global_mean", "segment_mean"] + [f"trend_{f}" for f in FEATS]
 
 
