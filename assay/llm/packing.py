@@ -76,7 +76,7 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.dtype = id_type(path)
+        self.dtype = np.dtype("<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2")
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
         self.by_word = {k: config.get(k) for k in RULES} == RULES
