@@ -1,7 +1,8 @@
 """License scan by exact set-similarity join with containment.
 
-Text blocks (lines; a long line in overlapping windows) and license templates are sets of
-tokens.  A block matches a template when it holds at least ``threshold`` of the template's
+Text blocks and license templates are sets of tokens.  Blocks are the lines (a long line in
+overlapping windows) and windows over the words of the whole text that run on over line
+breaks, so a notice wrapped over lines is met as well; the windows grow with the longest template.  A block matches a template when it holds at least ``threshold`` of the template's
 tokens.  Tokens are ordered globally by how many blocks hold them, rarest first, counted
 over the whole table:
 
@@ -38,7 +39,7 @@ from assay.llm._common import append_columns, col, held, small_batches
 
 THRESHOLD = 0.8
 MAX_TEMPLATES = 10_000
-WINDOW, STRIDE = 96, 48         # words of a block of a long line, and from one to the next
+WINDOW = 96                     # words of a block of a long line, at least; half of it from one to the next
 
 #: Keeps ASCII digits and letters (lower-cased) and all bytes of non-ASCII characters;
 #: everything else separates words.
@@ -86,16 +87,35 @@ def words(text: str) -> list[bytes]:
     return text.encode().translate(KEEP).split()
 
 
-def blocks(text: str) -> list[tuple[int, int, set[bytes]]]:
-    """(first word, word after the last, token set) of a text's blocks."""
-    out, at = [], 0
+def longest(templates: list[tuple[str, str]]) -> int:
+    """Words of the longest template, 1 at least."""
+    return max((len(words(text)) for _, text in templates), default=0) or 1
+
+
+LONGEST = longest(TEMPLATES)
+
+
+def blocks(text: str, most: int = LONGEST) -> list[tuple[int, int, set[bytes]]]:
+    """(first word, word after the last, token set) of a text's blocks, for templates of at
+    most ``most`` words: any ``2 * most`` words in a row stand together in one block."""
+    out, ends, every, at = [], [], [], 0
+    window = max(WINDOW, 4 * most)
+    stride = window // 2
     for line in text.encode().translate(KEEP_LINES).split(b"\n"):
         w = line.split()
-        if len(w) <= WINDOW:
+        if len(w) <= window:
             out.append((at, at + len(w), set(w)))
         else:
-            out += [(at + a, at + min(a + WINDOW, len(w)), set(w[a:a + WINDOW])) for a in range(0, len(w) - STRIDE, STRIDE)]
+            out += [(at + a, at + min(a + window, len(w)), set(w[a:a + window])) for a in range(0, len(w) - stride, stride)]
         at += len(w)
+        if w:
+            ends.append(at)
+            every += w
+    if len(ends) > 1:
+        for a in range(0, max(1, at - 2 * most), most):
+            b = min(a + 3 * most, at)
+            if ends[bisect.bisect_right(ends, a)] < b:      # not inside one line
+                out.append((a, b, set(every[a:b])))
     return out
 
 
@@ -170,14 +190,14 @@ class Phrases:
 
 def token_frequency(docs: DataFrame, templates: list[tuple[str, str]], text_col: str = "text") -> dict[bytes, int]:
     """In how many blocks of the whole table each token of the templates stands."""
-    vocabulary = {t for _, text in templates for t in words(text)}
+    vocabulary, most = {t for _, text in templates for t in words(text)}, longest(templates)
 
     def run(batches):
         seen: Counter = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
                 if t:
-                    for _, _, block in blocks(t):
+                    for _, _, block in blocks(t, most):
                         seen.update(block & vocabulary)
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), type=pa.binary()),
                                           pa.array(list(seen.values()), type=pa.int64())], names=["token", "n"])
@@ -194,7 +214,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrase
     (template label, block) that reaches the threshold, the block as word offsets."""
     templates = TEMPLATES if templates is None else templates
     phrases = BASE if phrases is None else phrases
-    frequency = token_frequency(docs, templates, text_col)
+    frequency, most = token_frequency(docs, templates, text_col), longest(templates)
 
     def factory():
         index, base = held(("licenses", *templates, *phrases.items(), *sorted(frequency.items()), threshold),
@@ -207,7 +227,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrase
             at = [p for p, _ in found]
             matched = [] if not w or index.prefix.isdisjoint(w) else \
                 [{"label": label, "start": a, "end": b, "containment": s}
-                 for a, b, block in blocks(text) for label, s in index.matches(block)]
+                 for a, b, block in blocks(text, most) for label, s in index.matches(block)]
             score = max([1.0 if found else 0.0, *(m["containment"] for m in matched)])
             return (len(w), len(found), min(at, default=None), max(at, default=None), ",".join(sorted(labels)),
                     ",".join(sorted(labels | {m["label"] for m in matched})), score, matched)

@@ -71,3 +71,30 @@ def test_registered_base_columns_equal_sql(spark):
         assert got[d].n_base >= bool(labels) and set(labels.split(",")) - {""} <= set(got[d].labels.split(","))
         labelled += bool(labels)
     assert labelled > 20
+
+
+def test_notices_wrapped_over_lines_and_long_templates(spark):
+    heads = {"bsd": "Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided",
+             "mpl": " * This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy",
+             "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public\nLicense as published"}
+    before, after = "one two three\n" * 40, "\nfour five six" * 40
+    own = " ".join(f"t{i}" for i in range(150))
+    texts = {**{k: before + v + after for k, v in heads.items()}, "own": "x " * 70 + own + " y" * 300,
+             "wrapped": "x\n" * 70 + own.replace(" ", "\n") + "\ny" * 300}
+    df = spark.createDataFrame(list(texts.items()), "id string, text string")
+    got = {r.id: r for r in L.scan(df, templates=[*L.TEMPLATES, ("own", own)]).collect()}
+    usual = {r.id: r for r in L.scan(df).collect()}
+    for k in heads:
+        assert k in usual[k].labels.split(",") and k in got[k].labels.split(",")
+        assert max(m.containment for m in usual[k].matches if m.label == k) == 1.0
+    assert got["own"].labels == got["wrapped"].labels == "own" and got["own"].score == got["wrapped"].score == 1.0
+
+
+def test_any_words_in_a_row_share_a_block():
+    rng = random.Random(2)
+    for most in (3, 22, 150):
+        for n in (1, 50, 200, 700):
+            text = "".join(f"w{i}" + rng.choice([" ", " ", "\n"]) for i in range(n))
+            got = L.blocks(text, most)
+            for a in range(max(1, n - 2 * most + 1)):
+                assert any(x <= a and min(a + 2 * most, n) <= y for x, y, _ in got)
