@@ -43,16 +43,18 @@ OUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("s
 
 def labelled_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", texts: int = SAMPLE_TEXTS,
                     max_chars: int = SAMPLE_TEXT_CHARS) -> dict[str, list[str]]:
-    """A bounded sample of labelled texts per language, chosen by content hash.
+    """A bounded sample of distinct labelled texts per language, chosen by content hash.
 
-    One aggregate counts the usable rows of each language; a second scan keeps the rows
-    whose hash falls under a per-language rate that yields about ``2 * texts`` rows, so
-    the driver receives a bounded number of texts of at most ``max_chars`` characters.
+    One aggregate counts the distinct usable hashes of each language; a second scan keeps
+    the texts whose hash falls under a per-language rate that yields about ``2 * texts``
+    distinct ones, made distinct before they travel, so the driver receives a bounded number
+    of texts of at most ``max_chars`` characters however often each is stored.
     """
     usable = docs.select(col(text_col).cast("string").alias("text"), col(lang_col).cast("string").alias("lang")) \
         .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= max_chars)) \
         .withColumn("h", F.xxhash64("text"))
-    rows = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    rows = usable.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")) \
+        .limit(MAX_LANGUAGES + 1).collect()
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values; these are no language labels")
     counts = {r["lang"]: r["n"] for r in rows}
@@ -61,11 +63,12 @@ def labelled_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     span = 1 << 31
     rate = F.create_map(*[F.lit(x) for k, n in counts.items()
                           for x in (k, min(span, -(-2 * texts * span // n)))])
-    rows = usable.where(F.pmod(F.col("h"), F.lit(span)) < rate[F.col("lang")]).select("lang", "h", "text").collect()
-    got: dict[str, dict[tuple, str]] = {}
+    rows = usable.where(F.pmod(F.col("h"), F.lit(span)) < rate[F.col("lang")]).select("lang", "h", "text") \
+        .distinct().collect()
+    got: dict[str, list[tuple]] = {}
     for r in rows:
-        got.setdefault(r["lang"], {})[(r["h"] % span, r["text"])] = r["text"]
-    return {k: [v[x] for x in sorted(v)[:texts]] for k, v in got.items()}
+        got.setdefault(r["lang"], []).append((r["h"] % span, r["text"]))
+    return {k: [t for _, t in sorted(v)[:texts]] for k, v in got.items()}
 
 
 SPACE, SEPARATOR, PAD, LETTERS = 0, 1, 2, 3     # symbols: between words, between training texts, after a document

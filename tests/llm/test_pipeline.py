@@ -94,3 +94,15 @@ def test_held_out_accuracy(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
     rows = [r for r in op1_language_id(spark, sf).collect() if r.held_out]
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in rows]) > 0.97
+
+
+def test_language_of_a_few_texts_with_many_copies_is_sampled(spark):
+    # Texts whose hash a rate of 256 in all rows would never draw.
+    some = spark.range(300).select(F.concat(F.lit("mot numero "), F.col("id").cast("string")).alias("text")) \
+        .where(F.pmod(F.xxhash64("text"), F.lit(1 << 31)) > (1 << 30)).limit(3)
+    texts = sorted(r.text for r in some.collect())
+    df = spark.createDataFrame([(t, "fr") for t in texts], "text string, lang string") \
+        .crossJoin(spark.range(2000)).select("text", "lang") \
+        .unionByName(spark.createDataFrame([("the house", "en")], "text string, lang string"))
+    sample = langid.labelled_sample(df)
+    assert sorted(sample["fr"]) == texts and sample["en"] == ["the house"]
