@@ -34,7 +34,7 @@ WINDOW = 256
 LANES = 32_768          # windows parsed together
 OWN_CLASSES = 96        # letters with a symbol of their own; rarer ones share
 SHARED_CLASSES = 8
-#: Bounds of the labelled sample: texts per language, longest text, letters per automaton.
+#: Bounds of the labelled sample: texts per language, characters taken of a text, letters per automaton.
 SAMPLE_TEXTS, SAMPLE_TEXT_CHARS, SAMPLE_SYMBOLS = 128, 20_000, 30_000
 MAX_LANGUAGES = 2_000   # an error beyond, never a silent cut
 
@@ -48,11 +48,14 @@ def labelled_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     One aggregate counts the distinct usable hashes of each language; a second scan keeps
     the texts whose hash falls under a per-language rate that yields about ``2 * texts``
     distinct ones, made distinct before they travel, so the driver receives a bounded number
-    of texts of at most ``max_chars`` characters however often each is stored.
+    of texts however often each is stored.  A text over ``max_chars`` characters stands
+    there with the span of that length from its first letter on.
     """
-    usable = docs.select(col(text_col).cast("string").alias("text"), col(lang_col).cast("string").alias("lang")) \
-        .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= max_chars)) \
-        .withColumn("h", F.xxhash64("text"))
+    text = col(text_col).cast("string")
+    span = F.substring(F.regexp_replace(text, r"\A\P{L}++", ""), 1, max_chars)
+    usable = docs.select(F.when(F.length(text) > max_chars, span).otherwise(text).alias("text"),
+                         col(lang_col).cast("string").alias("lang")) \
+        .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
     rows = usable.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")) \
         .limit(MAX_LANGUAGES + 1).collect()
     if len(rows) > MAX_LANGUAGES:

@@ -106,3 +106,12 @@ def test_language_of_a_few_texts_with_many_copies_is_sampled(spark):
         .unionByName(spark.createDataFrame([("the house", "en")], "text string, lang string"))
     sample = langid.labelled_sample(df)
     assert sorted(sample["fr"]) == texts and sample["en"] == ["the house"]
+
+
+def test_language_of_long_texts_only_is_learned(spark):
+    long = "12 " * 9000 + "das ist der text des hauses " * 2000
+    df = spark.createDataFrame([(long, "de"), ("the house of the text", "en")], "text string, lang string")
+    sample = langid.labelled_sample(df)
+    assert sample["de"] == [long[27_000:][:langid.SAMPLE_TEXT_CHARS]]
+    got = langid.identify(df.select("text"), sample, keep=[]).collect()
+    assert sorted(r.lang_pred for r in got) == ["de", "en"]
