@@ -5,8 +5,9 @@ A document is parsed greedily into the longest phrases the automaton accepts; th
 language that needs the fewest phrases, normalised by the automaton's text length
 (``phrases * log2(text length) / symbols``), wins.
 
-Text is read as letters: each letter (Unicode L) is lower-cased to one symbol, runs of
-anything else become one space.  A document is parsed in windows of ``WINDOW`` symbols
+Text is read as letters: each letter (Unicode L, with its marks) is lower-cased to one
+symbol, runs of anything else become one space.  Of texts too long for the automaton all
+together, each gives its beginning, to the same length.  A document is parsed in windows of ``WINDOW`` symbols
 covering the whole text (a phrase ends at a window's end, for every language alike), and
 the windows of many documents advance together, one symbol per step, so the work per
 symbol is a few vector operations and memory does not depend on a document's length.
@@ -32,10 +33,10 @@ from assay.llm._common import append_columns, col, held
 UNDETERMINED = "und"
 WINDOW = 256
 LANES = 32_768          # windows parsed together
-OWN_CLASSES = 96        # letters with a symbol of their own; rarer ones share
-SHARED_CLASSES = 8
+OWN_CLASSES = 60_000    # letters of the sample with a symbol of their own; others share
+SHARED_CLASSES = 16
 #: Bounds of the labelled sample: texts per language, characters taken of a text, letters per automaton.
-SAMPLE_TEXTS, SAMPLE_TEXT_CHARS, SAMPLE_SYMBOLS = 128, 20_000, 30_000
+SAMPLE_TEXTS, SAMPLE_TEXT_CHARS, SAMPLE_SYMBOLS = 128, 20_000, 60_000
 MAX_LANGUAGES = 2_000   # an error beyond, never a silent cut
 
 OUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -77,16 +78,25 @@ def labelled_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "la
 SPACE, SEPARATOR, PAD, LETTERS = 0, 1, 2, 3     # symbols: between words, between training texts, after a document
 
 
+def is_letter(c: str) -> bool:
+    return c.isalpha() or unicodedata.category(c)[0] == "M"
+
+
 def symbol_table(sample: dict[str, list[str]]) -> tuple[np.ndarray, int]:
-    """Symbol of every code point, and their number: the commonest letters have their own,
-    the others one of the shared ones."""
-    seen = Counter(c for texts in sample.values() for t in texts for c in t.lower() if c.isalpha())
-    own = {c: LETTERS + i for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:OWN_CLASSES])}
+    """Symbol of every code point, and their number: the letters and marks of the sample
+    have their own, in every script (the commonest, beyond ``OWN_CLASSES``); the others one
+    of the shared ones."""
+    seen = Counter()
+    for texts in sample.values():
+        for t in texts:
+            seen.update(t.lower())
+    seen = [(c, n) for c, n in seen.items() if is_letter(c)]
+    own = {c: LETTERS + i for i, (c, _) in enumerate(sorted(seen, key=lambda x: (-x[1], x[0]))[:OWN_CLASSES])}
     shared = LETTERS + len(own)
-    out = np.zeros(0x110000, dtype=np.uint8)
+    out = np.zeros(0x110000, dtype=np.uint16)
     for cp in range(0x110000):
         c = chr(cp)
-        if c.isalpha() or unicodedata.category(c)[0] == "M":
+        if is_letter(c):
             low = c.lower()[0]
             out[cp] = own.get(low) or shared + ord(low) % SHARED_CLASSES
     return out, shared + SHARED_CLASSES
@@ -136,22 +146,69 @@ def suffix_automaton(seq: list[int]) -> list[dict[int, int]]:
     return nxt
 
 
-def parse_machine(seq: list[int], classes: int) -> np.ndarray:
-    """Dense greedy-parse table: ``machine[state + symbol]`` is the next state (a row
-    offset); its complement when the phrase ended and a new one began with the symbol.
-    A symbol that the text lacks is a phrase of its own (a last state without a way on)."""
-    nxt = suffix_automaton(seq)
-    alone = len(nxt)
-    start = np.full(classes, alone * classes, dtype=np.int32)
-    for c, q in nxt[0].items():
-        start[c] = q * classes
-    machine = np.tile(~start, (alone + 1, 1))
-    machine[0] = start
-    for s, row in enumerate(nxt):
-        for c, q in row.items():
-            machine[s, c] = q * classes
-    machine[:, PAD] = np.arange(alone + 1, dtype=np.int32) * classes
-    return machine.ravel()
+class Machine:
+    """Greedy-parse table of one automaton, its rows laid over each other: symbol ``c`` of
+    state ``q`` has the slot ``base[q] + c``, which is ``q``'s when ``owner`` says so.  Memory
+    follows the transitions, not states x symbols.  A symbol that the text lacks is a phrase
+    of its own (a last state without a way on)."""
+
+    def __init__(self, seq: list[int], classes: int):
+        nxt = suffix_automaton(seq)
+        alone = len(nxt)
+        self.start = np.full(classes, alone, dtype=np.int32)
+        for c, q in nxt[0].items():
+            self.start[c] = q
+        rows = sorted((q for q in range(1, alone) if len(nxt[q]) > 1), key=lambda q: -len(nxt[q]))
+        single = [q for q in range(1, alone) if len(nxt[q]) == 1]
+        size = 4 * sum(len(nxt[q]) for q in range(1, alone)) + 2 * classes
+        used, base, at = bytearray(size), [0] * (alone + 1), 0
+        for q in rows:
+            syms = list(nxt[q])
+            while any(map(used.__getitem__, [at + c for c in syms])):
+                at += 1
+                if at + classes > len(used):
+                    used.extend(bytes(size))
+            base[q] = at
+            for c in syms:
+                used[at + c] = 1
+        slot = classes
+        for q in single:
+            slot = used.find(0, slot)
+            if slot < 0:
+                slot = len(used)
+                used.extend(bytes(size))
+            used[slot] = 1
+            base[q] = slot - next(iter(nxt[q]))
+        self.base = np.array(base, dtype=np.int32)
+        self.owner = np.full(max(base) + classes, -1, dtype=np.int32)
+        self.next = np.zeros(len(self.owner), dtype=np.int32)
+        for q in range(1, alone):
+            for c, to in nxt[q].items():
+                self.owner[base[q] + c] = q
+                self.next[base[q] + c] = to
+
+    def phrases(self, steps: np.ndarray) -> np.ndarray:
+        """Phrases of every window (a column of ``steps``)."""
+        state = np.zeros(steps.shape[1], dtype=np.int32)
+        count = np.zeros(steps.shape[1], dtype=np.int32)
+        for s in steps:
+            slot = self.base[state] + s
+            goes = self.owner[slot] == state
+            new = np.where(goes, self.next[slot], self.start[s])
+            pad = s == PAD
+            count += ~(goes | pad) & (state != 0)
+            state = np.where(pad, state, new)
+        return count + (state != 0)
+
+
+def part_length(lengths: list[int], total: int) -> int:
+    """The most that can be taken of each text so that ``total`` is kept in all."""
+    lengths = sorted(lengths)
+    for i, n in enumerate(lengths):
+        if n * (len(lengths) - i) >= total:
+            return total // (len(lengths) - i)
+        total -= n
+    return lengths[-1] if lengths else 0
 
 
 class CrossParser:
@@ -161,15 +218,14 @@ class CrossParser:
         self.table, classes = symbol_table(sample)
         self.langs, self.machines, self.bits = [], [], []
         for lang in sorted(sample):
+            parts = [p for p in (symbols(t, self.table) for t in sample[lang]) if len(p)]
+            most = part_length([len(p) + 1 for p in parts], SAMPLE_SYMBOLS)
             seq: list[int] = []
-            for t in sample[lang]:
-                seq += symbols(t, self.table).tolist() + [SEPARATOR]
-                if len(seq) >= SAMPLE_SYMBOLS:
-                    break
-            seq = seq[:SAMPLE_SYMBOLS]
+            for p in parts:
+                seq += p[:max(1, most - 1)].tolist() + [SEPARATOR]
             if seq:
                 self.langs.append(lang)
-                self.machines.append(parse_machine(seq, classes))
+                self.machines.append(Machine(seq, classes))
                 self.bits.append(math.log2(len(seq) + 1))
 
     def phrases(self, windows: np.ndarray) -> np.ndarray:
@@ -177,14 +233,7 @@ class CrossParser:
         steps = np.ascontiguousarray(windows.T)
         out = np.empty((len(windows), len(self.langs)), dtype=np.int64)
         for k, m in enumerate(self.machines):
-            state = np.zeros(len(windows), dtype=np.int32)
-            count = np.zeros(len(windows), dtype=np.int32)
-            for s in steps:
-                v = m[state + s]
-                ended = v >> 31
-                count -= ended
-                state = v ^ ended
-            out[:, k] = count + (state != 0)
+            out[:, k] = m.phrases(steps)
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -207,7 +256,7 @@ class CrossParser:
             rows = -(-len(s) // WINDOW)
             for a in range(0, rows, LANES):
                 part = s[a * WINDOW:(a + LANES) * WINDOW]
-                w = np.full(-(-len(part) // WINDOW) * WINDOW, PAD, dtype=np.uint8)
+                w = np.full(-(-len(part) // WINDOW) * WINDOW, PAD, dtype=np.uint16)
                 w[:len(part)] = part
                 block.append(w.reshape(-1, WINDOW))
                 owner.append(np.full(len(block[-1]), i))

@@ -115,3 +115,22 @@ def test_language_of_long_texts_only_is_learned(spark):
     assert sample["de"] == [long[27_000:][:langid.SAMPLE_TEXT_CHARS]]
     got = langid.identify(df.select("text"), sample, keep=[]).collect()
     assert sorted(r.lang_pred for r in got) == ["de", "en"]
+
+
+def test_languages_of_one_script_beside_many_letters_are_told_apart():
+    common = "".join(chr(c) for c in [*range(0x61, 0x7b), *range(0x3b1, 0x3ca), *range(0x430, 0x450), *range(0x10d0, 0x10f1)])
+    rng = np.random.default_rng(3)
+    own = {"ha": [chr(0x4e00 + 8 * i) for i in range(300)], "hb": [chr(0x7000 + 8 * i) for i in range(300)]}
+    text = {k: "".join(rng.choice(v, 4000)) for k, v in own.items()}
+    parser = langid.CrossParser({"aa": [common * 100], **{k: [t] for k, t in text.items()}})
+    assert parser.predict([text["hb"][100:400], text["ha"][7:300], "".join(own["hb"]), common])[0] == ["hb", "ha", "hb", "aa"]
+
+
+def test_tables_follow_the_transitions():
+    rng = np.random.default_rng(5)
+    seq = (langid.LETTERS + rng.integers(0, 3000, langid.SAMPLE_SYMBOLS)).tolist()
+    m = langid.Machine(seq, 4000)
+    assert m.base.nbytes + m.owner.nbytes + m.next.nbytes < 8_000_000      # states x symbols: over 200 MB
+    steps = np.array(seq[500:700], dtype=np.uint16)[:, None]
+    assert m.phrases(steps).tolist() == [1]
+    assert langid.part_length([5, 5, 100], 40) == 30 and langid.part_length([5, 5], 40) == 5
