@@ -1,12 +1,12 @@
 """Repeated-passage removal by hashing text units.
 
-Units are the sentences of each line (a unit ends at a line break, or after ``.``, ``!``
-or ``?`` before white space).  A unit is normalised (NFKC, case-folded, ASCII punctuation
+Units are the sentences of each line (a unit ends at a line break, after ``.``, ``!`` or
+``?`` before white space, or after a sentence end of another script).  A unit is normalised (NFKC, case-folded, ASCII punctuation
 and white space reduced to single spaces) and hashed to 128 bits.  Digests are grouped over
 the whole table; the occurrence with the smallest (doc_id, offset) stays and every later
 one is marked.  Marked units that stand next to each other in a document form a passage;
 passages of ``min_words`` words or more are removed, shorter ones (a common short line or
-greeting) stay.  The removed spans are returned as offsets into the original text.
+greeting) stay.  Scripts that put no space between words count four letters as a word.  The removed spans are returned as offsets into the original text.
 
 Spark does the grouping: the smallest occurrence per digest is an aggregate with map-side
 combine, the marking a join on the digest (skewed digests are split by AQE), and only
@@ -34,7 +34,13 @@ from pyspark.sql import types as T
 from assay.llm._common import append_columns, col, cut, release, small_batches
 
 MIN_WORDS = 25
-UNIT = re.compile(r"(?:[^\n.!?]++|[.!?]++(?=[^\s.!?]))++[.!?]*+|[.!?]++")
+ENDS = "\u3002\uff01\uff1f\uff61\uff0e\u0964\u0965\u061f\u06d4\u104b\u17d4\u1362"     # sentence ends that need no space after them
+UNIT = re.compile(rf"(?:[^\n.!?{ENDS}]++|[.!?]++(?=[^\s.!?{ENDS}]))++[.!?{ENDS}]*+|[.!?{ENDS}]++")
+#: Letters of scripts without spaces between words: Han, Kana, Thai, Lao, Tibetan, Myanmar, Khmer.
+UNSPACED = "\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d" \
+    "\u0e01-\u0e4e\u0e81-\u0ecd\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3\U00020000-\U0003ffff"
+LETTER = re.compile(f"[{UNSPACED}]")
+WORD_LETTERS = 4
 SPACED = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 LAST_RANK = 2**63 - 1       # a null doc_id ranks after every other
 
@@ -52,6 +58,15 @@ def units(text: str) -> list[tuple[int, int, list[bytes]]]:
     return out
 
 
+def size(words: list[bytes]) -> float:
+    """Words, or quarters of a word for the letters of unspaced scripts."""
+    out = 0.0
+    for w in words:
+        n = 0 if w.isascii() else len(LETTER.findall(w.decode()))
+        out += n / WORD_LETTERS if n else 1
+    return out
+
+
 def digest(words: list[bytes]) -> tuple[int, int]:
     """Two signed longs of a unit's 128-bit hash."""
     h = xxhash.xxh3_128_intdigest(b" ".join(words))
@@ -116,7 +131,7 @@ def remove_passages(text: str, marked: list[int], min_words: int) -> tuple[str,
     for again, (a, b, w) in zip([*repeated, False], [*parts, (len(text), len(text), [b"end"])]):
         if again:
             run.append((a, b))
-            words += len(w)
+            words += size(w)
         elif w:
             if words >= min_words:
                 spans.append((run[0][0], run[-1][1]))
@@ -128,7 +143,7 @@ def remove_passages(text: str, marked: list[int], min_words: int) -> tuple[str,
         if a == 0 or text[a - 1] == "\n":
             if b == len(text):
                 out[-1] = out[-1].removesuffix("\n")
-            at += 1
+            at += text[b:b + 1].isspace()
     out.append(text[at:])
     return "".join(out), spans
 

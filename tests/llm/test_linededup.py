@@ -58,3 +58,13 @@ def test_random_corpus_like_brute_force(spark):
     got = sorted((r.doc_id, r.text, [tuple(x) for x in r.removed]) for r in L.deduplicate(df, min_words=8).collect())
     assert got == sorted(brute(rows, 8))
     assert any(g[2] for g in got)
+
+
+def test_repeated_paragraph_without_spaces(spark):
+    rng = random.Random(3)
+    han = ["".join(chr(0x4e00 + rng.randrange(2000)) for _ in range(30)) + "\u3002" for _ in range(6)]
+    thai = "".join(chr(0x0e01 + rng.randrange(40)) for _ in range(200))
+    rows = [(1, "\u4e00\u4e8c\u3002" + "".join(han[:5])), (2, "\u4e09\u56db\u3002" + "".join(han[:5]) + han[5]),
+            (3, thai), (4, "x y\n" + thai), (5, han[0] + "\u4e94")]
+    got = {r.doc_id: r.text for r in L.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "\u4e09\u56db\u3002" + han[5], 3: thai, 4: "x y", 5: rows[4][1]}
