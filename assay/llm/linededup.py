@@ -8,6 +8,12 @@ one is marked.  Marked units that stand next to each other in a document form a
 passages of ``min_words`` words or more are removed, shorter ones (a common short line or
 greeting) stay.  Scripts that put no space between words count four letters as a word.  The removed spans are returned as offsets into the original text.
 
+With ``inside``, passages that start or end inside a sentence are found as well: of the
+hashes of every ``GRAM`` words in a row the smallest of each window stands as an anchor, so
+that any ``min_words`` words in a row hold one.  Anchors are grouped like units; a later one
+is extended word by word to both sides against the words around the kept one, which its
+document hands out.  One or two words of a further sentence that happen to agree stay.
+
 Spark does the grouping: the smallest occurrence per digest is an aggregate with map-side
 combine, the marking a join on the digest (skewed digests are split by AQE), and only
 marked units travel back to their document.  The hot unit that stands in a third of all
@@ -20,6 +26,7 @@ others; units without a word are never marked, and they do not end a passage.
 
 from __future__ import annotations
 
+import functools
 import re
 import string
 import unicodedata
@@ -41,6 +48,10 @@ UNSPACED = "\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf
     "\u0e01-\u0e4e\u0e81-\u0ecd\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3\U00020000-\U0003ffff"
 LETTER = re.compile(f"[{UNSPACED}]")
 WORD_LETTERS = 4
+WORD = re.compile(rf"[{UNSPACED}]|[^\s{re.escape(string.punctuation)}{ENDS}{UNSPACED}]++")
+GRAM = 8                    # words of an anchor, at most
+EDGE = 3                    # words of a sentence that a passage has to share
+ANCHOR = -(1 << 31)         # an anchor's index is its first word's place from here on
 SPACED = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 LAST_RANK = 2**63 - 1       # a null doc_id ranks after every other
 
@@ -79,8 +90,69 @@ def text_key(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def unit_table(docs: DataFrame) -> DataFrame:
-    """``(h1, h2, doc, tkey, i)``: one row per unit with words of ``docs(doc, text)``.
+@functools.lru_cache(maxsize=1 << 16)
+def word_hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.lower() if word.isascii() else unicodedata.normalize("NFKC", word).casefold())
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words))
+
+
+def reach(min_words: int) -> tuple[int, int]:
+    """Words of an anchor, and starts of which one is an anchor."""
+    gram = max(1, min(GRAM, min_words // 2))
+    return gram, max(1, min_words - gram + 1)
+
+
+def anchors(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words and the two hashes of a text's anchors."""
+    gram, window = reach(min_words)
+    n = len(hashes) - gram + 1
+    if n < window:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    out = []
+    for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        h = np.zeros(n, dtype=np.uint64)
+        for j in range(gram):
+            h = h * np.uint64(base) + hashes[j:j + n]
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
+        out.append(h ^ (h >> np.uint64(29)))
+    at = np.unique(np.lib.stride_tricks.sliding_window_view(out[0], window).argmin(axis=1) + np.arange(n - window + 1))
+    return at, out[0][at].view(np.int64), out[1][at].view(np.int64)
+
+
+def around(hashes: np.ndarray, at: int, min_words: int) -> tuple[bytes, bytes]:
+    """Hashes of the words before an anchor (from it outwards) and after it."""
+    gram, window = reach(min_words)
+    low = hashes.astype(np.uint32)
+    return low[max(0, at - window):at][::-1].tobytes(), low[at + gram:at + gram + window].tobytes()
+
+
+def anchor_words(first: DataFrame, rows: DataFrame, min_words: int) -> DataFrame:
+    """``first`` with the words around every kept anchor."""
+    wanted = first.where("first.i < 0").groupBy(F.col("first.doc").alias("doc"), F.col("first.tkey").alias("tkey")) \
+        .agg(F.collect_list(F.struct("h1", "h2", F.col("first.i").alias("i"))).alias("wanted"))
+    texts = rows.select("doc", F.xxhash64("text").alias("tkey"), "text").join(wanted, ["doc", "tkey"])
+
+    def run(batches):
+        release()
+        for b in batches:
+            for text, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                hashes = word_hashes(WORD.findall(text))
+                got = [(w["h1"], w["h2"], *around(hashes, w["i"] - ANCHOR, min_words)) for w in want]
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*got), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+                                                 names=["h1", "h2", "before", "after"])
+
+    # A document stored twice hands out its words twice.
+    words = small_batches(texts.select("text", "wanted")).mapInArrow(run, "h1 long, h2 long, before binary, after binary") \
+        .dropDuplicates(["h1", "h2"])
+    return first.join(words, ["h1", "h2"], "left")
+
+
+def unit_table(docs: DataFrame, inside: int = 0) -> DataFrame:
+    """``(h1, h2, doc, tkey, i)``: one row per unit with words of ``docs(doc, text)``, and
+    per anchor of passages of ``inside`` words, if any.
     A digest that repeats inside one document keeps all its rows: rank is (doc, i)."""
     schema = "h1 long, h2 long, doc long, tkey long, i int"
 
@@ -97,6 +169,10 @@ def unit_table(docs: DataFrame) -> DataFrame:
                         h1, h2 = digest(words)
                         for c, v in zip(got, (h1, h2, doc, k, i)):
                             c.append(v)
+                if inside:
+                    at, h1, h2 = anchors(word_hashes(WORD.findall(text)), inside)
+                    for c, v in zip(got, (h1.tolist(), h2.tolist(), [doc] * len(at), [k] * len(at), (at + ANCHOR).tolist())):
+                        c += v
                 if len(got[0]) >= 100_000:
                     yield pa.RecordBatch.from_arrays(arrays(got), names=["h1", "h2", "doc", "tkey", "i"])
                     got = [[], [], [], [], []]
@@ -108,22 +184,89 @@ def unit_table(docs: DataFrame) -> DataFrame:
     return small_batches(docs.select("doc", "text")).mapInArrow(run, schema)
 
 
-def later_units(found: DataFrame) -> DataFrame:
-    """``(doc, tkey, marked)``: per document the sorted indexes of its units whose digest
-    has a smaller occurrence elsewhere or earlier in it."""
+def later_units(found: DataFrame, rows: DataFrame | None = None, inside: int = 0) -> DataFrame:
+    """``(doc, tkey, marked, anchors)``: per document the sorted indexes of its units whose
+    digest has a smaller occurrence elsewhere or earlier in it, and its anchors of that kind
+    with the words around the kept one (``kept``: its index when it is in the same document)."""
     place = F.struct(F.col("doc").alias("doc"), F.col("tkey").alias("tkey"), F.col("i").alias("i"))
     first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")) \
         .where("n > 1").select("h1", "h2", "first")
     # Cut here, so that the join's inputs are plain shuffles whose hot digests AQE can split.
-    later = found.join(cut(first), ["h1", "h2"]).where(place != F.col("first"))
-    return later.groupBy("doc", "tkey").agg(F.sort_array(F.collect_set("i")).alias("marked"))
+    first = cut(first)
+    if inside:
+        first = cut(anchor_words(first, rows, inside))
+    later = found.join(first, ["h1", "h2"]).where(place != F.col("first"))
+    units_ = F.sort_array(F.collect_set(F.when(F.col("i") >= 0, F.col("i")))).alias("marked")
+    if not inside:
+        return later.groupBy("doc", "tkey").agg(units_)
+    same = (F.col("first.doc") == F.col("doc")) & (F.col("first.tkey") == F.col("tkey"))
+    anchor = F.struct("i", "before", "after", F.when(same, F.col("first.i")).alias("kept"))
+    return later.groupBy("doc", "tkey").agg(units_, F.collect_set(F.when(F.col("i") < 0, anchor)).alias("anchors"))
+
+
+def inner_spans(text: str, parts: list, marked: list[int], found: list[dict], min_words: int) -> list[tuple[int, int]]:
+    """Spans of the passages that hold one of the later anchors ``found``."""
+    gram, _ = reach(min_words)
+    places = [(m.start(), m.end()) for m in WORD.finditer(text)]
+    words = [text[a:b] for a, b in places]
+    low = word_hashes(words).astype(np.uint32)
+    n = len(words)
+    held = np.zeros(n + 1, dtype=bool)
+    for x in found:
+        at = x["i"] - ANCHOR
+        before, after = (np.frombuffer(x[k], dtype=np.uint32) for k in ("before", "after"))
+        floor = 0 if x["kept"] is None else x["kept"] - ANCHOR + gram       # the kept words themselves stay
+        a, b = at, at + gram
+        for h in before:
+            if a == 0 or low[a - 1] != h:
+                break
+            a -= 1
+        for h in after:
+            if b == n or low[b] != h:
+                break
+            b += 1
+        held[max(a, floor):b] = True
+    starts = np.array([a for a, _ in places], dtype=np.int64)
+    bounds = [(int(np.searchsorted(starts, a)), int(np.searchsorted(starts, b))) for a, b, _ in parts]
+    anchored = held.copy()
+    for k in marked:
+        held[bounds[k][0]:bounds[k][1]] = True
+    first = np.array([a for a, _ in bounds], dtype=np.int64)
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], held.view(np.int8)])))
+    spans = []
+    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+        if not anchored[a:b].any():
+            continue
+        u, v = (int(np.searchsorted(first, x, side="right")) - 1 for x in (a, b - 1))
+        if u < v and a > bounds[u][0] and bounds[u][1] - a < EDGE:
+            a = bounds[u][1]
+            u = int(np.searchsorted(first, a, side="right")) - 1
+        if u < v and b < bounds[v][1] and b - bounds[v][0] < EDGE:
+            b = bounds[v][0]
+            v = int(np.searchsorted(first, b - 1, side="right")) - 1
+        if a < b and sum(1 / WORD_LETTERS if LETTER.match(w) else 1 for w in words[a:b]) >= min_words:
+            spans.append((parts[u][0] if a == bounds[u][0] else places[a][0],
+                          parts[v][1] if b == bounds[v][1] else places[b - 1][1]))
+    return spans
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
 
 
-def remove_passages(text: str, marked: list[int], min_words: int) -> tuple[str, list[tuple[int, int]]]:
-    """Text without its marked passages, and the removed spans.  A line that is removed
-    whole takes its line break along."""
-    if not marked:
+def remove_passages(text: str, marked: list[int], min_words: int,
+                    found: list[dict] | None = None) -> tuple[str, list[tuple[int, int]]]:
+    """Text without its marked passages and those around its later anchors ``found``, and
+    the removed spans.  A line that is removed whole takes its line break along."""
+    if not marked and not found:
         return text, []
+    marked = marked or []
     parts = units(text)
     repeated = np.zeros(len(parts), dtype=bool)
     repeated[marked] = True
@@ -136,6 +279,8 @@ def remove_passages(text: str, marked: list[int], min_words: int) -> tuple[str,
             if words >= min_words:
                 spans.append((run[0][0], run[-1][1]))
             run, words = [], 0
+    if found:
+        spans = merged(spans + inner_spans(text, parts, marked, found, min_words))
     out, at = [], 0
     for a, b in spans:
         out.append(text[at:a])
@@ -149,26 +294,28 @@ def remove_passages(text: str, marked: list[int], min_words: int) -> tuple[str,
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_words: int = MIN_WORDS, keep: list[str] | None = None) -> DataFrame:
+                min_words: int = MIN_WORDS, keep: list[str] | None = None, inside: bool = False) -> DataFrame:
     """``docs`` with the repeated passages of ``text_col`` removed, plus ``removed``
-    (array of start and end offsets into the original text)."""
+    (array of start and end offsets into the original text).  ``inside``: also those that
+    start or end inside a sentence."""
     keep = docs.columns if keep is None else keep
     carried = [c for c in keep if c.lower() not in (text_col.lower(), "removed")]
     rows = docs.select(F.struct(*[col(c) for c in carried]).alias("row") if carried else F.lit(None).alias("row"),
                        F.coalesce(col(id_col).cast("long"), F.lit(LAST_RANK)).alias("doc"),
                        col(text_col).cast("string").alias("text"))
-    marked = later_units(unit_table(rows))
+    most = min_words if inside else 0
+    marked = later_units(unit_table(rows, most), rows, most)
     joined = rows.withColumn("tkey", F.xxhash64("text")).join(marked, ["doc", "tkey"], "left")
 
     def factory():
         release()
 
         def f(cols):
-            got = [(t, []) if not t else remove_passages(t, m, min_words)
-                   for t, m in zip(cols[0].to_pylist(), cols[1].to_pylist())]
+            got = [(t, []) if not t else remove_passages(t, *x[:1], min_words, *x[1:])
+                   for t, *x in zip(*(c.to_pylist() for c in cols))]
             return [[t for t, _ in got], [[{"start": a, "end": b} for a, b in s] for _, s in got]]
         return f
 
-    out = append_columns(joined, ["text", "marked"], OUT, factory, ["row"])
+    out = append_columns(joined, ["text", "marked", *["anchors"] * inside], OUT, factory, ["row"])
     return out.select(*[F.col("row").getField(c).alias(c) for c in carried],
                       F.col("text").alias(text_col), "removed")

@@ -8,4 +8,4 @@ from assay.llm.linededup import deduplicate
 
 @register("op3_substring_dedup")
 def op3_substring_dedup(spark, sf_dir):
-    return deduplicate(table(spark, sf_dir, "documents"), keep=["doc_id", "text"])
+    return deduplicate(table(spark, sf_dir, "documents"), keep=["doc_id", "text"], inside=True)

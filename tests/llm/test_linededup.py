@@ -68,3 +68,32 @@ def test_repeated_paragraph_without_spaces(spark):
             (3, thai), (4, "x y\n" + thai), (5, han[0] + "\u4e94")]
     got = {r.doc_id: r.text for r in L.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: rows[0][1], 2: "\u4e09\u56db\u3002" + han[5], 3: thai, 4: "x y", 5: rows[4][1]}
+
+
+def test_passages_inside_sentences(spark):
+    rng = random.Random(7)
+
+    def own(n):
+        return " ".join(f"x{rng.randrange(10 ** 9)}" for _ in range(n))
+
+    rows, want, k = [], {}, 0
+    for n in (25, 30, 51, 58, 80):
+        for stops in (False, True):
+            w = own(n).split()
+            passage = " ".join(x + "." * (stops and j % 13 == 5) for j, x in enumerate(w))
+            for copy in range(4):
+                a, b = own(10), own(10)
+                rows.append((k, f"{a} {passage} {b}. {own(5)}."))
+                want[k] = (rows[-1][1] if not copy else rows[-1][1].replace(passage, "")).split()
+                k += 1
+    w = own(40)
+    rows += [(k, f"{own(3)} {w} {own(4)} {w} {own(5)}"), (k + 1, "la " * 300), (k + 2, own(12)), (None, None)]
+    rows.append((k + 3, rows[k + 2][1] + " " + own(12)))
+    df = spark.createDataFrame([*rows, *rows[:5]], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.deduplicate(df, inside=True).collect()}
+    for i, x in want.items():
+        assert got[i].text.split() == x, (i, rows[i][1], got[i].text)
+    assert got[k].text.count(w) == 1 and len(got[k].text.split()) == 52
+    assert got[k + 1].text.split().count("la") >= 8 and got[k + 3].text == rows[-1][1] and got[None].text is None
+    r = got[1]
+    assert "".join(c for j, c in enumerate(rows[1][1]) if not any(a <= j < b for a, b in r.removed)).split() == want[1]
