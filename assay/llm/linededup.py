@@ -6,7 +6,8 @@ and white space reduced to single spaces) and hashed to 128 bits.  Digests are g
 the whole table; the occurrence with the smallest (doc_id, offset) stays and every later
 one is marked.  Marked units that stand next to each other in a document form a passage;
 passages of ``min_words`` words or more are removed, shorter ones (a common short line or
-greeting) stay.  Scripts that put no space between words count four letters as a word.  The removed spans are returned as offsets into the original text.
+greeting) stay inside a line.  A whole line or document that is marked goes from
+``WHOLE_WORDS`` words on.  Scripts that put no space between words count four letters as a word.  The removed spans are returned as offsets into the original text.
 
 With ``inside``, passages that start or end inside a sentence are found as well: of the
 hashes of every ``GRAM`` words in a row the smallest of each window stands as an anchor, so
@@ -41,6 +42,7 @@ from pyspark.sql import types as T
 from assay.llm._common import append_columns, col, cut, release, small_batches
 
 MIN_WORDS = 25
+WHOLE_WORDS = 5             # of a whole line or document
 ENDS = "\u3002\uff01\uff1f\uff61\uff0e\u0964\u0965\u061f\u06d4\u104b\u17d4\u1362"     # sentence ends that need no space after them
 UNIT = re.compile(rf"(?:[^\n.!?{ENDS}]++|[.!?]++(?=[^\s.!?{ENDS}]))++[.!?{ENDS}]*+|[.!?{ENDS}]++")
 #: Letters of scripts without spaces between words: Han, Kana, Thai, Lao, Tibetan, Myanmar, Khmer.
@@ -250,6 +252,23 @@ def inner_spans(text: str, parts: list, marked: list[int], found: list[dict], mi
     return spans
 
 
+def whole_spans(text: str, parts: list, repeated: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Spans of the lines, or of the document, whose units with words are all marked."""
+    lines: list[list[int]] = []
+    end = 0
+    for k, (a, b, _) in enumerate(parts):
+        if not lines or "\n" in text[end:a]:
+            lines.append([])
+        lines[-1].append(k)
+        end = b
+    out = []
+    for line in [*lines, range(len(parts))]:
+        with_words = [k for k in line if parts[k][2]]
+        if with_words and repeated[with_words].all() and sum(size(parts[k][2]) for k in with_words) >= least:
+            out.append((parts[line[0]][0], parts[line[-1]][1]))
+    return out
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -279,6 +298,7 @@ def remove_passages(text: str, marked: list[int], min_words: int,
             if words >= min_words:
                 spans.append((run[0][0], run[-1][1]))
             run, words = [], 0
+    spans = merged(spans + whole_spans(text, parts, repeated, min(WHOLE_WORDS, min_words)))
     if found:
         spans = merged(spans + inner_spans(text, parts, marked, found, min_words))
     out, at = [], 0

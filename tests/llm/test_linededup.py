@@ -97,3 +97,11 @@ def test_passages_inside_sentences(spark):
     assert got[k + 1].text.split().count("la") >= 8 and got[k + 3].text == rows[-1][1] and got[None].text is None
     r = got[1]
     assert "".join(c for j, c in enumerate(rows[1][1]) if not any(a <= j < b for a, b in r.removed)).split() == want[1]
+
+
+def test_whole_lines_and_documents_under_the_bound(spark):
+    line = "All of these words stand here. Again."
+    rows = [(1, f"Own one.\n{line}\nOwn end."), (2, f"Own two.\n{line}\nOwn last."), (3, f"In a line {line}"),
+            (4, "Short one.\nShort two.\nShort three."), (5, "Short one.\nShort two.\nShort three."), (6, "Short one.\nNew.")]
+    got = {r.doc_id: r.text for r in L.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict(rows), 2: "Own two.\nOwn last.", 5: ""}
