@@ -7,7 +7,8 @@ counts and link densities, whether it is a heading or list item, and where it st
 class or id names such a part, on a page that has an article at all).  A decision tree
 (Spark ML) fitted on the small labelled table ``LABELLED`` decides which blocks are text.
 
-Script, style and other raw elements, comments, tags, and everything in ``head`` are never
+A formula's words stand in their block, without its annotations.  Script, style and other
+raw elements, comments, tags, and everything in ``head`` are never
 text.  Edge cases: null html is the empty page; a page without text blocks gives an empty
 string; unclosed elements end with the page, unmatched end tags are ignored, a tag or
 comment cut off at the page's end is markup.
@@ -127,9 +128,10 @@ LABELLED = """
 8 0 1 1 50 0  1 0 0 1 0 0  0
 """
 
-RAW = "script|style|noscript|template|textarea|select|svg|math|iframe|object|canvas|audio|video"
+RAW = "script|style|noscript|template|textarea|select|svg|annotation|annotation-xml|iframe|object|canvas|audio|video"
 PIECE = re.compile(
     r"<!--(?:.*?-->|.*\Z)"                                          # comment
+    r"|<svg(?:\s++[^\s=>/\"']++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+|/(?!>))*+\s*+/>"     # closes itself
     rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"   # element without text
     r"|<[!?][^>]*(?:>|\Z)"                                          # doctype, instruction
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
@@ -139,7 +141,10 @@ NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 
 #: Element kinds (fixed values of HTML).
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby "
-                   "s samp small span strike strong sub sup time tt u var wbr".split())
+                   "s samp small span strike strong sub sup time tt u var wbr "
+                   "math maction menclose merror mfenced mfrac mglyph mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom "
+                   "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover "
+                   "none semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ITEMS = frozenset("li dt dd option".split())

@@ -72,3 +72,16 @@ def test_whole_table_equals_its_documents(spark):
         doc = docs[int(re.search(r"://[^/]+/[a-z]+/(\d+)", r.url)[1])]
         lines = [" ".join(x.split()) for x in doc.split("\n")]
         assert r.text.split("\n")[1:] == [x for x in lines if x]
+
+
+def test_self_closing_svg_and_formulas(tree):
+    rest = " ".join(["word"] * 40)
+    for icon in ("<svg/>", "<svg />", '<svg class="a>b" width=10 />', "<SVG data-x='1'/>", "<math/>", "<svg><path d='x'/>no</svg>",
+                 "<svg width=1/>no</svg>"):
+        page = f"<article><p>First {rest} {icon}and on.</p><p>Last {rest}.</p></article>"
+        assert H.main_text(page, tree) == f"First {rest} and on.\nLast {rest}.", icon
+    formula = "<math display='block'><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow>" \
+        "<annotation encoding='tex'>\\\\hidden</annotation></semantics></math>"
+    page = f"<article><p>First {rest} {formula} and on.</p></article>"
+    assert H.main_text(page, tree) == f"First {rest} a=2 and on."
+    assert len(H.blocks("<svg " + "a " * 200_000)[0]) == 0
