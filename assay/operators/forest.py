@@ -20,7 +20,7 @@ forests.  A large node that no bin boundary divides becomes a leaf.
 from __future__ import annotations
 
 import math
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,8 @@ BOUND = 65_536              # rows of a node that one task finishes
 BINS = 256                  # bins of a feature in the histograms of larger nodes
 PASS_NUMBERS = 8_000_000    # histogram numbers a task holds in one scan
 BLOCK_NODES, BLOCK_ROWS = 1_500_000, 1_000_000
-UNITS_PER_TASK = 8
+UNITS_PER_TASK, MOST_TASKS = 8, 1_000
+SQRT = -1                   # as ``max_features``: the square root of the features
 
 NODES = ("spec int, tree int, slot int, feature array<int>, threshold array<double>, left array<int>, right array<int>, "
          "value array<double>, weight array<double>, gains array<double>")
@@ -268,7 +269,8 @@ def fit(data: DataFrame, specs: list[ForestSpec], bound: int = BOUND) -> Forests
     n, n_features = data.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     if not n:
         raise ValueError("no labelled rows to grow trees from")
-    classes = specs[0].rule.classes
+    classes, root = specs[0].rule.classes, max(1, math.isqrt(n_features))
+    specs = [replace(s, rule=replace(s.rule, max_features=root)) if s.rule.max_features == SQRT else s for s in specs]
     tops = _grow_tops(data, specs, n, n_features, classes, bound)
     # a unit is what one task finishes: the same drawn rows serve every rule that needs them
     units: dict = {}
@@ -313,7 +315,7 @@ def fit(data: DataFrame, specs: list[ForestSpec], bound: int = BOUND) -> Forests
         return pa.Table.from_arrays([pa.array([r[c] for r in out], t) for c, t in _NODE_TYPES], names=[c for c, _ in _NODE_TYPES])
 
     ship_package(spark)
-    tasks = max(min(len(members), 4 * spark.sparkContext.defaultParallelism), len(members) // UNITS_PER_TASK)
+    tasks = max(min(len(members), MOST_TASKS), len(members) // UNITS_PER_TASK)
     dealt = data.mapInArrow(deal, "unit int, rid long, x array<double>, y double, w double").repartition(tasks, "unit")
     path = scratch_path(spark, "forest")
     dealt.groupBy("unit").applyInArrow(finish, NODES).write.parquet(path)

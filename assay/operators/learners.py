@@ -1,12 +1,11 @@
 """Learners (M3-M17) as Spark ML estimators, parameterised like the reference's models.
 
-* Linear family (M3-M6): Spark minimises the *mean* loss and, for linear regression,
-  works on a label scaled by its std; the reference's penalties are on the *sum* loss.
-  The conversions below (with s = population std of the label, n = rows) give the
-  same optimum: ridge ``regParam = alpha / n * s``; lasso ``regParam = alpha``;
-  elastic net ``regParam = alpha*l1 + alpha*(1-l1)*s``, ``elasticNetParam = alpha*l1 /
-  regParam``; logistic C=1 ``regParam = 1 / n``.  All with ``standardization=False``.
-* Trees (M7-M9, M13-M15): Spark's depth cap is 30 (the reference grows without limit).
+* Linear family (M3-M6): exact solutions from one scan's moments (``linear.py``).
+* Logistic regression (M12): Spark minimises the *mean* loss, the reference's penalty is on
+  the *sum*: C=1 is ``regParam = 1 / n``, with ``standardization=False``.
+* Trees and forests (M7, M8, M13, M14): grown without a depth cap (``forest.py``).
+* Boosting (M9, M15): 100 rounds of depth 3, softmax over the classes for three
+  (``boosting.py``).
 * RBF SVMs (M10, M16) are re-aimed to random Fourier features + a linear model.
 * kNN (M11, M17) is the exact k-nearest-neighbour join in ``knn.py``.
 """
@@ -18,63 +17,50 @@ import math
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
-                                       LogisticRegression, OneVsRest, RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
                              MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SEED = 42
-MAX_DEPTH = 30          # Spark's cap; the reference grows trees without a limit
-
-# Deep levels aggregate node statistics per pass; a larger budget and cached node ids
-# mean fewer passes over the data (measured 105 s -> 71 s for the B1 forest).
-# One fixed number, so that node groups (and thus drawn features) do not depend on a machine.
-TREE_MEMORY_MB = 1024
-TREE_KW = dict(maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True, checkpointInterval=10)
-# Depth-3 boosting gains nothing from cached node ids (measured 24.7 s -> 12.7 s for 20
-# rounds without); checkpointing every 25 rounds still bounds the lineage for recovery.
-GBT_KW = dict(maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=False, checkpointInterval=25)
+from assay.operators.boosting import BoostedEstimator, BoostSpec
+from assay.operators.forest import SQRT, ForestEstimator, ForestSpec
+from assay.operators.linear import PENALTIES, GramRegression
+from assay.operators.trees import TreeRule
 
+SEED = 42
 
 REGRESSORS = ["Linear Regression", "Ridge Regression", "Lasso Regression", "ElasticNet",
               "Decision Tree", "Random Forest", "Gradient Boosting", "SVR", "KNN"]
 CLASSIFIERS = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting", "SVC", "KNN"]
 
 
+def forest_spec(name: str, classes: int, max_depth: int | None = None, num_trees: int = 100, min_split: int = 2,
+                min_leaf: int = 1, skip_fold: int | None = None) -> ForestSpec:
+    """A single tree on all rows, or a forest; class forests draw the square root of the
+    features for each split."""
+    forest = name == "Random Forest"
+    rule = TreeRule(classes, max_depth, min_split, min_leaf, SQRT if forest and classes else None)
+    return ForestSpec(num_trees if forest else 1, rule, forest, SEED, skip_fold)
+
+
 def label_stats(df: DataFrame, label: str):
     r = df.agg(F.count(F.col(label)).alias("n"), F.stddev_pop(F.col(label).cast("double")).alias("s")).first()
     return r["n"], (r["s"] or 0.0)
 
 
 def regressor(name: str, n: int, label_std: float, features: str = "features", label: str = "label",
-              max_depth: int = MAX_DEPTH, num_trees: int = 100, forest_depth: int = MAX_DEPTH):
+              max_depth: int | None = None, num_trees: int = 100):
     """One regression estimator by the reference's model name."""
-    common = dict(featuresCol=features, labelCol=label, predictionCol="prediction")
-    if name == "Linear Regression":
-        return LinearRegression(regParam=0.0, elasticNetParam=0.0, **common)
-    if name == "Ridge Regression":
-        return LinearRegression(regParam=1.0 / max(n, 1) * label_std, elasticNetParam=0.0,
-                                standardization=False, **common)
-    if name == "Lasso Regression":
-        return LinearRegression(regParam=0.1, elasticNetParam=1.0, standardization=False, **common)
-    if name == "ElasticNet":
-        alpha, l1 = 0.1, 0.5
-        reg = alpha * l1 + alpha * (1 - l1) * label_std
-        return LinearRegression(regParam=reg, elasticNetParam=alpha * l1 / reg if reg else 0.0,
-                                standardization=False, **common)
-    if name == "Decision Tree":
-        return DecisionTreeRegressor(maxDepth=max_depth, seed=SEED, **TREE_KW, **common)
-    if name == "Random Forest":
-        return RandomForestRegressor(numTrees=num_trees, featureSubsetStrategy="all", maxDepth=forest_depth,
-                                     seed=SEED, **TREE_KW, **common)
+    if name in PENALTIES:
+        return GramRegression(name, features, label)
+    if name in ("Decision Tree", "Random Forest"):
+        return ForestEstimator(forest_spec(name, 0, max_depth, num_trees), features, label)
     if name == "Gradient Boosting":
-        return GBTRegressor(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **GBT_KW, **common)
+        return BoostedEstimator(BoostSpec(0), features, label)
     if name == "SVR":
         rff = RandomFourierFeatures(inputCol=features, outputCol="_rff", numFeatures=200, seed=SEED)
         lin = LinearRegression(featuresCol="_rff", labelCol=label, loss="huber", regParam=1.0 / max(n, 1),
@@ -87,20 +73,16 @@ def regressor(name: str, n: int, label_std: float, features: str = "features", l
 
 
 def classifier(name: str, n: int, num_classes: int, features: str = "features", label: str = "label",
-               max_depth: int = MAX_DEPTH, num_trees: int = 100, forest_depth: int = MAX_DEPTH):
+               max_depth: int | None = None, num_trees: int = 100):
     """One classification estimator by the reference's model name."""
     common = dict(featuresCol=features, labelCol=label)
     if name == "Logistic Regression":
         return LogisticRegression(maxIter=1000, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
                                   standardization=False, family="auto", **common)
-    if name == "Decision Tree":
-        return DecisionTreeClassifier(maxDepth=max_depth, seed=SEED, **TREE_KW, **common)
-    if name == "Random Forest":
-        return RandomForestClassifier(numTrees=num_trees, featureSubsetStrategy="sqrt", maxDepth=forest_depth,
-                                      seed=SEED, **TREE_KW, **common)
+    if name in ("Decision Tree", "Random Forest"):
+        return ForestEstimator(forest_spec(name, max(num_classes, 2), max_depth, num_trees), features, label)
     if name == "Gradient Boosting":
-        gbt = GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=3, seed=SEED, **GBT_KW, **common)
-        return gbt if num_classes <= 2 else SoftmaxOneVsRest(classifier=gbt, **common)
+        return BoostedEstimator(BoostSpec(max(num_classes, 2)), features, label)
     if name == "SVC":
         rff = RandomFourierFeatures(inputCol=features, outputCol="_rff", numFeatures=200, seed=SEED)
         # Ends by tolerance; the iteration cap is far above what that takes.

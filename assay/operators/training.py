@@ -7,18 +7,24 @@ params) -- the leaderboard rows.
 
 from __future__ import annotations
 
+import itertools
 import time
 import traceback
+from dataclasses import replace
 
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assay.operators import boosting as BO
+from assay.operators import forest as FO
 from assay.operators import learners as L
+from assay.operators import linear as LI
 from assay.operators import metrics as ME
-from assay.operators.split import with_folds
+from assay.operators._small import collect_bounded
+from assay.operators.learners import FoldwiseEstimator
 
 REG_SCHEMA = T.StructType([
     T.StructField("ordinal", T.IntegerType()), T.StructField("model", T.StringType()),
@@ -56,6 +62,49 @@ def cross_validate(est, train: DataFrame, task: str, fold_col: str = "fold", par
     return cv.fit(train)
 
 
+def fit_and_cross_validate(task: str, name: str, train: DataFrame, num_classes: int = 2, cv: bool = True, **kw):
+    """(model on all rows, mean fold MSE or accuracy or None).  Linear models take all folds
+    from one scan's moments, trees, forests and boosting grow all folds together; the other
+    learners are fitted fold by fold."""
+    est = estimator_for(task, name, train, num_classes, **kw)
+    if not cv:
+        return est.fit(train), None
+    if isinstance(est, LI.GramRegression):
+        folds = LI.fold_moments(train, est.features, est.label, "fold")
+        total = sum(list(folds.values())[1:], next(iter(folds.values())))
+        return est.model(total), LI.cross_validated(folds, LI.PENALTIES[name])
+    if isinstance(est, (FO.ForestEstimator, BO.BoostedEstimator)):
+        data = FO.training_table(train, est.features, est.label, "fold")
+        folds = [r[0] for r in collect_bounded(data.select("fold").distinct(), LI.MAX_FOLDS)]
+        specs = [est.spec, *(replace(est.spec, skip_fold=f) for f in sorted(folds))]
+        if isinstance(est, BO.BoostedEstimator):
+            fitted = BO.fit(data, specs)
+            return fitted.model(0, est.features), fold_mean(fitted.left_out(), task)
+        forests = FO.fit(data, specs)
+        scored = left_out(forests, data, {s.skip_fold: [i] for i, s in enumerate(specs) if s.skip_fold is not None})
+        p = scored.select("fold", "y", FO.predicted(F.col("p"), forests.classes)[-1].alias("prediction"))
+        return FO.ForestModel(forests, 0, est.features), fold_mean(p, task)
+    cvm = cross_validate(FoldwiseEstimator(task, name, num_classes, **kw), train, task)
+    return est.fit(train), float(cvm.avgMetrics[0])
+
+
+def left_out(forests: FO.Forests, data: DataFrame, by_fold: dict, limits: list[int] | None = None) -> DataFrame:
+    """(fold, y, spec, p): every row scored by the forests (``by_fold``: their numbers) that
+    did not see its fold."""
+    specs = F.create_map(*[F.lit(x) if not isinstance(x, list) else F.array(*[F.lit(i) for i in x])
+                           for kv in by_fold.items() for x in kv])
+    rows = data.select(F.col("rid").alias("qid"), F.explode(specs[F.col("fold")]).alias("spec"), "x")
+    return FO.score(forests, rows, limits).join(data.select(F.col("rid").alias("qid"), "fold", "y"), "qid")
+
+
+def fold_mean(scored: DataFrame, task: str, by: tuple = ()):
+    """Mean over the folds of the squared error or accuracy in ``scored(fold, y, prediction)``;
+    one number, or a frame with ``by`` and ``metric``."""
+    hit = F.pow(F.col("y") - F.col("prediction"), 2) if task == "regression" else (F.col("y") == F.col("prediction")).cast("double")
+    per = scored.groupBy(*by, "fold").agg(F.avg(hit).alias("m")).groupBy(*by).agg(F.avg("m").alias("metric"))
+    return per if by else per.first()["metric"]
+
+
 def leaderboard(train: DataFrame, test: DataFrame, task: str, models=None, cv: bool = True,
                 num_classes: int = 2, **kw) -> DataFrame:
     """Fit, score and cross-validate each model; a failing model stays as a row with
@@ -66,17 +115,15 @@ def leaderboard(train: DataFrame, test: DataFrame, task: str, models=None, cv: b
     for i, name in enumerate(models, start=1):
         t0 = time.time()
         try:
-            est = estimator_for(task, name, train, num_classes, **kw)
-            model = est.fit(train)
+            model, metric = fit_and_cross_validate(task, name, train, num_classes, cv, **kw)
             pred = model.transform(test)
-            cvm = cross_validate(L.FoldwiseEstimator(task, name, num_classes, **kw), train, task) if cv else None
             if task == "regression":
                 m = ME.regression_metrics(pred, "label", "prediction").first()
-                cv_rmse = float(cvm.avgMetrics[0]) ** 0.5 if cvm else None
+                cv_rmse = metric ** 0.5 if cv else None
                 rows.append((i, name, m["rmse"], m["r2"], cv_rmse, time.time() - t0, "ok", None))
             else:
                 acc = ME.accuracy(pred, "label", "prediction").first()["accuracy"]
-                rows.append((i, name, acc, float(cvm.avgMetrics[0]) if cvm else None, time.time() - t0, "ok", None))
+                rows.append((i, name, acc, metric, time.time() - t0, "ok", None))
         except Exception as e:  # noqa: BLE001 -- a failing model is a leaderboard row
             err = f"{type(e).__name__}: {e}"
             traceback.print_exc()
@@ -87,26 +134,40 @@ def leaderboard(train: DataFrame, test: DataFrame, task: str, models=None, cv: b
     return spark.createDataFrame(rows, REG_SCHEMA if task == "regression" else CLS_SCHEMA)
 
 
-def forest_grid(est, task: str):
-    """M24 grid: trees 100/200, depth 10/20/30, min instances per node 1/2 (12 points;
-    the reference's min_samples_split has no Spark parameter)."""
-    return (ParamGridBuilder().addGrid(est.numTrees, [100, 200]).addGrid(est.maxDepth, [10, 20, 30])
-            .addGrid(est.minInstancesPerNode, [1, 2]).build())
-
-
-def tune_forest(train: DataFrame, task: str, num_classes: int = 2, parallelism: int = 4, grid=None):
-    """M24 + S6: grid search by CV, refit on the best; returns (best model, tuning log frame)."""
-    spark = train.sparkSession
-    est = estimator_for(task, "Random Forest", train, num_classes)
-    grid = grid or forest_grid(est, task)
-    cvm = cross_validate(est, train, task, param_maps=grid, parallelism=parallelism)
+#: M24 grid, 24 points; the 100-tree points are the first trees of the 200-tree ones.
+GRID = {"n_estimators": [100, 200], "max_depth": [None, 10, 20], "min_samples_split": [2, 5], "min_samples_leaf": [1, 2]}
+
+
+def tune_forest(train: DataFrame, task: str, num_classes: int = 2, grid: dict | None = None):
+    """M24 + S6: grid search by CV, refit on the best (the first one wins ties); returns
+    (best model, tuning log frame).  All folds and grid points grow in one pass: the same
+    drawn rows serve every rule, and fewer trees are a prefix of more."""
+    spark, grid = train.sparkSession, grid or GRID
+    data = FO.training_table(train, "features", "label", "fold")
+    folds = sorted(r[0] for r in collect_bounded(data.select("fold").distinct(), LI.MAX_FOLDS))
+    classes = 0 if task == "regression" else max(num_classes, 2)
+    counts = sorted(grid["n_estimators"])
+    rules = list(itertools.product(grid["max_depth"], grid["min_samples_split"], grid["min_samples_leaf"]))
+    specs = [L.forest_spec("Random Forest", classes, d, counts[-1], sp, lf, fold) for d, sp, lf in rules for fold in folds]
+    forests = FO.fit(data, specs)
+    of = {f: [i for i, s in enumerate(specs) if s.skip_fold == f] for f in folds}
+    scored = left_out(forests, data, of, counts)
+    width, parts = forests.width, []
+    for i, n in enumerate(counts):
+        p = F.slice("p", 1 + i * width, width)
+        parts.append(F.struct(F.lit(n).alias("n"), FO.predicted(p, classes)[-1].alias("prediction")))
+    long = scored.select("fold", "y", F.floor(F.col("spec") / len(folds)).cast("int").alias("rule"),
+                         F.inline(F.array(*parts)))
+    metric = {(r["rule"], r["n"]): r["metric"] for r in collect_bounded(fold_mean(long, task, ("rule", "n")))}
+    sign = -1.0 if task == "regression" else 1.0        # the log reports negative squared errors
     log = []
-    for pm, score in zip(grid, cvm.avgMetrics):
-        params = {p.name: str(v) for p, v in pm.items()}
-        # sklearn reports negative MSE for regression; keep the same sign convention
-        log.append((params, float(-score if task == "regression" else score)))
-    frame = spark.createDataFrame(log, "params map<string,string>, mean_test_score double")
-    return cvm.bestModel, frame
+    for i, (depth, split, leaf) in enumerate(rules):
+        for n in counts:
+            log.append(({"n_estimators": str(n), "max_depth": str(depth), "min_samples_split": str(split),
+                         "min_samples_leaf": str(leaf)}, sign * float(metric[i, n]), (depth, split, leaf, n)))
+    depth, split, leaf, n = max(log, key=lambda r: r[1])[2]
+    best = FO.ForestEstimator(L.forest_spec("Random Forest", classes, depth, n, split, leaf)).fit(train)
+    return best, spark.createDataFrame([r[:2] for r in log], "params map<string,string>, mean_test_score double")
 
 
 def feature_importance(model, features, k: int = 15, spark=None) -> DataFrame:

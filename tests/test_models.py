@@ -86,7 +86,7 @@ def test_margin_classifiers_have_probabilities_and_reload(data, tmp_path):
     for frame, classes, name in ((two, 2, "SVC"), (three, 3, "SVC"), (three, 3, "Gradient Boosting")):
         est = TR.estimator_for("multiclass", name, frame, classes)
         if name == "Gradient Boosting":
-            est.inner.getClassifier().setMaxIter(3)
+            est.setMaxIter(3)
         m = PipelineModel([est.fit(frame)])
         TR.save_model(m, f"{tmp_path}/{name}{classes}")
         rows = [[(r["prediction"], r["p"]) for r in x.transform(frame).withColumn("p", vector_to_array("probability"))
