@@ -98,6 +98,14 @@ def append_columns(df: DataFrame, inputs: list[str], out: T.StructType,
     return small_batches(src).mapInArrow(run, schema)
 
 
+def decoded(column: pa.Array) -> list[str | None]:
+    """Texts of an Arrow column; invalid UTF-8 reads as U+FFFD."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        return [None if b is None else b.decode("utf-8", "replace") for b in column.cast(pa.binary()).to_pylist()]
+
+
 def arrow_type(t: T.DataType) -> pa.DataType:
     """Arrow type of a Spark type used in an operator's output."""
     if isinstance(t, T.ArrayType):
@@ -169,4 +177,4 @@ def tokenizer_path(file: str) -> str:
 
 
 __all__ = ["QUERIES", "ORACLE", "RecentWords", "register", "table", "col", "cut", "written", "append_columns",
-           "arrow_type", "held", "release", "small_batches", "tokenizer_path"]
+           "arrow_type", "decoded", "held", "release", "small_batches", "tokenizer_path"]

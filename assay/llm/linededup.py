@@ -1,28 +1,29 @@
-"""Repeated-passage removal by hashing text units.
-
-Units are the sentences of each line (a unit ends at a line break, after ``.``, ``!`` or
-``?`` before white space, or after a sentence end of another script).  A unit is normalised (NFKC, case-folded, ASCII punctuation
-and white space reduced to single spaces) and hashed to 128 bits.  Digests are grouped over
-the whole table; the occurrence with the smallest (doc_id, offset) stays and every later
-one is marked.  Marked units that stand next to each other in a document form a passage;
-passages of ``min_words`` words or more are removed, shorter ones (a common short line or
+"""Repeated-passage removal by hashing chunks of lines.
+
+A line is cut into chunks by its content: after every word whose hash is a multiple of
+``RATE``, after ``MOST`` words without one, and at the line's end.  Two copies of a passage
+thus have the same chunks from its first such word on, wherever it starts or ends.  Words are normalised
+(NFKC, case-folded, punctuation dropped); a chunk is known by a 64-bit hash of its words.
+Chunks are grouped over the whole table; the occurrence with the smallest (doc_id, place)
+stays and every later one is marked.  Marked chunks that stand next to each other form a
+passage, which is extended word by word to both sides as far as the words around its kept
+copy (where most of its chunks are kept) agree; one or two words of a further sentence that
+happen to agree stay.  Passages of ``min_words`` words or more are removed, shorter ones (a common
 greeting) stay inside a line.  A whole line or document that is marked goes from
-``WHOLE_WORDS`` words on.  Scripts that put no space between words count four letters as a word.  The removed spans are returned as offsets into the original text.
+``WHOLE_WORDS`` words on.  Scripts that put no space between words count four letters as a
+word.  The removed spans are returned as offsets into the original text.
 
-With ``inside``, passages that start or end inside a sentence are found as well: of the
-hashes of every ``GRAM`` words in a row the smallest of each window stands as an anchor, so
-that any ``min_words`` words in a row hold one.  Anchors are grouped like units; a later one
-is extended word by word to both sides against the words around the kept one, which its
-document hands out.  One or two words of a further sentence that happen to agree stay.
-
-Spark does the grouping: the smallest occurrence per digest is an aggregate with map-side
-combine, the marking a join on the digest (skewed digests are split by AQE), and only
-marked units travel back to their document.  The hot unit that stands in a third of all
-documents is thus never gathered.
+Texts are hashed once: the chunk table is written to the shared folder.  The smallest
+occurrence per hash is an aggregate with map-side combine, the marking a join on the hash
+(skewed hashes are split by AQE), and only marked chunks travel back to their document, so
+a chunk that stands in a third of all documents is never gathered.  The words around a kept
+copy are taken only for the ends of passages, from the texts that hold those copies.
 
 Edge cases: null text gives null text and no spans; rows that repeat both doc_id and text
 are one document stored twice and get the same result; a null doc_id ranks after all
-others; units without a word are never marked, and they do not end a passage.
+others; text without a word is never marked and does not end a passage; a passage with
+fewer than two words where a chunk can end stays (7 in 1,000 of 25 words, 1 in 100,000 of
+50 words); invalid bytes read as U+FFFD.
 """
 
 from __future__ import annotations
@@ -31,67 +32,39 @@ import functools
 import re
 import string
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col, cut, release, small_batches
+from assay.llm._common import append_columns, col, cut, decoded, release, small_batches, written
+from assay.operators._small import attach
 
 MIN_WORDS = 25
 WHOLE_WORDS = 5             # of a whole line or document
 ENDS = "\u3002\uff01\uff1f\uff61\uff0e\u0964\u0965\u061f\u06d4\u104b\u17d4\u1362"     # sentence ends that need no space after them
-UNIT = re.compile(rf"(?:[^\n.!?{ENDS}]++|[.!?]++(?=[^\s.!?{ENDS}]))++[.!?{ENDS}]*+|[.!?{ENDS}]++")
 #: Letters of scripts without spaces between words: Han, Kana, Thai, Lao, Tibetan, Myanmar, Khmer.
 UNSPACED = "\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d" \
     "\u0e01-\u0e4e\u0e81-\u0ecd\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3\U00020000-\U0003ffff"
 LETTER = re.compile(f"[{UNSPACED}]")
 WORD_LETTERS = 4
 WORD = re.compile(rf"[{UNSPACED}]|[^\s{re.escape(string.punctuation)}{ENDS}{UNSPACED}]++")
-GRAM = 8                    # words of an anchor, at most
-EDGE = 3                    # words of a sentence that a passage has to share
-ANCHOR = -(1 << 31)         # an anchor's index is its first word's place from here on
-SPACED = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
+TOKEN = re.compile(rf"\n|{WORD.pattern}")
+OPENING = "([{\"'\u2018\u201c\u00ab\u00bf\u00a1\u300c\u300e\u3008\u300a\uff08"     # belongs to the word after it
+RATE, MOST = 4, 48          # one word in so many ends a chunk; longest chunk
+EXTEND = 48                 # words compared beyond an end of a passage
+EDGE = 3                    # words of a further sentence that an extension has to share
+STOP = re.compile(rf"\n|[.!?]\s|[{ENDS}]")
 LAST_RANK = 2**63 - 1       # a null doc_id ranks after every other
 
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 OUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", SPAN)])
 
 
-def units(text: str) -> list[tuple[int, int, list[bytes]]]:
-    """(start, end, normalised words) of every unit, in order."""
-    out = []
-    for m in UNIT.finditer(text):
-        s = m.group()
-        s = s.lower() if s.isascii() else unicodedata.normalize("NFKC", s).casefold()
-        out.append((*m.span(), s.encode().translate(SPACED).split()))
-    return out
-
-
-def size(words: list[bytes]) -> float:
-    """Words, or quarters of a word for the letters of unspaced scripts."""
-    out = 0.0
-    for w in words:
-        n = 0 if w.isascii() else len(LETTER.findall(w.decode()))
-        out += n / WORD_LETTERS if n else 1
-    return out
-
-
-def digest(words: list[bytes]) -> tuple[int, int]:
-    """Two signed longs of a unit's 128-bit hash."""
-    h = xxhash.xxh3_128_intdigest(b" ".join(words))
-    return (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)
-
-
-def text_key(text: str) -> int:
-    """What ``xxhash64`` of Spark gives for the text."""
-    h = xxhash.xxh64_intdigest(text, 42)
-    return h - (1 << 64) if h >> 63 else h
-
-
 @functools.lru_cache(maxsize=1 << 16)
 def word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.lower() if word.isascii() else unicodedata.normalize("NFKC", word).casefold())
@@ -101,172 +74,164 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words))
 
 
-def reach(min_words: int) -> tuple[int, int]:
-    """Words of an anchor, and starts of which one is an anchor."""
-    gram = max(1, min(GRAM, min_words // 2))
-    return gram, max(1, min_words - gram + 1)
-
-
-def anchors(hashes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First words and the two hashes of a text's anchors."""
-    gram, window = reach(min_words)
-    n = len(hashes) - gram + 1
-    if n < window:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    out = []
-    for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-        h = np.zeros(n, dtype=np.uint64)
-        for j in range(gram):
-            h = h * np.uint64(base) + hashes[j:j + n]
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
-        out.append(h ^ (h >> np.uint64(29)))
-    at = np.unique(np.lib.stride_tricks.sliding_window_view(out[0], window).argmin(axis=1) + np.arange(n - window + 1))
-    return at, out[0][at].view(np.int64), out[1][at].view(np.int64)
+LINE = np.uint64(word_hash("\n"))
 
 
-def around(hashes: np.ndarray, at: int, min_words: int) -> tuple[bytes, bytes]:
-    """Hashes of the words before an anchor (from it outwards) and after it."""
-    gram, window = reach(min_words)
-    low = hashes.astype(np.uint32)
-    return low[max(0, at - window):at][::-1].tobytes(), low[at + gram:at + gram + window].tobytes()
+def chunk_starts(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words among ``tokens`` (words and line breaks), and the first word of
+    every chunk."""
+    hashes = word_hashes(tokens)
+    line = hashes == LINE
+    ends = line | (hashes % np.uint64(RATE) == 0)
+    words = hashes[~line]
+    # a word starts a chunk when anything that ends one stands between it and the word before
+    before = np.cumsum(ends) - ends
+    starts = np.flatnonzero(np.diff(before[~line], prepend=-1))
+    if len(words) and np.diff(np.append(starts, len(words))).max() > MOST:
+        long = [np.arange(a, b, MOST) for a, b in zip(starts, np.append(starts[1:], len(words)))]
+        starts = np.concatenate(long)
+    return words, starts
 
 
-def anchor_words(first: DataFrame, rows: DataFrame, min_words: int) -> DataFrame:
-    """``first`` with the words around every kept anchor."""
-    wanted = first.where("first.i < 0").groupBy(F.col("first.doc").alias("doc"), F.col("first.tkey").alias("tkey")) \
-        .agg(F.collect_list(F.struct("h1", "h2", F.col("first.i").alias("i"))).alias("wanted"))
-    texts = rows.select("doc", F.xxhash64("text").alias("tkey"), "text").join(wanted, ["doc", "tkey"])
+def chunk_digests(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit hash of every chunk."""
+    place = np.arange(len(words)) - np.repeat(starts, np.diff(np.append(starts, len(words))))
+    power = np.cumprod(np.full(MOST, 0x9E3779B97F4A7C15, dtype=np.uint64))
+    h = np.add.reduceat((words ^ (words >> np.uint64(29))) * power[place], starts)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
+    return (h ^ (h >> np.uint64(29))).view(np.int64)
 
-    def run(batches):
-        release()
-        for b in batches:
-            for text, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                hashes = word_hashes(WORD.findall(text))
-                got = [(w["h1"], w["h2"], *around(hashes, w["i"] - ANCHOR, min_words)) for w in want]
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*got), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-                                                 names=["h1", "h2", "before", "after"])
 
-    # A document stored twice hands out its words twice.
-    words = small_batches(texts.select("text", "wanted")).mapInArrow(run, "h1 long, h2 long, before binary, after binary") \
-        .dropDuplicates(["h1", "h2"])
-    return first.join(words, ["h1", "h2"], "left")
+def weight(word: str) -> float:
+    """A word, or a quarter for a letter of an unspaced script."""
+    return 1 / WORD_LETTERS if LETTER.match(word) else 1.0
 
 
-def unit_table(docs: DataFrame, inside: int = 0) -> DataFrame:
-    """``(h1, h2, doc, tkey, i)``: one row per unit with words of ``docs(doc, text)``, and
-    per anchor of passages of ``inside`` words, if any.
-    A digest that repeats inside one document keeps all its rows: rank is (doc, i)."""
-    schema = "h1 long, h2 long, doc long, tkey long, i int"
+def chunk_table(docs: DataFrame) -> DataFrame:
+    """``(h, doc, place)``: one row per chunk of ``docs(doc, key, text)``; ``place`` holds
+    the text's key (which tells apart texts of one id) and the chunk's number, so that (doc, place) ranks the occurrences."""
+    names = ["h", "doc", "place"]
 
     def run(batches):
         release()
         for b in batches:
-            got: list[list] = [[], [], [], [], []]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if not text:
+            got: list[list] = [[], [], []]
+            for doc, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), decoded(b.column(2))):
+                words, starts = chunk_starts(TOKEN.findall(text)) if text else ((), ())
+                if not len(words):
                     continue
-                k = text_key(text)
-                for i, (_, _, words) in enumerate(units(text)):
-                    if words:
-                        h1, h2 = digest(words)
-                        for c, v in zip(got, (h1, h2, doc, k, i)):
-                            c.append(v)
-                if inside:
-                    at, h1, h2 = anchors(word_hashes(WORD.findall(text)), inside)
-                    for c, v in zip(got, (h1.tolist(), h2.tolist(), [doc] * len(at), [k] * len(at), (at + ANCHOR).tolist())):
-                        c += v
-                if len(got[0]) >= 100_000:
-                    yield pa.RecordBatch.from_arrays(arrays(got), names=["h1", "h2", "doc", "tkey", "i"])
-                    got = [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays(arrays(got), names=["h1", "h2", "doc", "tkey", "i"])
-
-    def arrays(got):
-        return [pa.array(c, type=pa.int64()) for c in got[:4]] + [pa.array(got[4], type=pa.int32())]
-
-    return small_batches(docs.select("doc", "text")).mapInArrow(run, schema)
-
-
-def later_units(found: DataFrame, rows: DataFrame | None = None, inside: int = 0) -> DataFrame:
-    """``(doc, tkey, marked, anchors)``: per document the sorted indexes of its units whose
-    digest has a smaller occurrence elsewhere or earlier in it, and its anchors of that kind
-    with the words around the kept one (``kept``: its index when it is in the same document)."""
-    place = F.struct(F.col("doc").alias("doc"), F.col("tkey").alias("tkey"), F.col("i").alias("i"))
-    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")) \
-        .where("n > 1").select("h1", "h2", "first")
+                h = chunk_digests(words, starts)
+                for column, v in zip(got, (h, np.full(len(h), doc), np.arange(len(h)) + (key << 32))):
+                    column.append(v)
+            if got[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(g), pa.int64()) for g in got], names=names)
+
+    return small_batches(docs.select("doc", "key", "text")).mapInArrow(run, "h long, doc long, place long")
+
+
+def passages(found: DataFrame) -> DataFrame:
+    """``(doc, a, z, kept_doc, shift)``: places of the first and last chunk of every row of
+    neighbouring chunks that have a smaller occurrence, and the text and distance at which
+    most of them are kept."""
+    place = F.struct("doc", "place")
+    first = found.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")) \
+        .where("n > 1").select("h", "first")
     # Cut here, so that the join's inputs are plain shuffles whose hot digests AQE can split.
     first = cut(first)
-    if inside:
-        first = cut(anchor_words(first, rows, inside))
-    later = found.join(first, ["h1", "h2"]).where(place != F.col("first"))
-    units_ = F.sort_array(F.collect_set(F.when(F.col("i") >= 0, F.col("i")))).alias("marked")
-    if not inside:
-        return later.groupBy("doc", "tkey").agg(units_)
-    same = (F.col("first.doc") == F.col("doc")) & (F.col("first.tkey") == F.col("tkey"))
-    anchor = F.struct("i", "before", "after", F.when(same, F.col("first.i")).alias("kept"))
-    return later.groupBy("doc", "tkey").agg(units_, F.collect_set(F.when(F.col("i") < 0, anchor)).alias("anchors"))
-
-
-def inner_spans(text: str, parts: list, marked: list[int], found: list[dict], min_words: int) -> list[tuple[int, int]]:
-    """Spans of the passages that hold one of the later anchors ``found``."""
-    gram, _ = reach(min_words)
-    places = [(m.start(), m.end()) for m in WORD.finditer(text)]
-    words = [text[a:b] for a, b in places]
-    low = word_hashes(words).astype(np.uint32)
-    n = len(words)
-    held = np.zeros(n + 1, dtype=bool)
-    for x in found:
-        at = x["i"] - ANCHOR
-        before, after = (np.frombuffer(x[k], dtype=np.uint32) for k in ("before", "after"))
-        floor = 0 if x["kept"] is None else x["kept"] - ANCHOR + gram       # the kept words themselves stay
-        a, b = at, at + gram
-        for h in before:
-            if a == 0 or low[a - 1] != h:
-                break
-            a -= 1
-        for h in after:
-            if b == n or low[b] != h:
-                break
-            b += 1
-        held[max(a, floor):b] = True
-    starts = np.array([a for a, _ in places], dtype=np.int64)
-    bounds = [(int(np.searchsorted(starts, a)), int(np.searchsorted(starts, b))) for a, b, _ in parts]
-    anchored = held.copy()
-    for k in marked:
-        held[bounds[k][0]:bounds[k][1]] = True
-    first = np.array([a for a, _ in bounds], dtype=np.int64)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], held.view(np.int8)])))
-    spans = []
-    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-        if not anchored[a:b].any():
-            continue
-        u, v = (int(np.searchsorted(first, x, side="right")) - 1 for x in (a, b - 1))
-        if u < v and a > bounds[u][0] and bounds[u][1] - a < EDGE:
-            a = bounds[u][1]
-            u = int(np.searchsorted(first, a, side="right")) - 1
-        if u < v and b < bounds[v][1] and b - bounds[v][0] < EDGE:
-            b = bounds[v][0]
-            v = int(np.searchsorted(first, b - 1, side="right")) - 1
-        if a < b and sum(1 / WORD_LETTERS if LETTER.match(w) else 1 for w in words[a:b]) >= min_words:
-            spans.append((parts[u][0] if a == bounds[u][0] else places[a][0],
-                          parts[v][1] if b == bounds[v][1] else places[b - 1][1]))
-    return spans
-
-
-def whole_spans(text: str, parts: list, repeated: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Spans of the lines, or of the document, whose units with words are all marked."""
-    lines: list[list[int]] = []
-    end = 0
-    for k, (a, b, _) in enumerate(parts):
-        if not lines or "\n" in text[end:a]:
-            lines.append([])
-        lines[-1].append(k)
-        end = b
-    out = []
-    for line in [*lines, range(len(parts))]:
-        with_words = [k for k in line if parts[k][2]]
-        if with_words and repeated[with_words].all() and sum(size(parts[k][2]) for k in with_words) >= least:
-            out.append((parts[line[0]][0], parts[line[-1]][1]))
-    return out
+    # a document stored twice gives its chunks twice
+    later = found.join(first, "h").where(place != F.col("first")) \
+        .select("doc", "place", F.struct(F.col("first.doc").alias("doc"), (F.col("first.place") - F.col("place")).alias("shift"))
+                .alias("kept")).distinct()
+    order = Window.partitionBy("doc", F.shiftright("place", 32)).orderBy("place")
+    return later.withColumn("run", F.col("place") - F.row_number().over(order)) \
+        .groupBy("doc", F.shiftright("place", 32).alias("key"), "run") \
+        .agg(F.min("place").alias("a"), F.max("place").alias("z"), F.mode("kept", True).alias("kept")) \
+        .select("doc", "a", "z", F.col("kept.doc").alias("kept_doc"), F.col("kept.shift").alias("shift"))
+
+
+def around(ends: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(kept_doc, kept_place, before, after)``: hashes of the words on both sides of the
+    kept chunks in ``ends``, outwards."""
+    low = F.shiftright("kept_place", 32)
+    wanted = ends.select("kept_doc", "kept_place").distinct().groupBy(F.col("kept_doc").alias("doc"), low.alias("key")) \
+        .agg(F.collect_list("kept_place").alias("wanted"))
+    texts = attach(rows.select("doc", "key", "text"), wanted, ["doc", "key"])
+
+    def run(batches):
+        release()
+        for b in batches:
+            got: list[list] = [[], [], [], []]
+            for doc, text, want in zip(b.column(0).to_pylist(), decoded(b.column(1)), b.column(2).to_pylist()):
+                words, starts = chunk_starts(TOKEN.findall(text))
+                short, last = words.astype(np.uint32), np.append(starts[1:], len(words))
+                for place in want:
+                    i = place & 0xFFFFFFFF
+                    if i < len(starts):
+                        a, z = int(starts[i]), int(last[i])
+                        for column, v in zip(got, (doc, place, short[max(0, a - EXTEND):a][::-1].tobytes(), short[z:z + EXTEND].tobytes())):
+                            column.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(g, t) for g, t in zip(got, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+                                             names=["kept_doc", "kept_place", "before", "after"])
+
+    return small_batches(texts.select("doc", "text", "wanted")) \
+        .mapInArrow(run, "kept_doc long, kept_place long, before binary, after binary").dropDuplicates(["kept_doc", "kept_place"])
+
+
+def marks(rows: DataFrame) -> DataFrame:
+    """``(doc, key, ends)``: per document both ends of each of its passages, as the numbers
+    of the passage's first and last chunk and the words beyond that end of its kept copy
+    (``kept``: the number of the last kept chunk when it stands in the same text)."""
+    runs_ = cut(passages(written(chunk_table(rows), "chunks")))
+    side = F.explode(F.array(F.lit(-1), F.lit(1))).alias("side")
+    ends = runs_.select("doc", "a", "z", "kept_doc", "shift", side) \
+        .withColumn("kept_place", F.col("shift") + F.when(F.col("side") < 0, F.col("a")).otherwise(F.col("z")))
+    known = ends.join(around(ends, rows), ["kept_doc", "kept_place"], "left")
+    key = F.shiftright("a", 32)
+
+    def number(place):
+        return place.bitwiseAND(0xFFFFFFFF).cast("int")
+    same = (F.col("kept_doc") == F.col("doc")) & (F.shiftright("kept_place", 32) == key)
+    end = F.struct(number(F.col("a")).alias("a"), number(F.col("z")).alias("z"), "side",
+                   F.when(F.col("side") < 0, F.col("before")).otherwise(F.col("after")).alias("beyond"),
+                   F.when(same, number(F.col("kept_place"))).alias("kept"))
+    return known.groupBy("doc", key.alias("key")).agg(F.collect_list(end).alias("ends"))
+
+
+def held_words(words: np.ndarray, starts: np.ndarray, ends: list[dict], stops: np.ndarray) -> np.ndarray:
+    """Which words stand in passages or in their extensions; ``stops`` are the words that
+    begin a sentence."""
+    n, last = len(words), np.append(starts[1:], len(words))
+    held, short = np.zeros(n, dtype=bool), words.astype(np.uint32)
+    for e in ends:
+        a, b = int(starts[e["a"]]), int(last[e["z"]])
+        held[a:b] = True
+        beyond = np.frombuffer(e["beyond"] or b"", dtype=np.uint32)
+        if e["side"] < 0:
+            floor, x = 0 if e["kept"] is None else int(last[e["kept"]]), a      # the kept words themselves stay
+            for h in beyond:
+                if x <= floor or short[x - 1] != h:
+                    break
+                x -= 1
+            k = int(np.searchsorted(stops, x))
+            if k < len(stops) and x < stops[k] <= a and stops[k] - x < EDGE:
+                x = int(stops[k])
+            held[x:a] = True
+        else:
+            x = b
+            for h in beyond:
+                if x == n or short[x] != h:
+                    break
+                x += 1
+            k = int(np.searchsorted(stops, x)) - 1
+            if x < n and k >= 0 and b <= stops[k] and not (k + 1 < len(stops) and stops[k + 1] == x) and x - stops[k] < EDGE:
+                x = int(stops[k])
+            held[b:x] = True
+    return held
+
+
+def runs(mask: np.ndarray) -> Iterator[tuple[int, int]]:
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
+    return zip(edge[::2].tolist(), edge[1::2].tolist())
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -279,28 +244,27 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_passages(text: str, marked: list[int], min_words: int,
-                    found: list[dict] | None = None) -> tuple[str, list[tuple[int, int]]]:
-    """Text without its marked passages and those around its later anchors ``found``, and
-    the removed spans.  A line that is removed whole takes its line break along."""
-    if not marked and not found:
-        return text, []
-    marked = marked or []
-    parts = units(text)
-    repeated = np.zeros(len(parts), dtype=bool)
-    repeated[marked] = True
-    spans, run, words = [], [], 0
-    for again, (a, b, w) in zip([*repeated, False], [*parts, (len(text), len(text), [b"end"])]):
-        if again:
-            run.append((a, b))
-            words += size(w)
-        elif w:
-            if words >= min_words:
-                spans.append((run[0][0], run[-1][1]))
-            run, words = [], 0
-    spans = merged(spans + whole_spans(text, parts, repeated, min(WHOLE_WORDS, min_words)))
-    if found:
-        spans = merged(spans + inner_spans(text, parts, marked, found, min_words))
+def remove_passages(text: str, ends: list[dict], min_words: int) -> tuple[str, list[tuple[int, int]]]:
+    """Text without its passages (see ``marks``), and the removed spans.  A line that is
+    removed whole takes its line break along."""
+    found = [m.span() for m in TOKEN.finditer(text)]
+    tokens = [text[a:b] for a, b in found]
+    words, starts = chunk_starts(tokens)
+    is_word = np.array([t != "\n" for t in tokens])
+    places = [p for p, w in zip(found, is_word) if w]
+    stops = np.array([0, *(k for k in range(1, len(places)) if STOP.search(text, places[k - 1][1], places[k][0]))], dtype=np.int64)
+    held = held_words(words, starts, ends, stops)
+    sizes = np.array([weight(t) for t in tokens if t != "\n"])
+    line = np.cumsum(~is_word)[is_word]
+    gone = np.zeros(len(words), dtype=bool)
+    for a, b in runs(held):
+        if sizes[a:b].sum() >= min_words:
+            gone[a:b] = True
+    first = np.flatnonzero(np.diff(line, prepend=-1))
+    for a, b in [*zip(first.tolist(), [*first[1:].tolist(), len(words)]), (0, len(words))]:
+        if held[a:b].all() and sizes[a:b].sum() >= min(WHOLE_WORDS, min_words):
+            gone[a:b] = True
+    spans = merged([span(text, places[a][0], places[b - 1][1]) for a, b in runs(gone)])
     out, at = [], 0
     for a, b in spans:
         out.append(text[at:a])
@@ -313,29 +277,42 @@ def remove_passages(text: str, marked: list[int], min_words: int,
     return "".join(out), spans
 
 
+def span(text: str, a: int, b: int) -> tuple[int, int]:
+    """A passage's first and last word with the marks that belong to them, and the space
+    before it unless it begins a line."""
+    while a and text[a - 1] in OPENING:
+        a -= 1
+    space = a
+    while space and text[space - 1] != "\n" and text[space - 1].isspace():
+        space -= 1
+    if space and text[space - 1] != "\n":
+        a = space
+    while b < len(text) and not text[b].isspace() and not text[b].isalnum() and text[b] not in OPENING:
+        b += 1
+    return a, b
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_words: int = MIN_WORDS, keep: list[str] | None = None, inside: bool = False) -> DataFrame:
+                min_words: int = MIN_WORDS, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the repeated passages of ``text_col`` removed, plus ``removed``
-    (array of start and end offsets into the original text).  ``inside``: also those that
-    start or end inside a sentence."""
+    (array of start and end offsets into the original text)."""
     keep = docs.columns if keep is None else keep
     carried = [c for c in keep if c.lower() not in (text_col.lower(), "removed")]
+    text = col(text_col).cast("string")
     rows = docs.select(F.struct(*[col(c) for c in carried]).alias("row") if carried else F.lit(None).alias("row"),
                        F.coalesce(col(id_col).cast("long"), F.lit(LAST_RANK)).alias("doc"),
-                       col(text_col).cast("string").alias("text"))
-    most = min_words if inside else 0
-    marked = later_units(unit_table(rows, most), rows, most)
-    joined = rows.withColumn("tkey", F.xxhash64("text")).join(marked, ["doc", "tkey"], "left")
+                       F.xxhash64(text).bitwiseAND(0x7FFFFFFF).alias("key"), text.alias("text"))
+    joined = rows.join(marks(rows), ["doc", "key"], "left")
 
     def factory():
         release()
 
         def f(cols):
-            got = [(t, []) if not t else remove_passages(t, *x[:1], min_words, *x[1:])
-                   for t, *x in zip(*(c.to_pylist() for c in cols))]
+            got = [(t, []) if not t or not e else remove_passages(t, e, min_words)
+                   for t, e in zip(decoded(cols[0]), cols[1].to_pylist())]
             return [[t for t, _ in got], [[{"start": a, "end": b} for a, b in s] for _, s in got]]
         return f
 
-    out = append_columns(joined, ["text", "marked", *["anchors"] * inside], OUT, factory, ["row"])
+    out = append_columns(joined, ["text", "ends"], OUT, factory, ["row"])
     return out.select(*[F.col("row").getField(c).alias(c) for c in carried],
                       F.col("text").alias(text_col), "removed")

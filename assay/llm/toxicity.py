@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col, held
+from assay.llm._common import append_columns, col, decoded, held
 
 #: Bounds of the labelled sample: distinct texts of each label, characters taken of a text.
 SAMPLE_TEXTS, SAMPLE_CHARS = 2_048, 8_192
@@ -322,8 +322,3 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
         own = Model(*sent.value)
         return lambda arrays: [pa.array(own.scores(decoded(arrays[0])), pa.float64())]
     return append_columns(docs, [text_col], OUT, factory, keep=keep)
-
-
-def decoded(column: pa.Array) -> list[str | None]:
-    """Texts of an Arrow column; invalid UTF-8 reads as U+FFFD."""
-    return [None if b is None else b.decode("utf-8", "replace") for b in column.cast(pa.binary()).to_pylist()]

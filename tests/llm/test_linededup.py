@@ -1,34 +1,129 @@
+import collections
+import itertools
 import random
+import unicodedata
+
+import xxhash
 
 from pyspark.sql import functions as F
 
 from assay.llm import linededup as L
 
 
-def brute(rows, min_words):
-    """Earliest occurrence of every unit by (id, index); later ones marked; runs removed."""
-    docs = {(L.LAST_RANK if i is None else i, t) for i, t in rows if t}
-    first = {}
-    for i, t in docs:
-        for k, (_, _, w) in enumerate(L.units(t)):
-            if w:
-                place = (i, L.text_key(t), k)
-                first[b" ".join(w)] = min(first.get(b" ".join(w), place), place)
-    out = []
-    for i, t in rows:
-        if not t:
-            out.append((i, t, []))
+def key(text):
+    return xxhash.xxh64_intdigest(text, 42) & 0x7FFFFFFF
+
+
+def cut(text):
+    """Chunks of a text as lists of (normalised word, line number), word by word."""
+    chunks, now, line = [], [], 0
+    for t in L.TOKEN.findall(text):
+        if t == "\n":
+            line += 1
+        else:
+            now.append((unicodedata.normalize("NFKC", t).casefold(), line))
+        if now and (t == "\n" or len(now) == L.MOST or L.word_hash(t) % L.RATE == 0):
+            chunks.append(now)
+            now = []
+    return chunks + ([now] if now else [])
+
+
+def sentence_starts(text):
+    """Numbers of the words that begin a sentence or line."""
+    out, n, end = [0], 0, 0
+    for m in L.TOKEN.finditer(text):
+        if m.group() == "\n":
             continue
-        me = (L.LAST_RANK if i is None else i, L.text_key(t))
-        marked = [k for k, (_, _, w) in enumerate(L.units(t)) if w and first[b" ".join(w)] != (*me, k)]
-        out.append((i, *L.remove_passages(t, marked, min_words)))
+        between = text[end:m.start()]
+        if n and ("\n" in between or any(c in L.ENDS or (c in ".!?" and between[k + 1:k + 2].isspace()) for k, c in enumerate(between))):
+            out.append(n)
+        n, end = n + 1, m.end()
     return out
 
 
-def test_units_cover_words_and_offsets():
-    t = "One two. Three v1.5 four!  Five\n\nSix?! *** é Ñandú."
-    assert [t[a:b] for a, b, _ in L.units(t)] == ["One two.", " Three v1.5 four!", "  Five", "Six?!", " *** é Ñandú."]
-    assert L.units(t)[-1][2] == ["é".encode(), "ñandú".encode()]
+def brute(rows, min_words):
+    """Words that stay of every row: earliest occurrence of every chunk by (id, text, place),
+    later ones marked, passages extended along their kept copy, long ones and whole lines
+    or documents removed."""
+    docs = {(L.LAST_RANK if i is None else i, key(t)): cut(t) for i, t in rows if t}
+    first = {}
+    for (i, k), chunks in docs.items():
+        for n, c in enumerate(chunks):
+            words = tuple(w for w, _ in c)
+            first[words] = min(first.get(words, (i, k, n)), (i, k, n))
+    out = []
+    for i, t in rows:
+        me = (L.LAST_RANK if i is None else i, key(t) if t else 0)
+        chunks = docs.get(me, [])
+        flat = [w for c in chunks for w in c]
+        at = [sum(map(len, chunks[:n])) for n in range(len(chunks) + 1)]
+        kept = [first[tuple(w for w, _ in c)] for c in chunks]
+        marked = [n for n in range(len(chunks)) if kept[n] != (*me, n)]
+        held = {p for n in marked for p in range(at[n], at[n + 1])}
+        for n in marked:
+            if n - 1 in marked and n + 1 in marked:
+                continue
+            run = [n]
+            while run[0] - 1 in marked:
+                run.insert(0, run[0] - 1)
+            while run[-1] + 1 in marked:
+                run.append(run[-1] + 1)
+            votes = collections.Counter((kept[j][0], (kept[j][1] << 32) + kept[j][2] - (me[1] << 32) - j) for j in run)
+            where, shift = min(votes, key=lambda v: (-votes[v], v))
+            text_of, number = divmod(shift + (me[1] << 32) + n, 1 << 32)
+            if number >= len(docs.get((where, text_of), [])):
+                continue
+            theirs = [w for c in docs[where, text_of] for w, _ in c]
+            place, theirs_end = (sum(map(len, docs[where, text_of][:number + j])) for j in (0, 1))
+            floor = at[number + 1] if (where, text_of) == me else 0
+            begins = sentence_starts(t)
+            if n - 1 not in marked:
+                m = 0
+                while m < min(L.EXTEND, place, at[n] - floor) and flat[at[n] - m - 1][0] == theirs[place - m - 1]:
+                    m += 1
+                inner = [p for p in begins if at[n] - m < p <= at[n]]
+                if inner and at[n] - m not in begins and inner[0] - (at[n] - m) < L.EDGE:
+                    m = at[n] - inner[0]        # too little of a further sentence
+                held.update(range(at[n] - m, at[n]))
+            if n + 1 not in marked:
+                m, end = 0, at[n + 1]
+                while m < min(L.EXTEND, len(flat) - end, len(theirs) - theirs_end) and flat[end + m][0] == theirs[theirs_end + m]:
+                    m += 1
+                inner = [p for p in begins if end <= p < end + m]
+                if inner and end + m < len(flat) and end + m not in begins and end + m - inner[-1] < L.EDGE:
+                    m = inner[-1] - end
+                held.update(range(end, end + m))
+        gone = set()
+        for g in [list(x) for _, x in itertools.groupby(range(len(flat)), lambda p: p in held)]:
+            if g[0] in held and sum(L.weight(flat[p][0]) for p in g) >= min_words:
+                gone.update(g)
+        lines = [list(x) for _, x in itertools.groupby(range(len(flat)), lambda p: flat[p][1])]
+        for g in [*lines, list(range(len(flat)))]:
+            if held.issuperset(g) and sum(L.weight(flat[p][0]) for p in g) >= min(L.WHOLE_WORDS, min_words):
+                gone.update(g)
+        out.append((i, None if t is None else [w for p, (w, _) in enumerate(flat) if p not in gone]))
+    return sorted(out, key=repr)
+
+
+def staying(result):
+    """The same of an operator's result."""
+    return sorted(((r.doc_id, None if r.text is None else [w for c in cut(r.text) for w, _ in c]) for r in result), key=repr)
+
+
+def test_chunks_end_at_lines_and_telling_words():
+    tokens = L.TOKEN.findall("One two. Three v1.5 four!  Five\n\nSix?! *** \u00e9 \u00d1and\u00fa.")
+    assert [t for t in tokens if t != "\n"] == ["One", "two", "Three", "v1", "5", "four", "Five", "Six", "\u00e9", "\u00d1and\u00fa"]
+    rng = random.Random(1)
+    for n in (0, 1, 5, 200):
+        text = "".join(rng.choice(["la ", f"w{rng.randrange(99)} ", "\n", ". "]) for _ in range(n)) + "same " * n
+        words, starts = L.chunk_starts(L.TOKEN.findall(text))
+        want = cut(text)
+        assert len(words) == sum(map(len, want)) and starts.tolist() == [sum(map(len, want[:k])) for k in range(len(want))]
+        if len(words):
+            by_words = {}
+            for d, chunk in zip(L.chunk_digests(words, starts).tolist(), want):
+                assert by_words.setdefault(tuple(w for w, _ in chunk), d) == d
+            assert len(set(by_words.values())) == len(by_words)
 
 
 def test_passage_inside_and_over_lines_is_removed_once(spark):
@@ -40,9 +135,8 @@ def test_passage_inside_and_over_lines_is_removed_once(spark):
         .withColumn("marked", F.lit("x")).withColumn("doc", F.lit("y"))
     res = L.deduplicate(df)
     assert res.columns == ["doc_id", "marked", "doc", "text", "removed"]
-    got = sorted(((r.doc_id, r.text, [tuple(x) for x in r.removed]) for r in res.collect()), key=repr)
-    assert got == sorted(brute(rows, L.MIN_WORDS), key=repr)
-    by = {g[0]: g for g in got}
+    assert staying(res.collect()) == brute(rows, L.MIN_WORDS)
+    by = {r.doc_id: (r.doc_id, r.text, [tuple(x) for x in r.removed]) for r in res.collect()}
     assert by[1][1] == rows[0][1] and by[2][1] == "Start two. Tail two." and by[3][1] == ""
     assert by[0][1] == rows[3][1] and by[4][1] == rows[4][1]
     start, end = by[2][2][0]
@@ -55,9 +149,27 @@ def test_random_corpus_like_brute_force(spark):
     sentences = [" ".join(f"w{rng.randrange(200)}" for _ in range(rng.randrange(1, 14))) + "." for _ in range(120)]
     rows = [(i, rng.choice([" ", "\n"]).join(rng.choices(sentences, k=rng.randrange(1, 25)))) for i in range(80)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted((r.doc_id, r.text, [tuple(x) for x in r.removed]) for r in L.deduplicate(df, min_words=8).collect())
-    assert got == sorted(brute(rows, 8))
-    assert any(g[2] for g in got)
+    got = L.deduplicate(df, min_words=8).collect()
+    assert staying(got) == brute(rows, 8)
+    assert any(r.removed for r in got)
+
+
+def test_registered_form_on_mixed_passages_like_brute_force(spark):
+    rng = random.Random(12)
+    vocabulary = [f"v{k}" for k in range(900)]
+    passages = [rng.choices(vocabulary, k=n) for n in (18, 30, 40, 55, 70, 90)]
+    rows = []
+    for i in range(120):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            words += [f"o{i}x{rng.randrange(10 ** 6)}" for _ in range(rng.randrange(0, 30))]
+            if rng.random() < 0.6:
+                words += rng.choice(passages)
+        rows.append((i, "".join(w + rng.choice([" ", " ", " ", ". ", "\n", ", "]) for w in words)))
+    df = spark.createDataFrame([*rows, rows[3], (None, rows[4][1])], "doc_id long, text string")
+    got = L.deduplicate(df, keep=["doc_id", "text"])
+    assert got.columns == ["doc_id", "text", "removed"]
+    assert staying(got.collect()) == brute([*rows, rows[3], (None, rows[4][1])], L.MIN_WORDS)
 
 
 def test_repeated_paragraph_without_spaces(spark):
@@ -90,11 +202,11 @@ def test_passages_inside_sentences(spark):
     rows += [(k, f"{own(3)} {w} {own(4)} {w} {own(5)}"), (k + 1, "la " * 300), (k + 2, own(12)), (None, None)]
     rows.append((k + 3, rows[k + 2][1] + " " + own(12)))
     df = spark.createDataFrame([*rows, *rows[:5]], "doc_id long, text string")
-    got = {r.doc_id: r for r in L.deduplicate(df, inside=True).collect()}
+    got = {r.doc_id: r for r in L.deduplicate(df).collect()}
     for i, x in want.items():
         assert got[i].text.split() == x, (i, rows[i][1], got[i].text)
     assert got[k].text.count(w) == 1 and len(got[k].text.split()) == 52
-    assert got[k + 1].text.split().count("la") >= 8 and got[k + 3].text == rows[-1][1] and got[None].text is None
+    assert got[k + 1].text.split().count("la") >= 1 and got[k + 3].text == rows[-1][1] and got[None].text is None
     r = got[1]
     assert "".join(c for j, c in enumerate(rows[1][1]) if not any(a <= j < b for a, b in r.removed)).split() == want[1]
 
@@ -105,3 +217,14 @@ def test_whole_lines_and_documents_under_the_bound(spark):
             (4, "Short one.\nShort two.\nShort three."), (5, "Short one.\nShort two.\nShort three."), (6, "Short one.\nNew.")]
     got = {r.doc_id: r.text for r in L.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {**dict(rows), 2: "Own two.\nOwn last.", 5: ""}
+
+
+def test_clashing_columns_bad_bytes_and_extra_rows(spark):
+    words = " ".join(f"b{k}" for k in range(60))
+    df = spark.createDataFrame([(1, f"a {words} z"), (2, f"c {words} d")], "doc_id long, text string") \
+        .withColumn("key", F.lit("k")).withColumn("ends", F.lit("e")).withColumn("h", F.lit(3))
+    broken = df.unionByName(df.limit(1).withColumn("doc_id", F.lit(9).cast("long"))
+                            .withColumn("text", F.expr("cast(concat(X'61FF6220', encode(text, 'UTF-8')) as string)")))
+    got = {r.doc_id: r for r in L.deduplicate(broken).collect()}
+    assert got[1].text == f"a {words} z" and got[2].text == "c d" and got[2].key == "k" and got[2].ends == "e" and got[2].h == 3
+    assert got[9].text.startswith("a") and "b30" not in got[9].text

@@ -3,6 +3,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from assay.llm import langid, linededup, simhash
+from pyspark.sql import Row
+from test_linededup import brute as brute_passages
+from test_linededup import staying
 from tests_llm_support import brute_components
 
 
@@ -26,15 +29,12 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     kept = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
     comp = brute_components([r[0] for r in kept], [simhash.fingerprint(r[1], 3) for r in kept], 2)
     kept = [r for i, (r, c) in enumerate(zip(kept, comp)) if r[0] == c and r[0] not in [x[0] for x in kept[:i]]]
-    first, want = {}, {}
-    for r in sorted(kept):
-        for k, (_, _, w) in enumerate(linededup.units(r[1])):
-            first.setdefault(b" ".join(w), (r[0], k))
-    for r in kept:
-        marked = [k for k, (_, _, w) in enumerate(linededup.units(r[1])) if w and first[b" ".join(w)] != (r[0], k)]
-        text = linededup.remove_passages(r[1], marked, linededup.MIN_WORDS)[0]
-        if text.strip():
-            want[r[0]] = text
+    # the words that stay, by the brute-force version of substring dedup
+    stay = brute_passages([r[:2] for r in kept], linededup.MIN_WORDS)
+    texts = {r.doc_id: r.text for r in linededup.deduplicate(spark.createDataFrame([r[:2] for r in kept], "doc_id long, text string")).collect()}
+    assert staying([Row(doc_id=i, text=t) for i, t in texts.items()]) == stay
+    want = {i: t for i, t in texts.items() if t.strip()}
+    assert all("shared30" not in t for i, t in want.items() if i != 105) and "shared0 " in want[105]
     assert 100 not in want and 101 not in want and want[108] == "Nothing else here at all."
     from tokenizers import Tokenizer
     from assay.llm._common import tokenizer_path
