@@ -13,7 +13,13 @@ over the whole table:
   block's ordered template tokens, at most ``1 + min(n - i, m - j) - 1`` tokens are shared;
 * what remains is verified by intersecting the sets.
 
-Every block is tested against every template this way, and the result is exact.  The
+Every block is tested against every template this way, and the result (``matches``) is exact.
+A label needs more than shared tokens: a match becomes a notice when, within twice the
+template's length, at least ``threshold`` of its words stand in the template's order and
+its names are among them.  Names come from the template itself: the words written with a
+capital after its first word, and those with a digit (MIT, Apache, Lesser, NC, 4).  Of
+notices of several labels over the same words, one whose names are all among another's
+gives way (CC BY to CC BY-NC).  The
 templates are a bounded table (``MAX_TEMPLATES``) that travels with the task, so documents
 are never shuffled; the counts are one partial aggregate per token of the templates.
 
@@ -21,13 +27,14 @@ Words are runs of ASCII letters and digits and of all other non-ASCII characters
 lower-cased.  Base phrases are found by their words in a row, wherever they stand.
 
 Edge cases: null text is empty text (no words, empty labels, score 0); a template without
-tokens matches nothing; equal templates and labels count once.
+tokens matches nothing; equal templates and labels count once; invalid bytes read as U+FFFD.
 """
 
 from __future__ import annotations
 
 import bisect
 import math
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -35,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col, held, small_batches
+from assay.llm._common import append_columns, col, decoded, held, small_batches
 
 THRESHOLD = 0.8
 MAX_TEMPLATES = 10_000
@@ -80,13 +87,46 @@ OUT = T.StructType([
     T.StructField("score", T.DoubleType()),
     T.StructField("matches", T.ArrayType(T.StructType([
         T.StructField("label", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
-        T.StructField("containment", T.DoubleType())])))])
+        T.StructField("containment", T.DoubleType())]))),
+    T.StructField("notices", T.ArrayType(T.StructType([
+        T.StructField("label", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+        T.StructField("in_order", T.DoubleType())])))])
 
 
 def words(text: str) -> list[bytes]:
     return text.encode().translate(KEEP).split()
 
 
+NAME = re.compile(r"[A-Z0-9]")
+
+
+def names(text: str) -> frozenset[bytes]:
+    """Words of a template that name its license: with a capital after the first word, or
+    with a digit."""
+    written = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)
+    return frozenset(words(w)[0] for k, w in enumerate(written) if any(c.isdigit() for c in w) or (k and NAME.search(w)))
+
+
+def in_order(template: list[bytes], text: list[bytes]) -> list[tuple[int, int]]:
+    """(template word, text word) pairs of a longest common subsequence."""
+    n, m = len(template), len(text)
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        row, below = best[i], best[i + 1]
+        for j in range(m - 1, -1, -1):
+            row[j] = below[j + 1] + 1 if template[i] == text[j] else max(below[j], row[j + 1])
+    out, i, j = [], 0, 0
+    while i < n and j < m:
+        if template[i] == text[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def longest(templates: list[tuple[str, str]]) -> int:
     """Words of the longest template, 1 at least."""
     return max((len(words(text)) for _, text in templates), default=0) or 1
@@ -128,8 +168,11 @@ class Templates:
     def __init__(self, templates: list[tuple[str, str]], frequency: dict[bytes, int], threshold: float):
         if len(templates) > MAX_TEMPLATES:
             raise ValueError(f"at most {MAX_TEMPLATES} templates")
-        sets = {(label, frozenset(words(text))) for label, text in templates}
+        sets: dict = {}
+        for label, text in sorted(templates):
+            sets.setdefault((label, frozenset(words(text))), []).append((words(text), names(text)))
         vocabulary = {t for _, s in sets for t in s}
+        self.threshold, self.wordings = threshold, []
         self.rank = {t: i for i, t in enumerate(sorted(vocabulary, key=lambda t: (frequency.get(t, 0), t)))}
         self.items, self.index = [], {}
         for label, tokens in sorted(sets, key=lambda x: (x[0], sorted(x[1]))):
@@ -140,10 +183,28 @@ class Templates:
             for place, r in enumerate(order[:len(order) - need + 1]):
                 self.index.setdefault(r, []).append((len(self.items), place))
             self.items.append((label, order, frozenset(order), need))
+            self.wordings.append([(w, n, {t for t in tokens if self.rank[t] in order[:len(order) - need + 1]})
+                                  for w, n in sets[label, tokens]])
         self.prefix = {t for t, r in self.rank.items() if r in self.index}
 
-    def matches(self, block: set[bytes]) -> list[tuple[str, float]]:
-        """(label, containment) of every template the block holds enough of."""
+    def notices(self, text: list[bytes], blocks_: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
+        """(label, first word, word after the last, share of words in order) of the notices
+        in the blocks (template, first word, word after the last) of a text."""
+        found = {}
+        for item, a, b in blocks_:
+            for w, named, rare in self.wordings[item]:
+                for at in [k for k in range(a, b) if text[k] in rare]:
+                    low = max(a, at - len(w))
+                    pairs = in_order(w, text[low:min(b, at + len(w))])
+                    if pairs and len(pairs) >= math.ceil(self.threshold * len(w) - 1e-9) and named <= {w[i] for i, _ in pairs}:
+                        place = (self.items[item][0], low + pairs[0][1], low + pairs[-1][1] + 1)
+                        found[place] = max(found.get(place, (0.0,)), (len(pairs) / len(w), sorted(named)))
+        return sorted((label, a, b, share) for (label, a, b), (share, named) in found.items()
+                      if not any(label != other and a < y and x < b and set(named) < set(more)
+                                 for (other, x, y), (_, more) in found.items()))
+
+    def matches(self, block: set[bytes]) -> list[tuple[int, str, float]]:
+        """(template, label, containment) of every template the block holds enough of."""
         if self.prefix.isdisjoint(block):
             return []
         mine = sorted(self.rank[t] for t in block.intersection(self.rank))
@@ -159,7 +220,7 @@ class Templates:
                     continue
                 shared = len(tokens & have)
                 if shared >= need:
-                    out.append((label, shared / len(order)))
+                    out.append((item, label, shared / len(order)))
         return out
 
 
@@ -195,7 +256,7 @@ def token_frequency(docs: DataFrame, templates: list[tuple[str, str]], text_col:
     def run(batches):
         seen: Counter = Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t in decoded(b.column(0)):
                 if t:
                     for _, _, block in blocks(t, most):
                         seen.update(block & vocabulary)
@@ -210,8 +271,9 @@ def token_frequency(docs: DataFrame, templates: list[tuple[str, str]], text_col:
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrases: dict[str, str] | None = None,
          threshold: float = THRESHOLD, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with word count, base places and labels, all labels, ``score`` (the largest
-    containment of a matched template, 1 for a base phrase, else 0), and ``matches``: every
-    (template label, block) that reaches the threshold, the block as word offsets."""
+    share of a template's words a notice has in order, 1 for a base phrase, else 0),
+    ``matches``: every (template label, block) that reaches the threshold, the block as word
+    offsets, and ``notices``: those that stand as the module tells."""
     templates = TEMPLATES if templates is None else templates
     phrases = BASE if phrases is None else phrases
     frequency, most = token_frequency(docs, templates, text_col), longest(templates)
@@ -225,13 +287,15 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrase
             found = base.places(w)
             labels = {label for _, label in found}
             at = [p for p, _ in found]
-            matched = [] if not w or index.prefix.isdisjoint(w) else \
-                [{"label": label, "start": a, "end": b, "containment": s}
-                 for a, b, block in blocks(text, most) for label, s in index.matches(block)]
-            score = max([1.0 if found else 0.0, *(m["containment"] for m in matched)])
+            hits = [] if not w or index.prefix.isdisjoint(w) else \
+                [(item, label, a, b, s) for a, b, block in blocks(text, most) for item, label, s in index.matches(block)]
+            notices = index.notices(w, [(item, a, b) for item, _, a, b, _ in hits])
+            score = max([1.0 if found else 0.0, *(s for *_, s in notices)])
             return (len(w), len(found), min(at, default=None), max(at, default=None), ",".join(sorted(labels)),
-                    ",".join(sorted(labels | {m["label"] for m in matched})), score, matched)
+                    ",".join(sorted(labels | {n[0] for n in notices})), score,
+                    [{"label": label, "start": a, "end": b, "containment": s} for _, label, a, b, s in hits],
+                    [dict(zip(("label", "start", "end", "in_order"), n)) for n in notices])
 
-        return lambda cols: [list(c) for c in zip(*[one(t) for t in cols[0].to_pylist()])]
+        return lambda cols: [list(c) for c in zip(*[one(t) for t in decoded(cols[0])])]
 
     return append_columns(docs, [text_col], OUT, factory, keep)
