@@ -1,14 +1,15 @@
 """Repeated-passage removal by hashing chunks of lines.
 
-A line is cut into chunks by its content: after every word whose hash is a multiple of
-``RATE``, after ``MOST`` words without one, and at the line's end.  Two copies of a passage
-thus have the same chunks from its first such word on, wherever it starts or ends.  Words are normalised
-(NFKC, case-folded, punctuation dropped); a chunk is known by a 64-bit hash of its words.
+A line is cut into chunks by its content: after a word whose hash is a multiple of ``RATE``
+if the chunk has ``LEAST`` words, after ``MOST`` words without one, and at the line's end.
+Two copies of a passage thus soon have the same chunks, wherever it starts or ends.  Words
+are normalised character by character (NFKC, case-folded, punctuation dropped); a chunk is known by a 64-bit hash of its words.
 Chunks are grouped over the whole table; the occurrence with the smallest (doc_id, place)
 stays and every later one is marked.  Marked chunks that stand next to each other form a
 passage, which is extended word by word to both sides as far as the words around its kept
 copy (where most of its chunks are kept) agree; one or two words of a further sentence that
-happen to agree stay.  Passages of ``min_words`` words or more are removed, shorter ones (a common
+happen to agree stay, and so does what has fewer than ``WHOLE_WORDS`` words in such chunks.
+Passages of ``min_words`` words or more are removed, shorter ones (a common
 greeting) stay inside a line.  A whole line or document that is marked goes from
 ``WHOLE_WORDS`` words on.  Scripts that put no space between words count four letters as a
 word.  The removed spans are returned as offsets into the original text.
@@ -21,18 +22,18 @@ copy are taken only for the ends of passages, from the texts that hold those cop
 
 Edge cases: null text gives null text and no spans; rows that repeat both doc_id and text
 are one document stored twice and get the same result; a null doc_id ranks after all
-others; text without a word is never marked and does not end a passage; a passage with
-fewer than two words where a chunk can end stays (7 in 1,000 of 25 words, 1 in 100,000 of
-50 words); invalid bytes read as U+FFFD.
+others; text without a word is never marked and does not end a passage; a passage without a
+whole chunk of its own stays (about one in 6 of 25 words, one in 100 of 50 words and fewer of
+longer ones); invalid bytes read as U+FFFD.
 """
 
 from __future__ import annotations
 
-import functools
 import re
 import string
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm._common import append_columns, col, cut, decoded, release, small_batches, written
+from assay.llm._common import append_columns, col, cut, decoded, held, small_batches, written
 from assay.operators._small import attach
 
 MIN_WORDS = 25
@@ -50,12 +51,9 @@ ENDS = "\u3002\uff01\uff1f\uff61\uff0e\u0964\u0965\u061f\u06d4\u104b\u17d4\u1362
 #: Letters of scripts without spaces between words: Han, Kana, Thai, Lao, Tibetan, Myanmar, Khmer.
 UNSPACED = "\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d" \
     "\u0e01-\u0e4e\u0e81-\u0ecd\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3\U00020000-\U0003ffff"
-LETTER = re.compile(f"[{UNSPACED}]")
 WORD_LETTERS = 4
-WORD = re.compile(rf"[{UNSPACED}]|[^\s{re.escape(string.punctuation)}{ENDS}{UNSPACED}]++")
-TOKEN = re.compile(rf"\n|{WORD.pattern}")
 OPENING = "([{\"'\u2018\u201c\u00ab\u00bf\u00a1\u300c\u300e\u3008\u300a\uff08"     # belongs to the word after it
-RATE, MOST = 4, 48          # one word in so many ends a chunk; longest chunk
+RATE, LEAST, MOST = 6, 3, 48        # one word in so many can end a chunk; words of a chunk
 EXTEND = 48                 # words compared beyond an end of a passage
 EDGE = 3                    # words of a further sentence that an extension has to share
 STOP = re.compile(rf"\n|[.!?]\s|[{ENDS}]")
@@ -65,32 +63,85 @@ SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.Stru
 OUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", SPAN)])
 
 
-@functools.lru_cache(maxsize=1 << 16)
-def word_hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.lower() if word.isascii() else unicodedata.normalize("NFKC", word).casefold())
-
-
-def word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words))
-
-
-LINE = np.uint64(word_hash("\n"))
-
-
-def chunk_starts(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words among ``tokens`` (words and line breaks), and the first word of
-    every chunk."""
-    hashes = word_hashes(tokens)
-    line = hashes == LINE
-    ends = line | (hashes % np.uint64(RATE) == 0)
-    words = hashes[~line]
-    # a word starts a chunk when anything that ends one stands between it and the word before
-    before = np.cumsum(ends) - ends
-    starts = np.flatnonzero(np.diff(before[~line], prepend=-1))
-    if len(words) and np.diff(np.append(starts, len(words))).max() > MOST:
-        long = [np.arange(a, b, MOST) for a, b in zip(starts, np.append(starts[1:], len(words)))]
-        starts = np.concatenate(long)
-    return words, starts
+SLICE = 1 << 20             # characters read at once; a longer word is cut there
+_BASE, _MIX = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
+
+
+def character_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point: 0 between words, 1 in a word, 2 a word of its own; and what it
+    is normalised to (a number that stands for several characters, if it must)."""
+    kind, fold = np.ones(0x110000, dtype=np.uint8), np.arange(0x110000, dtype=np.uint32)
+    unspaced = re.compile(f"[{UNSPACED}]")
+    for cp in range(0x30000):
+        c = chr(cp)
+        if c.isspace() or c in string.punctuation or c in ENDS:
+            kind[cp] = 0
+        elif cp >= 0xE00 and unspaced.match(c):
+            kind[cp] = 2
+        n = unicodedata.normalize("NFKC", c).casefold() if cp >= 128 else c.lower()
+        if n != c:
+            fold[cp] = ord(n) if len(n) == 1 else 0x110000 + (xxhash.xxh32_intdigest(n) >> 1)
+    return kind, fold
+
+
+@dataclass
+class Words:
+    """Of every word of a text: a hash, first character, character after the last, and the
+    line it stands in; ``letters`` tells letters of unspaced scripts."""
+    hashes: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    line: np.ndarray
+    letters: np.ndarray
+
+    def chunks(self) -> np.ndarray:
+        """First word of every chunk."""
+        n = len(self.hashes)
+        if not n:
+            return np.zeros(0, dtype=np.int64)
+        forced = self.line[1:] != self.line[:-1]
+        after = np.flatnonzero(forced | (self.hashes[:-1] % np.uint64(RATE) == 0))
+        starts, last = [0], 0
+        for p, must in zip((after + 1).tolist(), forced[after].tolist()):
+            if must or p - last >= LEAST:
+                starts.append(p)
+                last = p
+        starts = np.array(starts)
+        if np.diff(np.append(starts, n)).max() > MOST:
+            starts = np.concatenate([np.arange(a, b, MOST) for a, b in zip(starts, np.append(starts[1:], n))])
+        return starts
+
+    def weights(self) -> np.ndarray:
+        """1 for a word, a quarter for a letter of an unspaced script."""
+        return np.where(self.letters, 1 / WORD_LETTERS, 1.0)
+
+
+def read(text: str) -> Words:
+    kind_of, fold = held("dedup-tables", character_tables)
+    parts, at, lines = [], 0, 0
+    while True:
+        cp = np.frombuffer(text[at:at + SLICE].encode("utf-32-le", "replace"), dtype=np.uint32)
+        kind = kind_of[cp]
+        if at + SLICE < len(text):
+            gaps = np.flatnonzero(kind == 0)
+            if len(gaps):
+                cp, kind = cp[:gaps[-1] + 1], kind[:gaps[-1] + 1]
+        inside, own = kind > 0, kind == 2
+        before = np.concatenate([[False], inside[:-1]])
+        first = inside & (~before | own | np.concatenate([[False], own[:-1]]))
+        begin, spots = np.flatnonzero(first), np.flatnonzero(inside)
+        number = np.cumsum(first)[spots] - 1
+        size = np.bincount(number, minlength=len(begin))
+        power = np.concatenate([np.ones(1, dtype=np.uint64), np.cumprod(np.full(int(size.max(initial=1)), _BASE, dtype=np.uint64))])
+        terms = (fold[cp[spots]].astype(np.uint64) + np.uint64(1)) * power[spots - begin[number]]
+        h = np.add.reduceat(terms, np.cumsum(size) - size) if len(begin) else np.zeros(0, dtype=np.uint64)
+        h = (h ^ (h >> np.uint64(31))) * _MIX
+        breaks = np.cumsum(cp == 10)
+        parts.append((h ^ (h >> np.uint64(29)), begin + at, begin + size + at, breaks[begin] + lines, own[begin]))
+        at += len(cp)
+        lines += int(breaks[-1]) if len(breaks) else 0
+        if at >= len(text):
+            return Words(*(np.concatenate(c) for c in zip(*parts)))
 
 
 def chunk_digests(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -102,26 +153,24 @@ def chunk_digests(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))).view(np.int64)
 
 
-def weight(word: str) -> float:
-    """A word, or a quarter for a letter of an unspaced script."""
-    return 1 / WORD_LETTERS if LETTER.match(word) else 1.0
-
-
 def chunk_table(docs: DataFrame) -> DataFrame:
     """``(h, doc, place)``: one row per chunk of ``docs(doc, key, text)``; ``place`` holds
-    the text's key (which tells apart texts of one id) and the chunk's number, so that (doc, place) ranks the occurrences."""
+    the text's key (which tells apart texts of one id), the chunk's first word and its words (6
+    bits), so that (doc, place) ranks the occurrences."""
     names = ["h", "doc", "place"]
 
     def run(batches):
-        release()
         for b in batches:
             got: list[list] = [[], [], []]
             for doc, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), decoded(b.column(2))):
-                words, starts = chunk_starts(TOKEN.findall(text)) if text else ((), ())
-                if not len(words):
+                if not text:
+                    continue
+                words = read(text)
+                starts = words.chunks()
+                if not len(starts):
                     continue
-                h = chunk_digests(words, starts)
-                for column, v in zip(got, (h, np.full(len(h), doc), np.arange(len(h)) + (key << 32))):
+                h, n = chunk_digests(words.hashes, starts), np.diff(np.append(starts, len(words.hashes)))
+                for column, v in zip(got, (h, np.full(len(h), doc), (starts << 6) + n + (key << 32))):
                     column.append(v)
             if got[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(g), pa.int64()) for g in got], names=names)
@@ -143,9 +192,13 @@ def passages(found: DataFrame) -> DataFrame:
         .select("doc", "place", F.struct(F.col("first.doc").alias("doc"), (F.col("first.place") - F.col("place")).alias("shift"))
                 .alias("kept")).distinct()
     order = Window.partitionBy("doc", F.shiftright("place", 32)).orderBy("place")
-    return later.withColumn("run", F.col("place") - F.row_number().over(order)) \
+    begin = F.shiftright("place", 6)
+    end = begin + F.col("place").bitwiseAND(63)
+    apart = F.coalesce(F.lag(end).over(order) != begin, F.lit(True)).cast("int")
+    return later.withColumn("apart", apart).withColumn("run", F.sum("apart").over(order)) \
         .groupBy("doc", F.shiftright("place", 32).alias("key"), "run") \
-        .agg(F.min("place").alias("a"), F.max("place").alias("z"), F.mode("kept", True).alias("kept")) \
+        .agg(F.min("place").alias("a"), F.max("place").alias("z"), F.mode("kept", True).alias("kept"),
+             F.sum(F.col("place").bitwiseAND(63)).alias("words")).where(F.col("words") >= WHOLE_WORDS) \
         .select("doc", "a", "z", F.col("kept.doc").alias("kept_doc"), F.col("kept.shift").alias("shift"))
 
 
@@ -158,16 +211,14 @@ def around(ends: DataFrame, rows: DataFrame) -> DataFrame:
     texts = attach(rows.select("doc", "key", "text"), wanted, ["doc", "key"])
 
     def run(batches):
-        release()
         for b in batches:
             got: list[list] = [[], [], [], []]
             for doc, text, want in zip(b.column(0).to_pylist(), decoded(b.column(1)), b.column(2).to_pylist()):
-                words, starts = chunk_starts(TOKEN.findall(text))
-                short, last = words.astype(np.uint32), np.append(starts[1:], len(words))
+                short = read(text).hashes.astype(np.uint32)
                 for place in want:
-                    i = place & 0xFFFFFFFF
-                    if i < len(starts):
-                        a, z = int(starts[i]), int(last[i])
+                    a = (place & 0xFFFFFFFF) >> 6
+                    z = a + (place & 63)
+                    if z <= len(short):
                         for column, v in zip(got, (doc, place, short[max(0, a - EXTEND):a][::-1].tobytes(), short[z:z + EXTEND].tobytes())):
                             column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(g, t) for g, t in zip(got, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
@@ -178,9 +229,9 @@ def around(ends: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def marks(rows: DataFrame) -> DataFrame:
-    """``(doc, key, ends)``: per document both ends of each of its passages, as the numbers
-    of the passage's first and last chunk and the words beyond that end of its kept copy
-    (``kept``: the number of the last kept chunk when it stands in the same text)."""
+    """``(doc, key, ends)``: per document both ends of each of its passages: the passage's
+    first word, the word after its last, and the words beyond this end of its kept copy
+    (``kept``: the word after the kept chunk's last when it stands in the same text)."""
     runs_ = cut(passages(written(chunk_table(rows), "chunks")))
     side = F.explode(F.array(F.lit(-1), F.lit(1))).alias("side")
     ends = runs_.select("doc", "a", "z", "kept_doc", "shift", side) \
@@ -188,26 +239,29 @@ def marks(rows: DataFrame) -> DataFrame:
     known = ends.join(around(ends, rows), ["kept_doc", "kept_place"], "left")
     key = F.shiftright("a", 32)
 
-    def number(place):
-        return place.bitwiseAND(0xFFFFFFFF).cast("int")
+    def first(place):
+        return F.shiftright(place.bitwiseAND(0xFFFFFFFF), 6).cast("int")
+
+    def after(place):
+        return first(place) + place.bitwiseAND(63).cast("int")
     same = (F.col("kept_doc") == F.col("doc")) & (F.shiftright("kept_place", 32) == key)
-    end = F.struct(number(F.col("a")).alias("a"), number(F.col("z")).alias("z"), "side",
+    end = F.struct(first(F.col("a")).alias("a"), after(F.col("z")).alias("z"), "side",
                    F.when(F.col("side") < 0, F.col("before")).otherwise(F.col("after")).alias("beyond"),
-                   F.when(same, number(F.col("kept_place"))).alias("kept"))
+                   F.when(same, after(F.col("kept_place"))).alias("kept"))
     return known.groupBy("doc", key.alias("key")).agg(F.collect_list(end).alias("ends"))
 
 
-def held_words(words: np.ndarray, starts: np.ndarray, ends: list[dict], stops: np.ndarray) -> np.ndarray:
+def held_words(words: np.ndarray, ends: list[dict], stops: np.ndarray) -> np.ndarray:
     """Which words stand in passages or in their extensions; ``stops`` are the words that
     begin a sentence."""
-    n, last = len(words), np.append(starts[1:], len(words))
+    n = len(words)
     held, short = np.zeros(n, dtype=bool), words.astype(np.uint32)
     for e in ends:
-        a, b = int(starts[e["a"]]), int(last[e["z"]])
+        a, b = e["a"], e["z"]
         held[a:b] = True
         beyond = np.frombuffer(e["beyond"] or b"", dtype=np.uint32)
         if e["side"] < 0:
-            floor, x = 0 if e["kept"] is None else int(last[e["kept"]]), a      # the kept words themselves stay
+            floor, x = e["kept"] or 0, a      # the kept words themselves stay
             for h in beyond:
                 if x <= floor or short[x - 1] != h:
                     break
@@ -247,15 +301,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def remove_passages(text: str, ends: list[dict], min_words: int) -> tuple[str, list[tuple[int, int]]]:
     """Text without its passages (see ``marks``), and the removed spans.  A line that is
     removed whole takes its line break along."""
-    found = [m.span() for m in TOKEN.finditer(text)]
-    tokens = [text[a:b] for a, b in found]
-    words, starts = chunk_starts(tokens)
-    is_word = np.array([t != "\n" for t in tokens])
-    places = [p for p, w in zip(found, is_word) if w]
+    read_ = read(text)
+    words, line, sizes = read_.hashes, read_.line, read_.weights()
+    places = list(zip(read_.begin.tolist(), read_.end.tolist()))
     stops = np.array([0, *(k for k in range(1, len(places)) if STOP.search(text, places[k - 1][1], places[k][0]))], dtype=np.int64)
-    held = held_words(words, starts, ends, stops)
-    sizes = np.array([weight(t) for t in tokens if t != "\n"])
-    line = np.cumsum(~is_word)[is_word]
+    held = held_words(words, ends, stops)
     gone = np.zeros(len(words), dtype=bool)
     for a, b in runs(held):
         if sizes[a:b].sum() >= min_words:
@@ -305,8 +355,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = rows.join(marks(rows), ["doc", "key"], "left")
 
     def factory():
-        release()
-
         def f(cols):
             got = [(t, []) if not t or not e else remove_passages(t, e, min_words)
                    for t, e in zip(decoded(cols[0]), cols[1].to_pylist())]

@@ -1,6 +1,8 @@
 import collections
 import itertools
 import random
+import re
+import string
 import unicodedata
 
 import xxhash
@@ -14,15 +16,27 @@ def key(text):
     return xxhash.xxh64_intdigest(text, 42) & 0x7FFFFFFF
 
 
+WORD = re.compile(rf"[{L.UNSPACED}]|[^\s{re.escape(string.punctuation)}{L.ENDS}{L.UNSPACED}]++")
+TOKEN = re.compile(rf"\n|{WORD.pattern}")
+
+
+def can_end(word):
+    return L.read(word).hashes[0] % L.RATE == 0
+
+
+def weight(word):
+    return 1 / L.WORD_LETTERS if re.match(f"[{L.UNSPACED}]", word) else 1
+
+
 def cut(text):
     """Chunks of a text as lists of (normalised word, line number), word by word."""
     chunks, now, line = [], [], 0
-    for t in L.TOKEN.findall(text):
+    for t in TOKEN.findall(text):
         if t == "\n":
             line += 1
         else:
             now.append((unicodedata.normalize("NFKC", t).casefold(), line))
-        if now and (t == "\n" or len(now) == L.MOST or L.word_hash(t) % L.RATE == 0):
+        if now and (t == "\n" or len(now) == L.MOST or (len(now) >= L.LEAST and can_end(t))):
             chunks.append(now)
             now = []
     return chunks + ([now] if now else [])
@@ -31,7 +45,7 @@ def cut(text):
 def sentence_starts(text):
     """Numbers of the words that begin a sentence or line."""
     out, n, end = [0], 0, 0
-    for m in L.TOKEN.finditer(text):
+    for m in TOKEN.finditer(text):
         if m.group() == "\n":
             continue
         between = text[end:m.start()]
@@ -58,9 +72,11 @@ def brute(rows, min_words):
         flat = [w for c in chunks for w in c]
         at = [sum(map(len, chunks[:n])) for n in range(len(chunks) + 1)]
         kept = [first[tuple(w for w, _ in c)] for c in chunks]
-        marked = [n for n in range(len(chunks)) if kept[n] != (*me, n)]
+        again = [n for n in range(len(chunks)) if kept[n] != (*me, n)]
+        rows_of = [[n for _, n in g] for _, g in itertools.groupby(enumerate(again), lambda x: x[1] - x[0])]
+        marked = {n for g in rows_of if sum(len(chunks[n]) for n in g) >= L.WHOLE_WORDS for n in g}
         held = {p for n in marked for p in range(at[n], at[n + 1])}
-        for n in marked:
+        for n in list(marked):
             if n - 1 in marked and n + 1 in marked:
                 continue
             run = [n]
@@ -68,14 +84,15 @@ def brute(rows, min_words):
                 run.insert(0, run[0] - 1)
             while run[-1] + 1 in marked:
                 run.append(run[-1] + 1)
-            votes = collections.Counter((kept[j][0], (kept[j][1] << 32) + kept[j][2] - (me[1] << 32) - j) for j in run)
+            word = {d: [0, *itertools.accumulate(map(len, docs[d]))] for d in {kept[j][:2] for j in run}}
+            votes = collections.Counter((kept[j][0], (kept[j][1] << 26) + word[kept[j][:2]][kept[j][2]] - (me[1] << 26) - at[j]) for j in run)
             where, shift = min(votes, key=lambda v: (-votes[v], v))
-            text_of, number = divmod(shift + (me[1] << 32) + n, 1 << 32)
-            if number >= len(docs.get((where, text_of), [])):
+            text_of, place = divmod(shift + (me[1] << 26) + at[n], 1 << 26)
+            theirs = [w for c in docs.get((where, text_of), []) for w, _ in c]
+            theirs_end = place + len(chunks[n])
+            if theirs_end > len(theirs):
                 continue
-            theirs = [w for c in docs[where, text_of] for w, _ in c]
-            place, theirs_end = (sum(map(len, docs[where, text_of][:number + j])) for j in (0, 1))
-            floor = at[number + 1] if (where, text_of) == me else 0
+            floor = theirs_end if (where, text_of) == me else 0
             begins = sentence_starts(t)
             if n - 1 not in marked:
                 m = 0
@@ -95,11 +112,11 @@ def brute(rows, min_words):
                 held.update(range(end, end + m))
         gone = set()
         for g in [list(x) for _, x in itertools.groupby(range(len(flat)), lambda p: p in held)]:
-            if g[0] in held and sum(L.weight(flat[p][0]) for p in g) >= min_words:
+            if g[0] in held and sum(weight(flat[p][0]) for p in g) >= min_words:
                 gone.update(g)
         lines = [list(x) for _, x in itertools.groupby(range(len(flat)), lambda p: flat[p][1])]
         for g in [*lines, list(range(len(flat)))]:
-            if held.issuperset(g) and sum(L.weight(flat[p][0]) for p in g) >= min(L.WHOLE_WORDS, min_words):
+            if held.issuperset(g) and sum(weight(flat[p][0]) for p in g) >= min(L.WHOLE_WORDS, min_words):
                 gone.update(g)
         out.append((i, None if t is None else [w for p, (w, _) in enumerate(flat) if p not in gone]))
     return sorted(out, key=repr)
@@ -110,20 +127,21 @@ def staying(result):
     return sorted(((r.doc_id, None if r.text is None else [w for c in cut(r.text) for w, _ in c]) for r in result), key=repr)
 
 
-def test_chunks_end_at_lines_and_telling_words():
-    tokens = L.TOKEN.findall("One two. Three v1.5 four!  Five\n\nSix?! *** \u00e9 \u00d1and\u00fa.")
-    assert [t for t in tokens if t != "\n"] == ["One", "two", "Three", "v1", "5", "four", "Five", "Six", "\u00e9", "\u00d1and\u00fa"]
+def test_words_and_chunks(monkeypatch):
     rng = random.Random(1)
-    for n in (0, 1, 5, 200):
-        text = "".join(rng.choice(["la ", f"w{rng.randrange(99)} ", "\n", ". "]) for _ in range(n)) + "same " * n
-        words, starts = L.chunk_starts(L.TOKEN.findall(text))
-        want = cut(text)
-        assert len(words) == sum(map(len, want)) and starts.tolist() == [sum(map(len, want[:k])) for k in range(len(want))]
-        if len(words):
+    for k, n in enumerate((0, 1, 5, 200, 300)):
+        monkeypatch.setattr(L, "SLICE", 1 << 20 if k < 4 else 90)
+        text = "".join(rng.choice(["la ", f"w{rng.randrange(99)} ", "\n", ". ", "\u00e9\u00d1x-v1.5 ", "\u4e00\u4e8c", "\ufb01n "]) for _ in range(n)) + "same " * n
+        words, want = L.read(text), cut(text)
+        assert [text[a:b] for a, b in zip(words.begin, words.end)] == [m for m in TOKEN.findall(text) if m != "\n"]
+        starts = words.chunks()
+        assert starts.tolist() == [sum(map(len, want[:j])) for j in range(len(want))]
+        if n:
             by_words = {}
-            for d, chunk in zip(L.chunk_digests(words, starts).tolist(), want):
+            for d, chunk in zip(L.chunk_digests(words.hashes, starts).tolist(), want):
                 assert by_words.setdefault(tuple(w for w, _ in chunk), d) == d
             assert len(set(by_words.values())) == len(by_words)
+    assert (L.read("STRASSE \uff21b").hashes == L.read("strasse Ab").hashes).all()
 
 
 def test_passage_inside_and_over_lines_is_removed_once(spark):
