@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from assay.functions import scalar as S
 from assay.operators import learners as L
 from assay.operators import training as TR
 from assay.operators.split import with_folds, with_split
@@ -20,6 +19,7 @@ from assay.plans.bindings import B3, labelled_documents
 from assay.plans.catalog import query
 from assay.plans.model_data import KEYS, NUM_CLASSES, model_data
 from assay.session import scratch_path
+from assay.streaming.scoring import class_output, score_output
 
 
 _FITTED: dict = {}
@@ -156,9 +156,7 @@ def s4_save_load_scoring(spark, sf):
     """S4 + M27 (regression): reload the saved pipeline and score raw rows; the prediction
     is rounded to the nearest 0.5, ties to even (P12)."""
     model, _ = _scoring_model(spark, sf, "regression")
-    out = model.transform(_new_rows(spark, sf))
-    return out.select(*KEYS, F.col("prediction").alias("predicted_quality"),
-                      S.round_half(F.col("prediction")).alias("predicted_quality_rounded"))
+    return score_output(model.transform(_new_rows(spark, sf)), KEYS)
 
 
 @query("m27_m28_class_scoring")
@@ -166,10 +164,7 @@ def m27_m28_class_scoring(spark, sf):
     """M27 + M28 + P13 + P14 + P21: class label, per-class probabilities, confidence; one
     transform feeds every projection (quirk Q4)."""
     model, _ = _scoring_model(spark, sf, "multiclass")
-    out = model.transform(_new_rows(spark, sf))
-    probs = S.probability_columns(F.col("probability"), ["probability_bad", "probability_average", "probability_good"])
-    return out.select(*KEYS, S.decode(F.col("prediction").cast("int"), S.LABELS_3).alias("predicted_class"),
-                      *[v.alias(k) for k, v in probs.items()], S.confidence(F.col("probability")).alias("confidence"))
+    return class_output(model.transform(_new_rows(spark, sf)), KEYS)
 
 
 @query("s5_pick_model")
