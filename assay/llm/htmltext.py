@@ -10,8 +10,8 @@ class or id names such a part, on a page that has an article at all).  A decisio
 A formula's words stand in their block, without its annotations.  Script, style and other
 raw elements, comments, tags, and everything in ``head`` are never
 text.  Edge cases: null html is the empty page; a page without text blocks gives an empty
-string; unclosed elements end with the page, unmatched end tags are ignored, a tag or
-comment cut off at the page's end is markup.
+string; unclosed elements end with the page, unmatched end tags are ignored, an element named after
+a part such as header or tags that encloses the article element is none, a tag or comment cut off at the page's end is markup.
 """
 
 from __future__ import annotations
@@ -53,12 +53,24 @@ LABELLED = """
 400 0.01 5 0 8 0  0 0 1 0 0 1  1
 12 0 400 0 10 0.2  0 0 1 0 0 1  1
 2 1 45 0 50 0  0 0 1 0 0 1  1
+9 1 60 0 6 0  0 0 1 0 0 1  1
+7 1 45 0 3 0  0 0 1 0 0 1  1
+12 1 80 0 1 0  0 0 1 0 0 1  1
+2 0 7 1 0 0  0 0 1 0 0 1  1
+4 0 9 1 30 0  0 0 1 0 0 1  1
+3 0 12 1 2 0  0 0 1 0 0 1  1
 3 1 30 0 60 0  0 0 1 0 0 1  1
 5 0.8 70 0 45 0  0 0 1 0 0 1  1
 1 1 1 1 1 1  0 1 0 1 0 1  0
 1 1 0 0 1 1  0 1 0 1 0 1  0
 2 1 1 1 9 0  0 1 0 1 0 1  0
 9 0 1 1 8 0  0 0 0 0 1 1  0
+1 0 2 0 14 0  1 0 0 0 1 1  0
+2 0 7 1 14 0  1 0 0 0 1 1  0
+4 0 9 1 3 0  0 0 0 0 1 1  0
+3 0 2 1 0 0  0 0 1 0 1 1  0
+5 0 9 1 30 0  0 0 1 0 1 1  0
+3 0 9 1 0 0  0 0 0 0 0 1  0
 13 0 2 1 9 0  0 0 0 0 1 1  0
 40 0 8 0 12 0  0 0 0 0 1 1  0
 12 0 90 0 0 0  0 0 0 1 0 1  0
@@ -151,8 +163,8 @@ ITEMS = frozenset("li dt dd option".split())
 CONTENT = frozenset("article main".split())
 PARTS = frozenset("nav header footer aside form menu dialog button fieldset legend head title address".split())
 UNNAMED = frozenset("html body main article".split())
-#: A class such as has-sidebar describes the page's layout, not the element.
-LAYOUT = frozenset("has with no without".split())
+#: A class such as has-sidebar or tags-enabled describes the page's layout, not the element.
+LAYOUT = frozenset("has with no without enabled disabled".split())
 #: Words of class, id and role values that name a part of the page beside the article.
 PART_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr "
@@ -160,17 +172,31 @@ PART_NAMES = frozenset(
     "related recommended menu nav navbar navigation navigationbar breadcrumb breadcrumbs pagination pager header masthead "
     "topbar footer foot copyright comment comments commentlist reply replies respond disqus discussion share sharing social "
     "login search searchbox form toolbar tags meta byline skip".split())
+#: Those of them that stay beside the article even where they enclose an article element.
+NEVER_AROUND = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr popup "
+    "modal overlay newsletter subscribe subscription signup sidebar widget widgets related recommended comment comments "
+    "commentlist reply replies respond disqus discussion login".split())
 
 
 class Block:
     __slots__ = ("words", "links", "heading", "item", "article", "part", "named", "text")
 
 
+def names(attrs: str) -> tuple[set, set]:
+    """Words of an element's class, id and role, and those that name a part of the page: a
+    value such as has-sidebar, with a word of layout in it, names none."""
+    values = [re.findall("[a-z]+", v) for found in NAMES.findall(attrs) for v in "".join(found).lower().split()]
+    words = {w for v in values for w in v}
+    return words, {w for v in values if LAYOUT.isdisjoint(v) for w in v} & PART_NAMES
+
+
 def blocks(html: str) -> tuple[list[Block], bool]:
     """Flat text blocks in page order, and whether the page has an article."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []      # tag, content, part, named
-    n_content = n_part = n_named = 0
+    stack: list[list] = []              # tag, content, part, named, named by a word that may enclose the article
+    open_tags: dict[str, int] = {}      # how often each tag is on the stack
+    n_content = n_part = n_named = n_around = 0
     buffer: list[str] = []
     in_link, link_text, tag_of = False, [], ""
     has_article = False
@@ -187,6 +213,13 @@ def blocks(html: str) -> tuple[list[Block], bool]:
         buffer.clear()
         link_text.clear()
 
+    def leave(k: int):
+        nonlocal n_content, n_part, n_named, n_around
+        for t, c, p, n, around in stack[k:]:
+            n_content, n_part, n_named, n_around = n_content - c, n_part - p, n_named - n, n_around - around
+            open_tags[t] -= 1
+        del stack[k:]
+
     def add(raw: str):
         text = references.unescape(raw) if "&" in raw else raw
         buffer.append(text)
@@ -213,28 +246,33 @@ def blocks(html: str) -> tuple[list[Block], bool]:
         else:
             flush()
         if m.group("close"):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    for _, c, p, n in stack[k:]:
-                        n_content, n_part, n_named = n_content - c, n_part - p, n_named - n
-                    del stack[k:]
-                    break
+            if open_tags.get(tag):          # each step of the search removes an element: linear in all
+                k = len(stack) - 1
+                while stack[k][0] != tag:
+                    k -= 1
+                leave(k)
             tag_of = stack[-1][0] if stack else ""
             if tag not in INLINE:
                 in_link = False
         elif tag not in VOID and tag not in INLINE:
-            words = {w for v in NAMES.findall(m.group("attrs")) for w in re.findall("[a-z]+", "".join(v).lower())} \
-                if "=" in m.group("attrs") else set()
+            words, naming = names(m.group("attrs")) if "=" in m.group("attrs") else (set(), set())
             content = tag in CONTENT or "main" in words and "role" in m.group("attrs").lower()
-            named = bool(words & PART_NAMES) and not words & LAYOUT and tag not in UNNAMED or tag == "article" and bool(words & {"comment", "ad"})
-            if content and not n_part and not n_named and not named:
+            named = bool(naming) and tag not in UNNAMED or tag == "article" and bool(words & {"comment", "ad"})
+            around = named and not naming & NEVER_AROUND and tag != "article"
+            if content and not n_part and not named and n_named == n_around:
                 has_article = True
+                k = len(stack)
+                while n_around:             # what encloses the article is no part beside it
+                    k -= 1
+                    if stack[k][4]:
+                        stack[k][3] = stack[k][4] = False
+                        n_named, n_around = n_named - 1, n_around - 1
             if tag in HEADINGS or tag in ("p", *ITEMS):      # a new one ends an open one
                 if stack and stack[-1][0] == tag or stack and tag in HEADINGS and stack[-1][0] in HEADINGS:
-                    _, c, p, n = stack.pop()
-                    n_content, n_part, n_named = n_content - c, n_part - p, n_named - n
-            stack.append((tag, content, tag in PARTS, named))
-            n_content, n_part, n_named = n_content + content, n_part + (tag in PARTS), n_named + named
+                    leave(len(stack) - 1)
+            stack.append([tag, content, tag in PARTS, named, around])
+            open_tags[tag] = open_tags.get(tag, 0) + 1
+            n_content, n_part, n_named, n_around = n_content + content, n_part + (tag in PARTS), n_named + named, n_around + around
             tag_of = tag
     if at < len(html):
         add(html[at:])

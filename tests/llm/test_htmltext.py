@@ -85,3 +85,33 @@ def test_self_closing_svg_and_formulas(tree):
     page = f"<article><p>First {rest} {formula} and on.</p></article>"
     assert H.main_text(page, tree) == f"First {rest} a=2 and on."
     assert len(H.blocks("<svg " + "a " * 200_000)[0]) == 0
+
+
+def test_layout_names_around_the_article(tree):
+    body = "<h1>Headline</h1><p>" + "Words of the article that everybody reads. " * 5 + "</p>"
+    text = "Headline\n" + ("Words of the article that everybody reads. " * 5).strip()
+    beside = "<div class='related'><article><h2>Other</h2><p>Another article of this site with some words.</p></article></div>"
+    comment = "<section id=comments><article><p>A reader wrote these words on the article above.</p></article></section>"
+    for around in ("content-header-wrapper", "post tags-enabled", "banner-page", "no-menu main-menu-off"):
+        page = f"<body><div class='{around}'><div><article>{body}</article></div></div>{beside}{comment}</body>"
+        assert H.main_text(page, tree) == text, around
+    page = f"<div class='page-header'><p>Site name and its motto of many words</p></div><main>{body}<div class='ad with-image'>" \
+        "Buy one of these things now, they are cheap and good.</div></main>"
+    assert H.main_text(page, tree) == text
+
+
+def test_paragraph_that_is_one_link(tree):
+    words = "Words of the article that everybody reads. " * 8
+    page = f"<article><p>{words}</p><p><a href=/x>The whole report of the commission</a></p><p>Read it.</p></article>"
+    assert H.main_text(page, tree) == f"{words.strip()}\nThe whole report of the commission\nRead it."
+
+
+def test_time_grows_in_proportion(tree):
+    import time
+    took = []
+    for n in (20_000, 80_000):
+        page = "<div>" * n + "</p>" * n + "<div class=menu><main>x</main></div>" * (n // 4)
+        start = time.process_time()
+        H.blocks(page)
+        took.append(time.process_time() - start)
+    assert took[1] < 12 * took[0] + 1
