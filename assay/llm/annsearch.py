@@ -6,8 +6,9 @@ length one, rounds them to int8 with a scale per vector, and multiplies the int8
 (in float32, where these integer sums are exact).  With the lengths e of the rounding
 errors, a cosine differs from the scaled product by at most e_q + e_c + e_q e_c.  A pair
 survives when its upper bound reaches the k-th best lower bound of its query; survivors are
-recomputed in double precision on the original vectors and kept in one heap of k per
-query.  The heaps of a query's tiles are merged by a ranked window with a limit before the
+recomputed in double precision on the original vectors, and each query's k best of a
+product go to its heap of k.  Of equal candidates in a tile only those with the smallest
+ids are compared (``first_of_copies``): the others cannot be among the k.  The heaps of a query's tiles are merged by a ranked window with a limit before the
 shuffle.  Nothing is approximate in the result: a dropped pair provably is not among the k.
 
 Edge cases: vectors that are null, zero or hold null or non-finite components, and rows
@@ -58,9 +59,31 @@ class Heaps:
             self.least[query] = heap[0][0]
 
 
+def first_of_copies(ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """Rows of ``x`` that can be among any query's k best: of equal vectors, which all have
+    the same cosine, those with the smallest ids.  An id repeats at most k times among them,
+    so 2k rows hold k of other ids than the query's."""
+    _, group = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_inverse=True)
+    order = np.lexsort((ids, group))
+    same = np.flatnonzero(np.r_[True, (np.diff(group[order]) != 0) | (np.diff(ids[order]) != 0)])
+    order = order[np.arange(len(order)) - np.repeat(same, np.diff(np.r_[same, len(order)])) < k]
+    start = np.searchsorted(group[order], group[order])
+    return np.sort(order[np.arange(len(order)) - start < 2 * k])
+
+
+def best_of_each(i: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int):
+    """Each query's k best (largest score, then smallest id) of the pairs (i, score, ids)."""
+    order = np.lexsort((ids, -score, i))
+    i = i[order]
+    keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+    return i[keep], score[order][keep], ids[order][keep]
+
+
 def tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int) -> list[tuple[int, int, float]]:
     """(query id, candidate id, cosine) of each query's k best candidates in the tile."""
     heaps = Heaps(len(q), k)
+    some = first_of_copies(c_ids, c, k)
+    c_ids, c = c_ids[some], c[some]
     uq, uc = unit(q), unit(c)
     qq, qs, qe = quantise(uq)
     cq, cs, ce = quantise(uc)
@@ -77,8 +100,10 @@ def tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k:
             if width >= k:
                 floor = np.maximum(floor, np.partition(low, width - k, axis=1)[:, width - k])
             i, j = np.nonzero((near + slack >= floor[:, None]) & ~own)
-            for x, y, s in zip(i.tolist(), j.tolist(), cosines(q[rows], i, c[cols], j).tolist()):
-                heaps.add(a + x, s, int(c_ids[b + y]))
+            score = cosines(q[rows], i, c[cols], j)
+            good = score >= heaps.least[a + i]
+            for x, s, y in zip(*(v.tolist() for v in best_of_each(i[good], score[good], c_ids[b + j[good]], k))):
+                heaps.add(a + x, s, y)
     return [(int(q_ids[i]), -neg, s) for i, h in enumerate(heaps.heaps) for s, neg in h]
 
 

@@ -59,3 +59,33 @@ def test_quantisation_bound_holds():
     q, s, e = A.quantise(u)
     gap = np.abs(u @ u.T - (q @ q.T) * s[:, None] * s[None])
     assert (gap <= e[:, None] + e[None] + e[:, None] * e[None] + 1e-9).all() and e.max() < 0.05
+
+
+def test_copies_and_repeated_ids_in_a_tile():
+    rng = np.random.default_rng(11)
+    x = np.concatenate([np.repeat(rng.normal(size=(1, 8)), 60, axis=0), rng.normal(size=(40, 8))]).astype(np.float32)
+    ids = np.concatenate([np.repeat([4, 2, 9], 10), np.arange(100, 130), np.arange(40) % 17]).astype(np.int64)
+    order = rng.permutation(100)
+    x, ids = x[order], ids[order]
+    q_ids = np.array([2, 4, 105, 3, 500])
+    q = np.stack([x[np.flatnonzero(ids == i)[0]] if i in ids else x[0] + np.float32(0.1) for i in q_ids])
+    got = sorted(A.tile(q_ids, q, ids, x, 5))
+    want = []
+    for r, i in enumerate(q_ids):
+        at = np.flatnonzero(ids != i)
+        s = cosines(q[r:r + 1], np.zeros(len(at), dtype=int), x, at)
+        want += [(int(i), j, -v) for v, j in sorted(zip((-s).tolist(), ids[at].tolist()))[:5]]
+    assert got == sorted(want)
+
+
+def test_a_tile_of_copies_is_no_slower_than_others():
+    import time
+    rng = np.random.default_rng(12)
+    random = rng.normal(size=(4096, 32)).astype(np.float32)
+    near = (random[:1] + rng.normal(scale=1e-5, size=random.shape)).astype(np.float32)
+    took = []
+    for x in (random, np.repeat(random[:1], 4096, axis=0), near):
+        start = time.process_time()
+        A.tile(np.arange(256) + 10_000, x[:256], np.arange(4096), x, 5)
+        took.append(time.process_time() - start)
+    assert took[1] < took[0] + 1 and took[2] < took[0] + 6
