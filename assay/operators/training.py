@@ -192,9 +192,9 @@ def load_model(path: str):
 
 def pick_model(registry: DataFrame, segment: str, task: str, order=("tuned", "standard")) -> DataFrame:
     """Choose a stored model for (segment, task) by variant priority, falling back in
-    ``order``.  The registry is a table (segment, task, variant, path)."""
+    ``order``; the first path of equals.  The registry is a table (segment, task, variant, path)."""
     prio = F.create_map(*[x for i, v in enumerate(order) for x in (F.lit(v), F.lit(i))])
     cand = registry.where((F.col("segment") == segment) & (F.col("task") == task)) \
                    .withColumn("priority", F.element_at(prio, F.col("variant"))) \
                    .where(F.col("priority").isNotNull())
-    return cand.orderBy("priority").limit(1)
+    return cand.orderBy("priority", "path").limit(1)

@@ -78,3 +78,16 @@ def test_serving_transforms(spark):
     df = spark.createDataFrame([(0.0,)], "x double")
     row = df.select(*[c.alias(k) for k, c in S.serving_transforms(["x"]).items()]).first()
     assert row["x_log"] == pytest.approx(math.log1p(1e-5)) and row["x_sqrt"] == pytest.approx(math.sqrt(1e-5))
+
+
+def test_jitter_mean_deviation_and_repeatability(spark):
+    df = spark.range(0, 20_000, 1, 4).select("id", F.when(F.col("id") % 100 != 0, F.col("id") % 7).alias("v"))
+    noisy = df.withColumn("j", S.jitter(F.col("v"), seed=7, scale=0.25))
+    r = noisy.select((F.col("j") - F.col("v")).alias("d")).agg(F.avg("d"), F.stddev("d"), F.count("d"), F.max(F.abs("d"))).first()
+    assert r[0] == pytest.approx(0, abs=5 * 0.25 / math.sqrt(r[2])) and r[1] == pytest.approx(0.25, rel=0.03)
+    assert r[2] == 19_800 and 0.7 < r[3] < 2            # a null stays one
+    again = df.withColumn("j", S.jitter(F.col("v"), seed=7, scale=0.25))
+    assert noisy.orderBy("id").collect() == again.orderBy("id").collect()
+    other = df.withColumn("j", S.jitter(F.col("v"), seed=8, scale=0.25))
+    assert noisy.where("v is not null").join(other.select("id", F.col("j").alias("k")), "id").where("j = k").count() == 0
+    assert df.withColumn("j", S.jitter(F.col("v"), scale=0.0)).where("j != v").count() == 0

@@ -49,3 +49,12 @@ def test_column_diff_and_union_by_name(spark):
     u = OR.union_tagged({"red": spark.createDataFrame([(1.0, 2)], "x double, q int"),
                          "white": spark.createDataFrame([(3, 4.0)], "q int, x double")}, "source")
     assert sorted((r["x"], r["q"], r["source"]) for r in u.collect()) == [(1.0, 2, "red"), (4.0, 3, "white")]
+
+
+def test_pick_model_ties_and_nothing_to_pick(spark):
+    from assay.operators import training as TR
+    reg = spark.createDataFrame([("red", "regression", "tuned", p) for p in ("/z", "/m", "/q")] +
+                                [("red", "binary", "draft", "/d")], "segment string, task string, variant string, path string")
+    assert TR.pick_model(reg, "red", "regression").first()["path"] == "/m"
+    assert TR.pick_model(reg, "red", "binary").count() == 0             # a variant that is in no order
+    assert TR.pick_model(reg, "rose", "regression").count() == 0
