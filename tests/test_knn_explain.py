@@ -162,3 +162,26 @@ def test_partial_dependence_of_linear_model_is_its_slope(spark):
     xs, ys = [r["x"] for r in pd_], [r["average_prediction"] for r in pd_]
     slope = (ys[-1] - ys[0]) / (xs[-1] - xs[0])
     assert slope == pytest.approx(3.0, rel=1e-6)
+
+
+def test_sweep_scores_the_swept_rows_with_both_models(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    x = np.random.default_rng(13).normal(size=(300, 2))
+    df = spark.createDataFrame([(float(a), float(b), float(2 * a - 3 * b + 1), float(a + b > 0)) for a, b in x],
+                               "a double, b double, label double, c double")
+    asm = VectorAssembler(inputCols=["a", "b"], outputCol="features")
+    reg = Pipeline(stages=[asm, LinearRegression()]).fit(df)
+    cls = Pipeline(stages=[asm, LogisticRegression(labelCol="c", regParam=0.1)]).fit(df)
+    base = {"s": (0.5, -1.0), "t": (4.0, 2.0)}
+    grid = spark.createDataFrame([(s, f, i, float(v), *r) for s, r in base.items() for f in ("a", "b") for i, v in enumerate((-1, 0, 3))],
+                                 "segment string, feature string, grid_ix int, x double, a double, b double")
+    got = X.sweep(reg, cls, grid, ["a", "b"], positive=1).collect()
+    assert len(got) == 12
+    w, b0 = cls.stages[-1].coefficients.toArray(), cls.stages[-1].intercept
+    for r in got:
+        row = [r["x"] if f == r["feature"] else v for f, v in zip("ab", base[r["segment"]])]
+        assert r["y"] == pytest.approx(2 * row[0] - 3 * row[1] + 1, abs=1e-6)
+        assert r["p"] == pytest.approx(1 / (1 + math.exp(-(np.dot(w, row) + b0))), abs=1e-9)
