@@ -127,3 +127,22 @@ def test_selection_levels_do_not_grow_with_rows(spark):
             Q.exact_quantiles(df, [], "v", [0.1, 0.5, 0.9]).collect()
         levels.append(s.call_count)
     assert levels[1] <= levels[0] + 1 <= 7
+
+
+def test_the_feature_pipeline_is_code_the_jvm_compiles(spark):
+    """HotSpot interprets methods over 8000 bytes: the fitted stages must stay below."""
+    from assay.plans import model_data as MD
+    from conftest import SF001
+    train = MD.labelled(spark, SF001)
+    out = MD.feature_pipeline(MD.FEATS, MD.SEG, MD.ROLES).fit(train).transform(train)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    parts = debug.codegenStringSeq(out._jdf.queryExecution().executedPlan())
+    assert max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) <= 8000
+
+
+def test_clip_keeps_null_and_nan_and_passes_null_bounds(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(0, None, 1.0, 2.0), (1, nan, 1.0, 2.0), (2, 0.0, 1.0, 2.0), (3, 3.0, 1.0, 2.0),
+                                (4, 0.0, None, 2.0), (5, 3.0, 1.0, None), (6, 1.5, 1.0, 2.0)], "k int, x double, lo double, hi double")
+    got = [r[0] for r in df.orderBy("k").select(ST.clip(F.col("x"), F.col("lo"), F.col("hi"))).collect()]
+    assert got[0] is None and got[1] != got[1] and got[2:] == [1.0, 2.0, 0.0, 3.0, 1.5]
