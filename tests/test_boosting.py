@@ -92,3 +92,17 @@ def test_one_class_one_row_and_no_rows(spark):
     assert B.BoostedEstimator(B.BoostSpec(0, rounds=2)).fit(df).transform(df).first().prediction == 1.0
     with pytest.raises(ValueError, match="no labelled rows"):
         B.BoostedEstimator(B.BoostSpec()).fit(df.limit(0))
+
+
+def test_small_trees_place_columns_like_rows():
+    from assay.operators.boosting import SmallTree
+    rng = np.random.default_rng(3)
+    for dtype in (np.uint8, np.float64):
+        x = rng.integers(0, 256, (5_000, 4)).astype(dtype)
+        if dtype is np.float64:
+            x[::7, 1] = np.nan
+        tree, open_ = SmallTree(), [0]
+        for _ in range(15):
+            at = open_.pop(0)
+            open_ += tree.split(at, int(rng.integers(4)), int(rng.integers(40, 215)), [0.0, 0.0], [1.0, 1.0])
+        assert (tree.place_columns(np.ascontiguousarray(x.T), tree.bin) == tree.place(x, tree.bin)).all()
