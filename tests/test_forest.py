@@ -128,3 +128,27 @@ def test_no_rows(spark):
         FO.ForestEstimator(FO.ForestSpec(trees=2)).fit(df.limit(0))
     model = FO.ForestEstimator(FO.ForestSpec(trees=2)).fit(df)
     assert model.transform(df.limit(0)).count() == 0
+
+
+
+def test_the_top_of_a_tree_does_not_depend_on_the_trees_beside_it(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 50, (600, 2)).astype(float)
+    df = spark.createDataFrame([(Vectors.dense(v.tolist()), float(v[0] // 7)) for v in x], ["features", "label"])
+    data = FO.training_table(df, "features", "label")
+    few, many = (FO._grow_tops(data, [FO.ForestSpec(trees=k)], 600, 2, 0, 200) for k in (2, 9))
+    assert len(many[0, 1].feature) > 3
+    for t in range(2):
+        assert (few[0, t].feature, few[0, t].threshold) == (many[0, t].feature, many[0, t].threshold)
+
+
+def test_leaf_of_follows_the_nodes(spark):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(700, 3)), rng.integers(0, 9, 700).astype(float)
+    tree = grow(x, y, np.ones(700), TreeRule(), np.random.default_rng(0))
+    x[::9, 1] = np.nan
+    for row, leaf in zip(x, tree.leaf_of(x)):
+        at = 0
+        while tree.feature[at] >= 0:
+            at = tree.left[at] if row[tree.feature[at]] <= tree.threshold[at] else tree.right[at]
+        assert at == leaf
