@@ -152,3 +152,36 @@ def test_leaf_of_follows_the_nodes(spark):
         while tree.feature[at] >= 0:
             at = tree.left[at] if row[tree.feature[at]] <= tree.threshold[at] else tree.right[at]
         assert at == leaf
+
+
+@pytest.mark.parametrize("classes", [0, 2])
+def test_trees_scored_where_they_grow_equal_kept_trees(spark, monkeypatch, classes):
+    from assay.operators import training as TR
+    df, _, _ = frame(spark, 300, classes=classes)
+    grid = {"n_estimators": [12, 25], "max_depth": [None, 3], "min_samples_split": [2], "min_samples_leaf": [1, 4]}
+    task = "binary" if classes else "regression"
+    kept = []
+    fit = FO.fit
+    monkeypatch.setattr(FO, "fit", lambda data, specs, *a: kept.append(len(specs)) or fit(data, specs, *a))
+    logs = []
+    for numbers in (FO.WHOLE_NUMBERS, 0):
+        monkeypatch.setattr(FO, "WHOLE_NUMBERS", numbers)
+        _, log = TR.tune_forest(df, task, 2, grid)
+        logs.append([(str(sorted(r["params"].items())), r["mean_test_score"]) for r in log.collect()])
+    assert kept == [1, 20, 1]         # only the best is kept; then all, and the best
+    assert [p for p, _ in logs[0]] == [p for p, _ in logs[1]]
+    assert [s for _, s in logs[0]] == pytest.approx([s for _, s in logs[1]], rel=1e-9)
+
+
+def test_rules_share_the_rows_of_large_nodes(spark):
+    df, _, _ = frame(spark, 900)
+    data = FO.training_table(df, "features", "label", "fold")
+    specs = [FO.ForestSpec(trees=2, rule=TreeRule(min_split=m)) for m in (2, 3)]
+    together = FO.fit(data, specs, 300)
+    assert len(together.tops[0, 0].feature) > 1
+    assert together.tops[0, 0].paths() == together.tops[1, 0].paths()
+    for s, spec in enumerate(specs):
+        alone = FO.fit(data, [spec], 300)
+        def trees(f, i):
+            return sorted((r.tree, r.slot, r.feature, r.threshold) for r in f.nodes.where(f"spec = {i}").collect())
+        assert trees(together, s) == trees(alone, 0)
