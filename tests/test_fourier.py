@@ -99,3 +99,7 @@ def test_bad_numbers_are_named(spark):
     df = frame(spark, np.array([[1.0, 2.0], [np.nan, 1.0], [0.0, 3.0]]), [1.0, 2.0, 3.0])
     with pytest.raises(ValueError, match="finite"):
         TR.estimator_for("regression", "SVR", df).fit(df)
+    no_label = df.fillna(0.0).withColumn("label", F.when(F.col("k") > 0, F.col("label")))
+    for task, name in (("regression", "SVR"), ("multiclass", "SVC")):
+        with pytest.raises(ValueError, match="labels must not be null"):
+            TR.estimator_for(task, name, no_label, 3).fit(no_label)
