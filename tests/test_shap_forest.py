@@ -85,3 +85,32 @@ def test_leaf_edges(spark):
     assert [got[i]["prediction"] for i in range(5)] == [7.0, 11.0, 11.0, 11.0, 7.0]
     assert all(r["base_value"] == 10.0 and r["shap"][1] == 0.0 for r in got.values())
     assert X.shap_values(df.limit(0), "features", ["k"], [(1.0, nodes)], 2).count() == 0
+
+
+@pytest.mark.parametrize("bound", [60, 65_536])
+def test_forest_by_subsets_equals_leaf_by_leaf(spark, bound, monkeypatch):
+    """Several blocks of subtrees and rows, trees with and without tops, odd values; no leaf meets a row."""
+    df, x = _data(spark, classes=True)
+    odd = [(900 + i, Vectors.dense([v, 0.0, -v, 1.0]), 0.0) for i, v in enumerate([float("nan"), float("inf"), float("-inf"), 1e300])]
+    rows = df.union(spark.createDataFrame(odd, df.columns))
+    forests = FO.fit(FO.training_table(df, "features", "label"), [FO.ForestSpec(6, TreeRule(2))], bound)
+    model = FO.ForestModel(forests, 0, "features")
+    slow = {r["n"]: r for r in X.shap_values(rows.withColumn("n", F.hash("k", "features")), "features", ["n"],
+                                             X.leaf_table(model, positive=1), 4).collect()}
+    monkeypatch.setattr(X, "SUBSET_NODES", 100)
+    monkeypatch.setattr(X, "SUBSET_ROWS", 150)
+    monkeypatch.setattr(X, "_explain", None)
+    fast = X.forest_shap(rows.withColumn("n", F.hash("k", "features")), "features", ["n"], model, 4).collect()
+    assert len(fast) == 304
+    for r in fast:
+        s = slow[r["n"]]
+        assert np.allclose([r["base_value"], r["prediction"], *r["shap"]], [s["base_value"], s["prediction"], *s["shap"]], atol=1e-10)
+
+
+def test_dominated_sums_match_brute_force():
+    rng = np.random.default_rng(1)
+    for n, m, top in ((400, 300, 40), (5, 7, 1), (0, 3, 4), (50, 0, 9)):
+        c1, c2, q1, q2 = rng.integers(0, top, n), rng.integers(0, top, n), rng.integers(0, top, m), rng.integers(0, top, m)
+        w = rng.normal(size=n)
+        want = ((c1[None] <= q1[:, None]) & (c2[None] <= q2[:, None])) @ w
+        assert np.allclose(X.dominated(c1, c2, w, q1, q2), want, atol=1e-12)
