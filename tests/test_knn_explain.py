@@ -185,3 +185,25 @@ def test_sweep_scores_the_swept_rows_with_both_models(spark):
         row = [r["x"] if f == r["feature"] else v for f, v in zip("ab", base[r["segment"]])]
         assert r["y"] == pytest.approx(2 * row[0] - 3 * row[1] + 1, abs=1e-6)
         assert r["p"] == pytest.approx(1 / (1 + math.exp(-(np.dot(w, row) + b0))), abs=1e-9)
+
+
+def test_knn_folds_take_one_join(spark, monkeypatch):
+    """Left-out scores of all folds come from one join and equal those of brute force per fold."""
+    from pyspark.ml.linalg import Vectors
+
+    from assay.operators import training as TR
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(150, 3)).round(1), rng.normal(5, 1, size=(60, 3)).round(1), np.zeros((40, 3))])
+    y, fold = rng.integers(0, 2, len(x)).astype(float), rng.integers(0, 4, len(x))
+    df = spark.createDataFrame([(Vectors.dense(v.tolist()), float(t), int(f)) for v, t, f in zip(x, y, fold)],
+                               ["features", "label", "fold"]).coalesce(1).cache()
+    calls, join = [], K.knn_join
+    monkeypatch.setattr(K, "knn_join", lambda *a, **kw: calls.append(1) or join(*a, **kw))
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    near = [sorted((d, j) for j, d in enumerate(row) if fold[j] != fold[i])[:5] for i, row in enumerate(dist)]
+    mean = np.array([np.mean([y[j] for _, j in n]) for n in near])
+    for task, hit in (("regression", (mean - y) ** 2), ("binary", (mean > 0.5) == y)):
+        model, metric = TR.fit_and_cross_validate(task, "KNN", df)
+        assert metric == pytest.approx(np.mean([hit[fold == f].mean() for f in range(4)]), abs=1e-12)
+        assert model.transform(df).count() == len(x)
+    assert len(calls) == 4                              # one for the folds, one for the model, of each task
