@@ -106,3 +106,39 @@ def test_small_trees_place_columns_like_rows():
             at = open_.pop(0)
             open_ += tree.split(at, int(rng.integers(4)), int(rng.integers(40, 215)), [0.0, 0.0], [1.0, 1.0])
         assert (tree.place_columns(np.ascontiguousarray(x.T), tree.bin) == tree.place(x, tree.bin)).all()
+
+
+def test_small_trees_place_rows_by_bytes_as_node_by_node():
+    rng = np.random.default_rng(5)
+    tree = B.SmallTree()
+    ends = [0]
+    for _ in range(12):
+        at = ends.pop(int(rng.integers(len(ends))))
+        ends += tree.split(at, int(rng.integers(3)), int(rng.integers(1, 9)), [0.0, 0.0], [1.0, 1.0])
+    x = rng.integers(0, 10, (500, 3)).astype(float)
+    x[::7, 1], x[::11, 2] = np.nan, np.inf
+    assert tree.place_columns(x.T, tree.bin).tolist() == tree.place(x, tree.bin).tolist()
+    b = np.nan_to_num(x, nan=9, posinf=9).astype(np.uint8)
+    assert tree.place_columns(list(b.T), tree.bin).tolist() == tree.place(b, tree.bin).tolist()
+    assert B.SmallTree().place_columns(x.T, [0]).tolist() == [0] * 500
+
+
+def test_features_with_the_same_bins_are_counted_once(spark):
+    rng = np.random.default_rng(6)
+    x = rng.uniform(1, 9, (700, 2))
+    y = (x[:, 0] > 4) + 0.5 * (x[:, 1] > 3) + rng.normal(0, 0.1, 700)
+    wide = np.column_stack([x[:, 0], np.log(x[:, 0]), x[:, 1], 2 * x[:, 1]])
+
+    def frame(m):
+        return spark.createDataFrame([(i, r.tolist(), float(v), i % 3) for i, (r, v) in enumerate(zip(m, y))],
+                                     "rid long, x array<double>, y double, fold int")
+    specs = [B.BoostSpec(rounds=12), B.BoostSpec(rounds=12, skip_fold=1)]
+    a, b = B.fit(frame(x), specs), B.fit(frame(wide), specs)
+    packs = [B._packed(np.arange(4), np.array(rows, dtype=np.uint8), np.zeros(4), np.zeros(4), np.zeros((4, 1)))
+             for rows in ([[0, 1, 2, 2], [0, 1, 2, 2], [0, 1, 2, 2]], [[0, 1, 0, 1], [0, 1, 0, 1], [0, 1, 1, 1]])]
+    table = spark.createDataFrame([tuple(bytes(c[0].as_py()) for c in p.columns) for p in packs], B.PACKED)
+    assert B._same_bins(table, [0, 1, 2], 1) == [0, 0, 2]
+    for rounds_a, rounds_b in zip(a.trees, b.trees):
+        for (s,), (t,) in zip(rounds_a, rounds_b):
+            assert [f if f < 0 else 2 * f for f in s.feature] == t.feature and s.bin == t.bin
+            np.testing.assert_allclose(s.value, t.value, rtol=1e-9)
